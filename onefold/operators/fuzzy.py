@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from onefold.functions.similarity import distance_bound, ratio, within_bound
 from onefold.functions.text import title_key
+from onefold.session import cut_lineage
 from onefold.skew import lookup_join, salted_join
 
 THRESHOLD = 90
@@ -101,8 +102,10 @@ def best_matches(
     anchored, floating = anchored_titles(reps), floating_titles(reps)
     equal = equal_titles(floating, anchored, tolerance)
     settled = equal.filter(F.length("norm") < 100).select("norm", "year").distinct()
-    open_titles = floating.join(settled, ["norm", "year"], "left_anti")
-    pairs = equal.unionByName(similar_titles(open_titles, anchored, threshold, tolerance))
+    open_titles = cut_lineage(floating.join(settled, ["norm", "year"], "left_anti"))
+    pairs = equal
+    if not open_titles.isEmpty():
+        pairs = equal.unionByName(similar_titles(open_titles, anchored, threshold, tolerance))
     year_order = F.abs(F.col("anchor_year") - F.col("year")) if nearest_year else F.col("anchor_year")
     order = F.struct(
         (-F.col("ratio")).alias("distance"),
