@@ -67,23 +67,24 @@ def ratings_extract(
     min_votes: int = MIN_VOTES,
     min_year: int = MIN_YEAR,
     kind: str = "movie",
+    ordered: bool = True,
 ) -> DataFrame:
-    """Films of the theme with enough votes, most votes first. The theme is matched without regard to case."""
+    """Films of the theme with enough votes, most votes first. The theme is matched without regard to case.
+
+    A table that only feeds a merge does not need the global sort: `ordered=False`.
+    """
     films = basics.filter(
         (F.col("titleType") == kind) & F.col("genres").ilike(f"%{theme}%") & (F.col("startYear") >= min_year)
     )
     rated = ratings.filter(F.col("numVotes") >= min_votes)
-    return (
-        films.join(rated, "tconst")
-        .select(*RATINGS_EXTRACT_SCHEMA.fieldNames())
-        .orderBy(F.desc("numVotes"), "tconst")
-    )
+    found = films.join(rated, "tconst").select(*RATINGS_EXTRACT_SCHEMA.fieldNames())
+    return found.orderBy(F.desc("numVotes"), "tconst") if ordered else found
 
 
-def enrich_ratings(extract: DataFrame, theme: str = THEME) -> DataFrame:
+def enrich_ratings(extract: DataFrame, theme: str = THEME, ordered: bool = True) -> DataFrame:
     """Typed years, rows without year or rating dropped, decade, genre and score columns; most votes first."""
     others = X.other_items(F.col("genres"), theme)
-    return (
+    enriched = (
         extract.withColumns(
             {
                 "startYear": S.to_int(F.col("startYear")).cast("int"),
@@ -100,8 +101,8 @@ def enrich_ratings(extract: DataFrame, theme: str = THEME) -> DataFrame:
                 "score": S.composite_score(F.col("averageRating"), F.col("numVotes")),
             }
         )
-        .orderBy(F.desc("numVotes"), "tconst")
     )
+    return enriched.orderBy(F.desc("numVotes"), "tconst") if ordered else enriched
 
 
 def ratings_summary(enriched: DataFrame) -> DataFrame:

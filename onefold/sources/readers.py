@@ -30,19 +30,21 @@ def read_json(spark: SparkSession, path: str, schema: StructType, one_array: boo
     return checked.select(F.explode(records).alias("r")).select("r.*")
 
 
-def read_dump(
-    spark: SparkSession, path: str, schema: StructType, partitions: int | None = None, gone_by_header: bool = True
-) -> DataFrame:
+def read_dump(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     r"""Gzipped tab-separated dump: header, no quoting, `\N` for null, a malformed number is an error.
 
-    A gzip file is read by one task, so its rows are spread right after the scan.
+    Columns are found by their header name, the file may hold others. A gzip file is read by one task,
+    so its rows are spread over the cluster right after the scan.
     """
-    df = (
-        spark.read.schema(schema)
-        .option("enforceSchema", not gone_by_header)
-        .csv(path, sep="\t", header=True, nullValue="\\N", quote="", mode="FAILFAST")
-    )
-    return df.repartition(partitions) if partitions else df.repartition()
+    raw = spark.read.csv(path, sep="\t", header=True, nullValue="\\N", quote="")
+
+    def typed(f):
+        value = F.col(f.name).try_cast(f.dataType)
+        broken = F.col(f.name).isNotNull() & value.isNull()
+        error = F.raise_error(F.concat(F.lit(f"{f.name} is malformed: "), F.col(f.name)))
+        return F.when(broken, error.cast(f.dataType)).otherwise(value).alias(f.name)
+
+    return raw.select(*[typed(f) for f in schema]).hint("rebalance")
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
