@@ -14,6 +14,7 @@ from onefold.functions.text import TAG, as_list, normalize_text, strip_year_suff
 # How the wanted parts of a page are marked.
 COMMENT = r"(?s)<!--.*?-->"
 JSONLD = r"(?is)<script\b[^>]*\btype\s*=\s*[\"']application/ld\+json[\"'][^>]*>(.*?)</script>"
+SLOT = r"(?is)<rt-text\b[^>]*>.*?</rt-text>"
 CONSENSUS_ID = r"(?is)<([a-z][\w-]*)\b[^>]*\bid\s*=\s*[\"']critics-consensus[\"'][^>]*>(.*)$"
 CONSENSUS_LABEL = r"(?s)^.*?Critics Consensus\s*"
 RECORD = (
@@ -48,18 +49,22 @@ def inner_text(markup: Column, glue: str = "") -> Column:
 
 def tag_text(html: Column, tag: str) -> Column:
     """Text of the first `<tag>` element, null when there is none."""
-    found = F.regexp_extract_all(html, F.lit(rf"(?is)<{tag}\b[^>]*>(.*?)</{tag}>"), 1)
-    return inner_text(F.try_element_at(found, F.lit(1)))
+    return inner_text(F.nullif(F.regexp_extract(html, rf"(?is)<{tag}\b[^>]*>.*?</{tag}>", 0), F.lit("")))
 
 
-def _slots(html: Column, name: str) -> Column:
-    marked = rf"(?is)<rt-text\b[^>]*\bslot\s*=\s*[\"']{name}[\"'][^>]*>(.*?)</rt-text>"
-    return F.regexp_extract_all(html, F.lit(marked), 1)
+def slot_elements(html: Column) -> Column:
+    """All slot elements of a page, with their markup."""
+    found = F.regexp_extract_all(html, F.lit(SLOT), 0)
+    return F.when(html.contains("<rt-text"), found).otherwise(F.array().cast("array<string>"))
 
 
-def slot_text(html: Column, name: str) -> Column:
+def named_slots(slots: Column, name: str) -> Column:
+    return F.filter(slots, lambda s: s.rlike(rf"(?is)^<rt-text\b[^>]*\bslot\s*=\s*[\"']{name}[\"']"))
+
+
+def slot_text(slots: Column, name: str) -> Column:
     """Text of the first slot of that name, null when the page has none."""
-    return inner_text(F.try_element_at(_slots(html, name), F.lit(1)))
+    return inner_text(F.try_element_at(named_slots(slots, name), F.lit(1)))
 
 
 def jsonld_record(html: Column) -> Column:
@@ -77,58 +82,79 @@ def jsonld_record(html: Column) -> Column:
     return F.try_element_at(F.filter(records, lambda r: r["name"] != ""), F.lit(1))
 
 
-def consensus_text(html: Column) -> Column:
-    """Text of the element with the consensus id, its label removed; blank becomes null.
+def element_text(tag: Column, rest: Column) -> Column:
+    """Text of the element `tag` from the markup behind its opening, pieces joined by a space.
 
     The element ends where its own tag is closed as often as it was opened.
     """
-    tag = F.regexp_extract(html, CONSENSUS_ID, 1)
-    rest = F.regexp_extract(html, CONSENSUS_ID, 2)
     parts = F.regexp_extract_all(rest, F.lit(r"(?s)<[^>]*>|[^<]+"), 0)
 
     def walk(state: Column, part: Column) -> Column:
-        opens = F.lower(part).rlike(r"^<[a-z]") & (F.regexp_extract(F.lower(part), r"^<([a-z][\w-]*)", 1) == F.lower(tag))
-        closes = F.regexp_extract(F.lower(part), r"^</([a-z][\w-]*)", 1) == F.lower(tag)
-        depth = F.when(opens, state["depth"] + 1).when(closes, state["depth"] - 1).otherwise(state["depth"])
-        keep = (state["depth"] > 0) & ~part.startswith("<")
+        name = F.regexp_extract(F.lower(part), r"^</?([a-z][\w-]*)", 1)
+        step = F.when(name != F.lower(tag), 0).when(part.startswith("</"), -1).otherwise(1)
+        open_now = state["depth"] > 0
         return F.struct(
-            F.when(state["depth"] == 0, F.lit(0)).otherwise(depth).alias("depth"),
-            F.when(keep, F.concat(state["text"], F.array(part))).otherwise(state["text"]).alias("text"),
+            F.when(open_now, state["depth"] + step).otherwise(F.lit(0)).alias("depth"),
+            F.when(open_now & ~part.startswith("<"), F.concat(state["text"], F.array(part)))
+            .otherwise(state["text"])
+            .alias("text"),
         )
 
     start = F.struct(F.lit(1).alias("depth"), F.array().cast("array<string>").alias("text"))
     pieces = F.aggregate(parts, start, walk, lambda s: s["text"])
-    clean = F.filter(
-        F.transform(pieces, lambda p: F.regexp_replace(unescape(p), r"^\s+|\s+$", "")), lambda p: p != ""
-    )
-    text = F.trim(F.regexp_replace(F.array_join(clean, " "), CONSENSUS_LABEL, ""))
-    return F.when(tag != "", F.nullif(text, F.lit("")))
+    clean = F.transform(pieces, lambda p: F.regexp_replace(unescape(p), r"^\s+|\s+$", ""))
+    return F.array_join(F.filter(clean, lambda p: p != ""), " ")
+
+
+def consensus_text(tag: Column, rest: Column) -> Column:
+    """The consensus without its label; blank becomes null."""
+    return F.nullif(F.trim(F.regexp_replace(element_text(tag, rest), CONSENSUS_LABEL, "")), F.lit(""))
 
 
 def page_records(pages: DataFrame) -> DataFrame:
-    """`page_id, title, year, genres, tomatometer, audience, critics_consensus` from `page_id, html`."""
-    html, ld = F.col("html"), F.col("ld")
+    """`page_id, title, year, genres, tomatometer, audience, critics_consensus` from `page_id, html`.
+
+    The large text is searched once per kind of part, behind a plain substring test; the fields are
+    then taken from the short pieces found.
+    """
+    html, ld, slots = F.col("html"), F.col("ld"), F.col("slots")
+    consensus = F.when(
+        html.contains("critics-consensus"),
+        F.struct(
+            F.nullif(F.regexp_extract(html, CONSENSUS_ID, 1), F.lit("")).alias("tag"),
+            F.regexp_extract(html, CONSENSUS_ID, 2).alias("rest"),
+        ),
+    )
+    found = (
+        pages.select(
+            "page_id", F.when(html.contains("<!--"), F.regexp_replace(html, COMMENT, "")).otherwise(html).alias("html")
+        )
+        .select(
+            "page_id",
+            F.when(html.contains("ld+json"), jsonld_record(html)).alias("ld"),
+            slot_elements(html).alias("slots"),
+            consensus.alias("consensus"),
+        )
+    )
     rating = F.from_json(ld["aggregateRating"], "struct<name: string, ratingValue: string>")
     slot_years = F.filter(
-        F.transform(_slots(html, "metadata-prop"), lambda s: first_year(F.regexp_replace(s, TAG, ""))),
+        F.transform(named_slots(slots, "metadata-prop"), lambda s: first_year(F.regexp_replace(s, TAG, ""))),
         lambda y: y.isNotNull() & (y != 0),
     )
     tomato = F.when(F.lower(rating["name"]).startswith("tomato"), to_int(rating["ratingValue"]))
-    return (
-        pages.select("page_id", F.regexp_replace(html, COMMENT, "").alias("html"))
-        .withColumn("ld", jsonld_record(html))
-        .select(
-            "page_id",
-            strip_year_suffix(F.coalesce(ld["name"], slot_text(html, "title"))).alias("title"),
-            F.coalesce(
-                first_year(F.coalesce(F.nullif(ld["dateCreated"], F.lit("")), ld["datePublished"])),
-                F.try_element_at(slot_years, F.lit(1)),
-            ).alias("year"),
-            as_list(ld["genre"]).alias("genres"),
-            F.coalesce(tomato, percent(slot_text(html, "critics-score"))).alias("tomatometer"),
-            percent(slot_text(html, "audience-score")).alias("audience"),
-            consensus_text(html).alias("critics_consensus"),
-        )
+    return found.select(
+        "page_id",
+        strip_year_suffix(F.coalesce(ld["name"], slot_text(slots, "title"))).alias("title"),
+        F.coalesce(
+            first_year(F.coalesce(F.nullif(ld["dateCreated"], F.lit("")), ld["datePublished"])),
+            F.try_element_at(slot_years, F.lit(1)),
+        ).alias("year"),
+        as_list(ld["genre"]).alias("genres"),
+        F.coalesce(tomato, percent(slot_text(slots, "critics-score"))).alias("tomatometer"),
+        percent(slot_text(slots, "audience-score")).alias("audience"),
+        F.when(
+            F.col("consensus.tag").isNotNull(), consensus_text(F.col("consensus.tag"), F.col("consensus.rest"))
+        ).alias("critics_consensus"),
     )
 
 

@@ -15,10 +15,8 @@ _TEXT_FIELDS = {f.name for f in GOLD_SCHEMA if f.dataType.typeName() == "string"
 
 def _first_present(name: str) -> Column:
     """Smallest (rank, input position, value) among non-empty values; 0 is a value, '' is not."""
-    present = F.col(name).isNotNull()
-    if name in _TEXT_FIELDS:
-        present = present & (F.col(name) != "")
-    return F.min(F.when(present, F.struct("source_rank", "seq", F.col(name).alias("value")))).alias(name)
+    present = f"{name} <> ''" if name in _TEXT_FIELDS else f"{name} IS NOT NULL"
+    return F.expr(f"min(struct(source_rank, seq, {name} AS value)) FILTER (WHERE {present}) AS {name}")
 
 
 def survivors(keyed: DataFrame) -> DataFrame:
@@ -58,11 +56,9 @@ def merge_scalars(keyed: DataFrame, matches: DataFrame | None = None) -> DataFra
     if matches is not None:
         state = _with_final_key(state, matches)
         state = state.groupBy("cluster_key").agg(
-            F.min("first_seq").alias("first_seq"), *[F.min(name).alias(name) for name in SCALAR_FIELDS]
+            F.min("first_seq").alias("first_seq"), *[F.expr(f"min({name}) AS {name}") for name in SCALAR_FIELDS]
         )
-    return state.select(
-        "cluster_key", "first_seq", *[F.col(name)["value"].alias(name) for name in SCALAR_FIELDS]
-    )
+    return state.selectExpr("cluster_key", "first_seq", *[f"{name}.value AS {name}" for name in SCALAR_FIELDS])
 
 
 def merge_lists(keyed: DataFrame, matches: DataFrame | None = None) -> DataFrame:

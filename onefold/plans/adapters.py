@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from onefold.functions import scalars as S
 from onefold.functions import text as X
-from onefold.schema import GENRE_NAMES, GOLD_SCHEMA, PARTIAL_SCHEMA, SOURCE_PRIORITY
+from onefold.schema import GENRE_NAMES, PARTIAL_SCHEMA, SOURCE_PRIORITY
 
 
 def source_rank(source: Column) -> Column:
@@ -26,22 +26,17 @@ def sort_key(value: Column) -> Column:
 
 
 def to_partials(clean: DataFrame, source: str, key: Column, fields: dict[str, Column]) -> DataFrame:
-    """Project to the partial schema. `key` must be unique within the source: it orders its records."""
-    values = {"sources": F.array(F.lit(source)), **fields}
-    empty = F.array().cast("array<string>")
-    columns = []
-    for f in GOLD_SCHEMA:
-        value = values.get(f.name)
-        if f.dataType.typeName() == "array":
-            value = empty if value is None else F.coalesce(value, empty)
-        elif value is None:
-            value = F.lit(None)
-        columns.append(value.cast(f.dataType).alias(f.name))
-    rank = source_rank(F.lit(source))
-    seq = F.struct(rank.alias("source_pos"), sort_key(key).alias("key"))
-    return clean.select(
-        *columns, F.lit(source).alias("source"), rank.alias("source_rank"), seq.alias("seq")
-    )
+    """Project to the partial schema; fields the source does not have are null, lists are empty.
+
+    `key` must be unique within the source: it orders its records.
+    """
+    known = source in SOURCE_PRIORITY
+    rank = F.lit(SOURCE_PRIORITY.index(source) if known else len(SOURCE_PRIORITY))
+    empty = F.expr("CAST(array() AS ARRAY<STRING>)")
+    lists = {n: F.coalesce(fields[n], empty) if n in fields else empty for n in ("genres", "keywords")}
+    values = {**fields, **lists, "sources": F.array(F.lit(source)), "source": F.lit(source), "source_rank": rank}
+    seq = F.struct(rank.alias("source_pos"), sort_key(key).alias("key")).alias("seq")
+    return clean.select(*[v.alias(n) for n, v in values.items()], seq).to(PARTIAL_SCHEMA)
 
 
 def tmdb_partials(clean: DataFrame, key: str = "tmdb_id") -> DataFrame:

@@ -33,6 +33,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise `df` once in the shared checkpoint folder; it survives the loss of executors."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write `df` once as a table in the shared checkpoint folder and go on from there.
+
+    The table survives the loss of executors, is computed exactly once, keeps its columns apart for
+    pruning and has a known size, which lets Spark choose the joins that follow.
+    """
+    path = scratch_path(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

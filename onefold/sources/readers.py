@@ -56,6 +56,14 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def read_spread(spark: SparkSession, path: str, key: str) -> DataFrame:
+    """A Parquet scan for work that is heavy per row. Files that cannot be split into at least one part
+    per core are spread by `key`; a table of many files is read as it is, without a shuffle."""
+    df = spark.read.parquet(path)
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
 def read_fresh(spark: SparkSession, path: str, fmt: str, schema: StructType, days: float = MAX_AGE_DAYS) -> DataFrame:
     """Only the files below `path` that are younger than `days` days."""
     since = dt.datetime.now(dt.timezone.utc) - dt.timedelta(days=days)

@@ -10,7 +10,7 @@ taken from it, moved by up to one, so that pages must be linked by title.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from onefold.operators.clean import clean_api, clean_bulk, enrich_ratings, ratings_extract
@@ -19,7 +19,10 @@ from onefold.operators.pages import clean_scraped, page_records, tag_text
 from onefold.plans.adapters import ADAPTERS, collect_partials
 from onefold.plans.gold import build_gold
 from onefold.session import cut_lineage
+from onefold.sources.readers import read_parquet, read_spread
 
+# Tables with long texts, and the key that spreads their rows.
+TEXT_TABLES = {"documents": "doc_id", "pages": "page_id"}
 HEADLINE = 60
 MIN_YEAR = 1970
 
@@ -31,183 +34,151 @@ class Tables:
         self.spark, self.folder = spark, folder
 
     def __getattr__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
-
-
-def headline(text: Column) -> Column:
-    return F.substring(F.element_at(F.split(text, "\n", 2), 1), 1, HEADLINE)
-
-
-def _number(text: Column) -> Column:
-    """src7 -> 7"""
-    return F.substring(text, 4, 10).cast("int")
+        path = f"{self.folder}/{name}.parquet"
+        key = TEXT_TABLES.get(name)
+        table = read_spread(self.spark, path, key) if key else read_parquet(self.spark, path)
+        setattr(self, name, table)
+        return table
 
 
 def titled_documents(t: Tables) -> DataFrame:
     """documents with title, derived year, month and day, and the number in the source name."""
-    return t.documents.select(
+    return t.documents.selectExpr(
         "doc_id",
         "text",
         "lang",
         "source",
         "n_chars",
-        headline(F.col("text")).alias("title"),
-        (F.lit(MIN_YEAR) + F.col("doc_id") % 50).cast("int").alias("y"),
-        (1 + F.col("doc_id") % 12).cast("int").alias("m"),
-        (1 + F.col("doc_id") % 28).cast("int").alias("d"),
-        _number(F.col("source")).alias("n"),
+        f"substring(split(text, '\\n', 2)[0], 1, {HEADLINE}) AS title",
+        f"CAST({MIN_YEAR} + doc_id % 50 AS INT) AS y",
+        "CAST(1 + doc_id % 12 AS INT) AS m",
+        "CAST(1 + doc_id % 28 AS INT) AS d",
+        "CAST(substring(source, 4) AS INT) AS n",
     )
 
 
-def _by_lang(en, fr, de, es) -> Column:
-    c = F.col("lang")
-    lit = [x if isinstance(x, Column) else F.lit(x) for x in (en, fr, de, es)]
-    return F.when(c == "en", lit[0]).when(c == "fr", lit[1]).when(c == "de", lit[2]).otherwise(lit[3])
+def _by_lang(en: str, fr: str, de: str, es: str) -> str:
+    return f"CASE lang WHEN 'en' THEN {en} WHEN 'fr' THEN {fr} WHEN 'de' THEN {de} ELSE {es} END"
 
 
 def api_raw(t: Tables) -> DataFrame:
     """Master source as its API gives it: markup in titles, dates in several forms."""
-    c = F.col
-    loose = F.concat_ws("-", c("y"), c("m"), c("d"))
+    loose = "concat_ws('-', y, m, d)"
     return (
         titled_documents(t)
         .join(t.labels, "doc_id")
-        .select(
-            c("doc_id").alias("id"),
-            F.concat(F.lit("<i>"), c("title"), F.lit("</i> ")).alias("title"),
-            F.upper("title").alias("original_title"),
-            c("lang").alias("original_language"),
-            c("text").alias("overview"),
-            _by_lang(loose, loose, c("y").cast("string"), "unknown").alias("release_date"),
-            ((c("quality") * 75 + c("n")) / F.lit(10.0)).alias("vote_average"),
-            c("n_chars").alias("vote_count"),
-            (c("n_chars") / F.lit(100.0)).alias("popularity"),
-            F.concat(F.lit("/p/"), c("doc_id"), F.lit(".jpg")).alias("poster_path"),
-            F.array(_by_lang(27, 18, 53, 9648), c("n") + 10400).alias("genre_ids"),
+        .selectExpr(
+            "doc_id AS id",
+            "concat('<i>', title, '</i> ') AS title",
+            "concat('original: ', title) AS original_title",
+            "lang AS original_language",
+            "text AS overview",
+            f"{_by_lang(loose, loose, 'CAST(y AS STRING)', repr('unknown'))} AS release_date",
+            "(quality * 75 + n) / 10D AS vote_average",
+            "n_chars AS vote_count",
+            "n_chars / 100D AS popularity",
+            "concat('/p/', doc_id, '.jpg') AS poster_path",
+            f"array({_by_lang('27', '18', '53', '9648')}, n + 10400) AS genre_ids",
         )
     )
 
 
 def bulk_raw(t: Tables) -> DataFrame:
     """Bulk file with its sentinels: NA texts, zero money, dates that are none."""
-    c = F.col
-    iso = F.format_string("%04d-%02d-%02d", c("y"), c("m"), c("d"))
-    genre = _by_lang("Horror", "Drama", "Thriller", "Mystery")
-    return titled_documents(t).select(
-        c("doc_id").alias("id"),
+    genre = _by_lang("'Horror'", "'Drama'", "'Thriller'", "'Mystery'")
+    return titled_documents(t).selectExpr(
+        "doc_id AS id",
         "title",
-        c("title").alias("original_title"),
-        c("lang").alias("original_language"),
-        c("text").alias("overview"),
-        F.when(c("n") < 10, "NA").otherwise(c("source")).alias("tagline"),
-        F.when(c("n") == 19, "bad date").otherwise(iso).alias("release_date"),
-        (c("n_chars") / F.lit(10.0)).alias("popularity"),
-        c("n_chars").alias("vote_count"),
-        c("n").cast("double").alias("vote_average"),
-        (c("n").cast("bigint") * 1000).alias("budget"),
-        (c("n_chars") * 1_000_000).alias("revenue"),
-        (60 + c("n")).cast("bigint").alias("runtime"),
-        F.lit("Released").alias("status"),
-        F.concat(genre, F.lit(", "), F.initcap("source"), F.lit(","), genre).alias("genre_names"),
-        _by_lang(c("source"), "NA", c("source"), c("source")).alias("collection_name"),
+        "title AS original_title",
+        "lang AS original_language",
+        "text AS overview",
+        "CASE WHEN n < 10 THEN 'NA' ELSE source END AS tagline",
+        "CASE WHEN n = 19 THEN 'bad date' ELSE format_string('%04d-%02d-%02d', y, m, d) END AS release_date",
+        "n_chars / 10D AS popularity",
+        "n_chars AS vote_count",
+        "CAST(n AS DOUBLE) AS vote_average",
+        "n * 1000L AS budget",
+        "n_chars * 1000000 AS revenue",
+        "CAST(60 + n AS BIGINT) AS runtime",
+        "'Released' AS status",
+        f"concat({genre}, ', ', initcap(source), ',', {genre}) AS genre_names",
+        f"{_by_lang('source', repr('NA'), 'source', 'source')} AS collection_name",
     )
 
 
 def page_base(t: Tables) -> DataFrame:
-    html = F.col("html")
     number = F.regexp_extract("url", r"/(..)/(\d+)", 2).cast("bigint")
-    return t.pages.select(
+    return t.pages.select("*", tag_text(F.col("html"), "title").alias("title"), number.alias("url_id")).selectExpr(
         "page_id",
         "url",
         "html",
-        F.regexp_extract(html, '<html lang="(..)"', 1).alias("lang"),
-        tag_text(html, "title").alias("title"),
-        number.alias("url_id"),
-        (F.lit(MIN_YEAR) + number % 50 + F.col("page_id") % 3 - 1).cast("int").alias("y"),
-        F.length(html).alias("size"),
+        "regexp_extract(html, '<html lang=\"(..)\"', 1) AS lang",
+        "title",
+        "url_id",
+        f"CAST({MIN_YEAR} + url_id % 50 + page_id % 3 - 1 AS INT) AS y",
+        "length(html) AS size",
     )
 
 
 def title_basics(t: Tables) -> DataFrame:
-    c = F.col
-    return page_base(t).select(
-        F.concat(F.lit("pg"), c("page_id")).alias("tconst"),
-        _by_lang("movie", "movie", "movie", "short").alias("titleType"),
-        c("title").alias("primaryTitle"),
-        c("title").alias("originalTitle"),
-        c("y").alias("startYear"),
-        F.when(c("size") >= 2000, (60 + c("page_id") % 90).cast("int")).alias("runtimeMinutes"),
-        _by_lang("Drama,Horror,Thriller", "horror", "Horror", F.lit(None).cast("string")).alias("genres"),
+    return page_base(t).selectExpr(
+        "concat('pg', page_id) AS tconst",
+        f"{_by_lang(*map(repr, ('movie', 'movie', 'movie', 'short')))} AS titleType",
+        "title AS primaryTitle",
+        "title AS originalTitle",
+        "y AS startYear",
+        "CASE WHEN size >= 2000 THEN CAST(60 + page_id % 90 AS INT) END AS runtimeMinutes",
+        f"{_by_lang(repr('Drama,Horror,Thriller'), repr('horror'), repr('Horror'), 'NULL')} AS genres",
     )
 
 
 def title_ratings(t: Tables) -> DataFrame:
-    c = F.col
-    return page_base(t).select(
-        F.concat(F.lit("pg"), c("page_id")).alias("tconst"),
-        ((c("size") % 90 + 10) / F.lit(10.0)).alias("averageRating"),
-        c("size").cast("int").alias("numVotes"),
+    return page_base(t).selectExpr(
+        "concat('pg', page_id) AS tconst", "(size % 90 + 10) / 10D AS averageRating", "size AS numVotes"
     )
 
 
-def scraped_pages(t: Tables) -> DataFrame:
-    """pages wrapped in the markup of a review site. English and French pages have a JSON-LD record,
-    German ones a broken record and slots, Spanish ones a title slot only."""
-    c, lit = F.col, F.lit
-    score = (c("size") % 101).cast("string")
+def _slot(name: str, content: str) -> str:
+    return f"concat('<rt-text slot=\"{name}\">', {content}, '</rt-text>')"
 
-    def rated(name: str, value: Column) -> Column:
-        return F.struct(lit(name).alias("name"), value.alias("ratingValue"))
 
-    def ld(content: Column) -> Column:
-        return F.concat(lit('<script type="application/ld+json">'), content, lit("</script>"))
+def _ld(content: str) -> str:
+    return f"concat('<script type=\"application/ld+json\">', {content}, '</script>')"
 
-    def slot(name: str, content: Column) -> Column:
-        return F.concat(lit(f'<rt-text slot="{name}">'), content, lit("</rt-text>"))
 
-    english = F.to_json(
-        F.struct(
-            lit("Movie").alias("@type"),
-            c("title").alias("name"),
-            F.concat(c("y"), lit("-03-01")).alias("dateCreated"),
-            F.array(lit("Horror"), lit("Mystery")).alias("genre"),
-            rated("Tomatometer", score).alias("aggregateRating"),
-        )
-    )
-    french = F.to_json(
-        F.struct(
-            F.concat(c("title"), lit(" ("), c("y"), lit(")")).alias("name"),
-            F.concat(lit("Published "), c("y")).alias("datePublished"),
-            lit("Drama").alias("genre"),
-            rated("Popcorn", lit("12")).alias("aggregateRating"),
-        )
-    )
-    safe = F.replace(F.replace(c("title"), lit("&"), lit("&amp;")), lit("<"), lit("&lt;"))
-    german = F.concat(
-        slot("title", safe),
-        slot("metadata-prop", lit("R")),
-        slot("metadata-prop", F.concat(c("y"), lit(", 2h 7m"))),
-        slot("critics-score", F.concat(score, lit("%"))),
-        lit('<div id="critics-consensus"> </div>'),
-    )
-    consensus = F.concat(
-        lit('<div id="critics-consensus"><p>Fresh.</p> Critics Consensus <div>Page '),
-        c("page_id"),
-        lit(" <b>is</b> fine.</div></div><div>after</div>"),
-    )
+def scraped_pages(t: Tables) -> DataFrame:
+    """pages wrapped in the markup of a review site. English and French pages have a JSON-LD record,
+    German ones a broken record and slots, Spanish ones a title slot only."""
+    safe = "replace(replace(title, '&', '&amp;'), '<', '&lt;')"
+    english = """to_json(named_struct('@type', 'Movie', 'name', title, 'dateCreated', concat(y, '-03-01'),
+        'genre', array('Horror', 'Mystery'),
+        'aggregateRating', named_struct('name', 'Tomatometer', 'ratingValue', CAST(size % 101 AS STRING))))"""
+    french = """concat('[{"name": ""}, ', to_json(named_struct('name', concat(title, ' (', y, ')'),
+        'datePublished', concat('Published ', y), 'genre', 'Drama',
+        'aggregateRating', named_struct('name', 'Popcorn', 'ratingValue', '12'))), ']')"""
+    consensus = """concat('<div id="critics-consensus"><p>Fresh.</p> Critics Consensus <div>Page ', page_id,
+        ' <b>is</b> fine.</div></div><div>after</div>')"""
+    german = [
+        _ld("""'{"name": "broken'"""),
+        _slot("title", safe),
+        _slot("metadata-prop", "'R'"),
+        _slot("metadata-prop", "concat(y, ', 2h 7m')"),
+        _slot("critics-score", "concat(size % 101, '%')"),
+        """'<div id="critics-consensus"> </div>'""",
+    ]
     head = _by_lang(
-        F.concat(ld(english), slot("title", lit("other")), consensus),
-        F.concat(ld(F.concat(lit('[{"name": ""}, '), french, lit("]"))), slot("critics-score", lit("33%"))),
-        F.concat(ld(lit('{"name": "broken')), german),
-        slot("title", safe),
+        f"concat({_ld(english)}, {_slot('title', repr('other'))}, {consensus})",
+        f"concat({_ld(french)}, {_slot('critics-score', repr('33%'))})",
+        f"concat({', '.join(german)})",
+        _slot("title", safe),
     )
-    audience = slot("audience-score", F.concat((c("page_id") % 101).cast("string"), lit(" %")))
-    hidden = lit('<!-- <rt-text slot="title">hidden</rt-text> -->')
-    return page_base(t).select("page_id", F.concat("html", hidden, head, audience).alias("html"))
+    hidden = """'<!-- <rt-text slot="title">hidden</rt-text> -->'"""
+    audience = _slot("audience-score", "concat(page_id % 101, ' %')")
+    return page_base(t).selectExpr("page_id", f"concat(html, {hidden}, {head}, {audience}) AS html")
 
 
 def text_input(t: Tables) -> DataFrame:
-    return titled_documents(t).select(F.col("doc_id").cast("string").alias("id"), "title", F.col("text").alias("overview"))
+    return titled_documents(t).selectExpr("CAST(doc_id AS STRING) AS id", "title", "text AS overview")
 
 
 def clean_sources(t: Tables) -> dict[str, DataFrame]:

@@ -135,7 +135,7 @@ NAMED: dict[str, str] = {
     "docs": """SELECT doc_id, text, lang, source, n_chars, substr(split_part(text, chr(10), 1), 1, 60) AS title,
         (1970 + doc_id % 50)::INT AS y, (1 + doc_id % 12)::INT AS m, (1 + doc_id % 28)::INT AS d,
         substr(source, 4)::INT AS n FROM documents""",
-    "api_raw": f"""SELECT doc_id AS id, '<i>' || title || '</i> ' AS title, upper(title) AS original_title,
+    "api_raw": f"""SELECT doc_id AS id, '<i>' || title || '</i> ' AS title, 'original: ' || title AS original_title,
         lang AS original_language, text AS overview,
         {by_lang("y || '-' || m || '-' || d", "y || '-' || m || '-' || d", "y::VARCHAR", "'unknown'")} AS release_date,
         (quality * 75 + n) / 10.0::DOUBLE AS vote_average, n_chars AS vote_count, n_chars / 100.0::DOUBLE AS popularity,

@@ -50,7 +50,7 @@ def main():
     folder, parts = sys.argv[1], sys.argv[2:]
     spark = (
         SparkSession.builder.master("local[8]")
-        .config("spark.ui.enabled", "false")
+        .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", "12g")
         .config("spark.sql.session.timeZone", "UTC")
