@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from onefold.functions.text import tokens, without
+from onefold.session import cut_lineage
 
 TOP_K = 10
 VOCABULARY_SIZE = 20_000
@@ -26,34 +27,47 @@ def english_stop_words() -> list[str]:
         return z.read("org/apache/spark/ml/feature/stopwords/english.txt").decode().split()
 
 
+# What tells documents apart: their id and two independent hashes of their text.
+DOCUMENT = ["id", "text_hash", "text_crc"]
+
+
 def tokenized(docs: DataFrame, min_token_length: int = MIN_TOKEN_LENGTH) -> DataFrame:
-    """`(id, digest, copies, words)` for documents with text.
+    """Significant words of every document with text: `id, text_hash, text_crc, copies, words`.
 
-    Rows with the same id and text are one row with a count. Everything after this shuffle is grouped
-    by (id, digest) or finer, so the exploded words never move again.
+    Rows with the same id and text become one row with a count.
     """
     words = without(tokens(F.col("overview"), min_token_length), english_stop_words())
     return (
         docs.filter(F.length("overview") > 0)
-        .select(F.col("id").try_cast("bigint").alias("id"), F.sha2("overview", 256).alias("digest"), words.alias("words"))
-        .groupBy("id", "digest")
+        .select(
+            F.col("id").try_cast("bigint").alias("id"),
+            F.xxhash64("overview").alias("text_hash"),
+            F.crc32("overview").alias("text_crc"),
+            words.alias("words"),
+        )
+        .groupBy(*DOCUMENT)
         .agg(F.count(F.lit(1)).alias("copies"), F.any_value("words").alias("words"))
     )
 
 
 def term_counts(words: DataFrame) -> DataFrame:
-    """Term frequency: how often each word occurs in each document."""
+    """Term frequency: how often each word occurs in each document.
+
+    The rows of a document are already together, so nothing is shuffled. A document without words has
+    one row with a null term.
+    """
     return (
-        words.select("id", "digest", "copies", F.explode("words").alias("term"))
-        .groupBy("id", "digest", "copies", "term")
-        .agg(F.count(F.lit(1)).alias("tf"))
+        words.select(*DOCUMENT, "copies", F.explode_outer("words").alias("term"))
+        .groupBy(*DOCUMENT, "copies", "term")
+        .agg(F.count("term").alias("tf"))
     )
 
 
 def vocabulary(counts: DataFrame, size: int = VOCABULARY_SIZE, min_documents: int = MIN_DOCUMENTS) -> DataFrame:
     """The `size` most frequent terms among those in at least `min_documents` documents."""
     return (
-        counts.groupBy("term")
+        counts.filter(F.col("term").isNotNull())
+        .groupBy("term")
         .agg(F.sum("copies").alias("df"), F.sum(F.col("copies") * F.col("tf")).alias("cf"))
         .filter(F.col("df") >= min_documents)
         .orderBy(F.desc("cf"), "term")
@@ -61,9 +75,14 @@ def vocabulary(counts: DataFrame, size: int = VOCABULARY_SIZE, min_documents: in
     )
 
 
-def inverse_document_frequency(terms: DataFrame, words: DataFrame) -> DataFrame:
+def word_counts(counts: DataFrame) -> DataFrame:
+    """Significant words per document, repeats counted."""
+    return counts.groupBy(*DOCUMENT, "copies").agg(F.sum("tf").alias("overview_word_count"))
+
+
+def inverse_document_frequency(terms: DataFrame, counts: DataFrame) -> DataFrame:
     """`ln((m + 1) / (df + 1))` with m, the number of documents with text."""
-    m = words.agg(F.coalesce(F.sum("copies"), F.lit(0)).alias("m")).scalar()
+    m = word_counts(counts).agg(F.coalesce(F.sum("copies"), F.lit(0)).alias("m")).scalar()
     return terms.withColumn("idf", F.log((m + 1) / (F.col("df") + 1)))
 
 
@@ -71,9 +90,10 @@ def top_terms(counts: DataFrame, idf: DataFrame, k: int = TOP_K) -> DataFrame:
     """The `k` heaviest terms per document. Equal weights go to the rarer term, then by name.
 
     Weights are compared at nine decimals. A term found in every document weighs 0 and still counts.
-    The vocabulary has at most its configured size in rows, which bounds the broadcast.
+    The vocabulary has at most its configured size in rows, which bounds the broadcast; every task cuts
+    its documents to `k` terms before they are shuffled.
     """
-    place = Window.partitionBy("id", "digest").orderBy(F.desc("weight"), "cf", "term")
+    place = Window.partitionBy(*DOCUMENT).orderBy(F.desc("weight"), "cf", "term")
     return (
         counts.join(F.broadcast(idf), "term")
         .withColumn("weight", F.round(F.col("tf") * F.col("idf"), 9))
@@ -92,24 +112,27 @@ def text_enrichment(
     """`(tmdb_id, overview_word_count, keywords)` from `(id, overview)`.
 
     All documents with text count in the statistics; those without a usable id then drop out.
-    Documents in which no term survives keep an empty list.
+    Documents in which no term survives keep an empty list. The term counts are read three times, so
+    the texts are split once and the counts written as a table.
     """
-    words = tokenized(docs, min_token_length)
-    counts = term_counts(words)
-    idf = inverse_document_frequency(vocabulary(counts, size, min_documents), words)
+    counts = cut_lineage(term_counts(tokenized(docs, min_token_length)))
+    idf = inverse_document_frequency(vocabulary(counts, size, min_documents), counts)
+    keyed = F.col("id").isNotNull()
     ranked = (
         top_terms(counts, idf, k)
-        .groupBy("id", "digest")
+        .filter(keyed)
+        .groupBy(*DOCUMENT)
         .agg(F.array_sort(F.collect_list(F.struct("place", "term"))).alias("ranked"))
     )
     empty = F.array().cast("array<string>")
     return (
-        words.filter(F.col("id").isNotNull())
-        .join(ranked, ["id", "digest"], "left")
+        word_counts(counts)
+        .filter(keyed)
+        .join(ranked, DOCUMENT, "left")
         .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
         .select(
             F.col("id").alias("tmdb_id"),
-            F.size("words").cast("bigint").alias("overview_word_count"),
+            "overview_word_count",
             F.coalesce(F.transform("ranked", lambda r: r["term"]), empty).alias("keywords"),
         )
     )

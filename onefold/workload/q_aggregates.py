@@ -13,6 +13,7 @@ from onefold.operators.survive import cluster_records, merge_lists, merge_scalar
 from onefold.plans.adapters import source_rank
 from onefold.plans.model import load_statistics, normalise
 from onefold.schema import LIST_FIELDS
+from onefold.session import cut_lineage
 from onefold.workload import roles
 from onefold.workload.q_sources import _COUNTS
 from onefold.workload.registry import big, listed, query
@@ -128,7 +129,7 @@ def d13(t):
 
 @query("d15_term_frequency", with_named("SELECT id, count(*) AS terms, sum(tf)::BIGINT AS words, max(tf) AS most FROM tf GROUP BY id"))
 def d15(t):
-    tf = K.term_counts(K.tokenized(roles.text_input(t)))
+    tf = K.term_counts(K.tokenized(roles.text_input(t))).filter(c("term").isNotNull())
     return tf.groupBy("id").agg(
         F.count(F.lit(1)).alias("terms"), F.sum("tf").alias("words"), F.max("tf").alias("most")
     )
@@ -141,16 +142,15 @@ def d16(t):
 
 @query("d17_idf", with_named("SELECT term, df, round(idf, 9) AS idf FROM idf"))
 def d17(t):
-    words = K.tokenized(roles.text_input(t))
-    idf = K.inverse_document_frequency(K.vocabulary(K.term_counts(words)), words)
+    counts = cut_lineage(K.term_counts(K.tokenized(roles.text_input(t))))
+    idf = K.inverse_document_frequency(K.vocabulary(counts), counts)
     return idf.select("term", "df", F.round("idf", 9).alias("idf"))
 
 
 @query("e1_top_terms", with_named("SELECT id, place, term FROM topk"))
 def e1(t):
-    words = K.tokenized(roles.text_input(t))
-    counts = K.term_counts(words)
-    idf = K.inverse_document_frequency(K.vocabulary(counts), words)
+    counts = cut_lineage(K.term_counts(K.tokenized(roles.text_input(t))))
+    idf = K.inverse_document_frequency(K.vocabulary(counts), counts)
     return K.top_terms(counts, idf).select("id", big("place").alias("place"), "term")
 
 
