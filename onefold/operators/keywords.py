@@ -32,7 +32,7 @@ DOCUMENT = ["id", "text_hash", "text_crc"]
 
 
 def tokenized(docs: DataFrame, min_token_length: int = MIN_TOKEN_LENGTH) -> DataFrame:
-    """Significant words of every document with text: `id, text_hash, text_crc, copies, words`.
+    """Significant words of every document with text, sorted: `id, text_hash, text_crc, copies, words`.
 
     Rows with the same id and text become one row with a count.
     """
@@ -46,20 +46,22 @@ def tokenized(docs: DataFrame, min_token_length: int = MIN_TOKEN_LENGTH) -> Data
             words.alias("words"),
         )
         .groupBy(*DOCUMENT)
-        .agg(F.count(F.lit(1)).alias("copies"), F.any_value("words").alias("words"))
+        .agg(F.count(F.lit(1)).alias("copies"), F.any_value(F.sort_array("words")).alias("words"))
     )
 
 
 def term_counts(words: DataFrame) -> DataFrame:
     """Term frequency: how often each word occurs in each document.
 
-    The rows of a document are already together, so nothing is shuffled. A document without words has
-    one row with a null term.
+    Words are sorted, so a term is a run of equal words, counted inside the row without any shuffle. A
+    document without words has one row with a null term.
     """
+    starts = "filter(sequence(0, size(words) - 1), i -> i = 0 OR words[i] <> words[i - 1])"
+    runs = "transform(starts, (s, i) -> struct(words[s] AS term, coalesce(get(starts, i + 1), size(words)) - s AS tf))"
     return (
-        words.select(*DOCUMENT, "copies", F.explode_outer("words").alias("term"))
-        .groupBy(*DOCUMENT, "copies", "term")
-        .agg(F.count("term").alias("tf"))
+        words.withColumn("starts", F.expr(f"CASE WHEN size(words) > 0 THEN {starts} END"))
+        .select(*DOCUMENT, "copies", F.explode_outer(F.expr(runs)).alias("run"))
+        .select(*DOCUMENT, "copies", "run.term", F.coalesce(F.col("run.tf").cast("bigint"), F.lit(0)).alias("tf"))
     )
 
 

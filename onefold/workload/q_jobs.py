@@ -341,8 +341,7 @@ def j18(t):
 
 
 def _jobs(t):
-    clean = roles.clean_sources(t)
-    return {name: (lambda n=name: clean[n]) for name in clean}
+    return {name: (lambda job=job: job(t)) for name, job in roles.CLEANING.items()}
 
 
 @query(

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from onefold.operators.clean import clean_api, clean_bulk, enrich_ratings, ratings_extract
 from onefold.operators.keywords import text_enrichment
 from onefold.operators.pages import clean_scraped, page_records, tag_text
-from onefold.plans.adapters import ADAPTERS, collect_partials
+from onefold.plans.adapters import collect_partials
 from onefold.plans.gold import build_gold
 from onefold.session import cut_lineage
 from onefold.sources.readers import read_parquet, read_spread
@@ -181,25 +181,25 @@ def text_input(t: Tables) -> DataFrame:
     return titled_documents(t).selectExpr("CAST(doc_id AS STRING) AS id", "title", "text AS overview")
 
 
-def clean_sources(t: Tables) -> dict[str, DataFrame]:
+CLEANING = {
+    "tmdb": lambda t: clean_api(api_raw(t)),
+    "rotten_tomatoes": lambda t: clean_scraped(page_records(scraped_pages(t))),
+    "kaggle": lambda t: clean_bulk(bulk_raw(t)),
+    "imdb": lambda t: enrich_ratings(
+        ratings_extract(title_basics(t), title_ratings(t), ordered=False), ordered=False
+    ),
+    "spark": lambda t: text_enrichment(text_input(t)),
+}
+
+
+def clean_sources(t: Tables, sources: list[str] | None = None) -> dict[str, DataFrame]:
     """The clean table of every source, each by its own cleaning query."""
-    return {
-        "tmdb": clean_api(api_raw(t)),
-        "rotten_tomatoes": clean_scraped(page_records(scraped_pages(t))),
-        "kaggle": clean_bulk(bulk_raw(t)),
-        "imdb": enrich_ratings(ratings_extract(title_basics(t), title_ratings(t), ordered=False), ordered=False),
-        "spark": text_enrichment(text_input(t)),
-    }
+    return {name: job(t) for name, job in CLEANING.items() if sources is None or name in sources}
 
 
 def partials(t: Tables, sources: list[str] | None = None) -> DataFrame:
-    """All partials. A merge reads its input more than once, so the costly text and page sources are
-    written before, as the run does with every clean table."""
-    clean = clean_sources(t)
-    for name in ("spark", "rotten_tomatoes"):
-        if sources is None or name in sources:
-            clean[name] = cut_lineage(clean[name])
-    return collect_partials({n: clean[n] for n in ADAPTERS}, sources)
+    """All partials, written once: a merge reads its input several times, each time other columns."""
+    return cut_lineage(collect_partials(clean_sources(t, sources), sources))
 
 
 def gold(t: Tables) -> DataFrame:
