@@ -70,6 +70,7 @@ def similar_titles(
         ["segment"],
         within_bound(F.col("norm"), F.col("anchor_norm"), threshold)
         & F.col("anchor_year").between(F.col("year") - tolerance, F.col("year") + tolerance),
+        rows_per_key=anchored.count(),
     )
     once = pairs.groupBy("norm", "year", "anchor_norm", "anchor_year").agg(F.min("anchor").alias("anchor"))
     return once.withColumn("ratio", ratio(F.col("norm"), F.col("anchor_norm"))).filter(
@@ -87,6 +88,19 @@ def equal_titles(floating: DataFrame, anchored: DataFrame, tolerance: int = YEAR
     )
 
 
+def _order(nearest_year: bool) -> Column:
+    """What a pair is judged by; the smallest wins."""
+    year = F.abs(F.col("anchor_year") - F.col("year")) if nearest_year else F.col("anchor_year")
+    return F.struct(
+        (-F.col("ratio")).alias("distance"),
+        year.alias("by_year"),
+        "anchor_year",
+        F.col("anchor.first_seq").alias("first_seq"),
+        F.col("anchor.cluster_key").alias("anchor_key"),
+        "ratio",
+    )
+
+
 def best_matches(
     reps: DataFrame,
     threshold: int = THRESHOLD,
@@ -99,26 +113,19 @@ def best_matches(
     comes first in the input. Equal titles settle most clusters before any segment is cut: no other
     title can reach a rounded ratio of 100 unless the two have 200 characters together.
     """
-    anchored, floating = anchored_titles(reps), floating_titles(reps)
-    equal = equal_titles(floating, anchored, tolerance)
-    settled = equal.filter(F.length("norm") < 100).select("norm", "year").distinct()
-    open_titles = cut_lineage(floating.join(settled, ["norm", "year"], "left_anti"))
-    pairs = equal
-    if not open_titles.isEmpty():
-        pairs = equal.unionByName(similar_titles(open_titles, anchored, threshold, tolerance))
-    year_order = F.abs(F.col("anchor_year") - F.col("year")) if nearest_year else F.col("anchor_year")
-    order = F.struct(
-        (-F.col("ratio")).alias("distance"),
-        year_order.alias("by_year"),
-        "anchor_year",
-        F.col("anchor.first_seq").alias("first_seq"),
-        F.col("anchor.cluster_key").alias("anchor_key"),
-        "ratio",
-    )
-    best = pairs.groupBy("norm", "year").agg(F.min(order).alias("best"))
+    best_of = F.min(_order(nearest_year)).alias("best")
+    anchored, floating = cut_lineage(anchored_titles(reps)), floating_titles(reps)
+    equal = equal_titles(floating, anchored, tolerance).groupBy("norm", "year").agg(best_of)
+    first = cut_lineage(floating.join(equal, ["norm", "year"], "left"))
+    best = first.filter(F.col("best").isNotNull())
+    still_open = first.filter(F.col("best").isNull() | (F.length("norm") >= 100)).select("norm", "year")
+    if not still_open.isEmpty():
+        similar = similar_titles(still_open, anchored, threshold, tolerance)
+        similar = similar.groupBy("norm", "year").agg(best_of)
+        best = best.unionByName(similar).groupBy("norm", "year").agg(F.min("best").alias("best"))
     floats = titled(reps).filter(~F.col("has_tmdb")).select("cluster_key", "norm", "year")
     return (
-        lookup_join(floats, best, ["norm", "year"])
+        lookup_join(floats, best, ["norm", "year"], rows_per_key=reps.count())
         .filter(F.col("best").isNotNull())
         .select("cluster_key", "best.anchor_key", "best.ratio", "best.anchor_year")
     )
@@ -170,7 +177,9 @@ def _probes(floating: DataFrame, threshold: int, tolerance: int) -> DataFrame:
 
     Take the first segment `i` up to which fewer than `i` edits happened. It is untouched, exactly
     `i - 1` edits lie before it and at most `k + 1 - i` behind it, which bounds how far it can have moved.
+    A title of 20 characters has some 60 probes per year, so the few titles are spread before they grow.
     """
+    tasks = int(floating.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     lb, la, parts, i, k = F.length("norm"), F.col("la"), F.col("parts"), F.col("i"), F.col("k")
     grown = lb - la
     start, end = _cut(la, parts, i - 1), _cut(la, parts, i)
@@ -178,6 +187,7 @@ def _probes(floating: DataFrame, threshold: int, tolerance: int) -> DataFrame:
     high = F.least(i - 1, grown + (k + 1 - i), F.floor((k + grown) / 2).cast("int"), lb - end)
     return (
         floating.filter(lb > 0)
+        .repartition(tasks, "norm", "year")
         .withColumn("la", F.explode(F.sequence(_shortest_partner(lb, threshold), _longest_partner(lb, threshold))))
         .withColumn("k", distance_bound(la + lb, threshold))
         .filter(F.abs(grown) <= k)
@@ -188,5 +198,4 @@ def _probes(floating: DataFrame, threshold: int, tolerance: int) -> DataFrame:
         .withColumn("probe_year", F.explode(_years(F.col("year"), tolerance)))
         .withColumn("segment", _segment_key(F.col("probe_year"), la, i, F.col("text")))
         .select("segment", "norm", "year")
-        .distinct()
     )

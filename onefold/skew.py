@@ -14,12 +14,20 @@ HOT_ROWS = 50_000
 SALTS = 64
 
 
-def hot_keys(df: DataFrame, keys: list[str], share: float = HOT_SHARE, rows: int = HOT_ROWS) -> DataFrame | None:
+def hot_keys(
+    df: DataFrame,
+    keys: list[str],
+    share: float = HOT_SHARE,
+    rows: int = HOT_ROWS,
+    rows_per_key: int | None = None,
+) -> DataFrame | None:
     """Keys that hold at least `share` of the rows of `df`, or None when there are none.
 
     At most `1 / share` keys can qualify, and those are among the `1 / share` largest. Keys below
     `rows` rows fit any task and are never treated as hot.
     """
+    if rows_per_key is not None and rows_per_key < rows:
+        return None
     counts = df.dropna(subset=keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     largest = counts.filter(F.col("_n") >= rows).orderBy(F.desc("_n")).limit(int(1 / share)).collect()
     if not largest:
@@ -30,14 +38,20 @@ def hot_keys(df: DataFrame, keys: list[str], share: float = HOT_SHARE, rows: int
 
 
 def lookup_join(
-    left: DataFrame, right: DataFrame, keys: list[str], share: float = HOT_SHARE, rows: int = HOT_ROWS
+    left: DataFrame,
+    right: DataFrame,
+    keys: list[str],
+    share: float = HOT_SHARE,
+    rows: int = HOT_ROWS,
+    rows_per_key: int | None = None,
 ) -> DataFrame:
     """Left join to a `right` side that is unique per key.
 
     Rows of hot keys get their values from a broadcast of the bounded hot part of `right` and are
-    spread over salted keys that match nothing, so no task receives a hot key as a whole.
+    spread over salted keys that match nothing, so no task receives a hot key as a whole. Where the
+    caller knows that no key has more than `rows_per_key` rows, a small bound saves the search.
     """
-    hot = hot_keys(left, keys, share, rows)
+    hot = hot_keys(left, keys, share, rows, rows_per_key)
     if hot is None:
         return left.join(right, keys, "left")
     values = [c for c in right.columns if c not in keys]
@@ -67,10 +81,11 @@ def salted_join(
     condition: Column | None = None,
     share: float = HOT_SHARE,
     rows: int = HOT_ROWS,
+    rows_per_key: int | None = None,
 ) -> DataFrame:
     """Inner join where `left` may have hot keys: those are split over salts, and only the rows of
     `right` that meet a hot key are repeated once per salt."""
-    hot = hot_keys(left, keys, share, rows)
+    hot = hot_keys(left, keys, share, rows, rows_per_key)
     if hot is None:
         joined = left.join(right, keys)
         return joined if condition is None else joined.filter(condition)
