@@ -19,7 +19,7 @@ def read_json(spark: SparkSession, path: str, schema: StructType, one_array: boo
     reader = spark.read.schema(schema).option("mode", "FAILFAST")
     if not one_array:
         return reader.json(path)
-    texts = spark.read.option("wholetext", True).text(path)
+    texts = spark.read.text(path, wholetext=True)
     checked = texts.withColumn(
         "value",
         F.when(F.col("value").rlike(r"^\s*\["), F.col("value")).otherwise(
