@@ -66,7 +66,7 @@ def similar_titles(
         raise ValueError("threshold must be at least 1: every pair has a ratio of 0 or more")
     pairs = salted_join(
         _segments(anchored, threshold),
-        _probes(floating, threshold, tolerance),
+        _probes(floating, anchored, threshold, tolerance),
         ["segment"],
         within_bound(F.col("norm"), F.col("anchor_norm"), threshold)
         & F.col("anchor_year").between(F.col("year") - tolerance, F.col("year") + tolerance),
@@ -172,13 +172,15 @@ def _segments(anchored: DataFrame, threshold: int) -> DataFrame:
     )
 
 
-def _probes(floating: DataFrame, threshold: int, tolerance: int) -> DataFrame:
+def _probes(floating: DataFrame, anchored: DataFrame, threshold: int, tolerance: int) -> DataFrame:
     """Where each segment of a matching title could be found in a floating title.
 
     Take the first segment `i` up to which fewer than `i` edits happened. It is untouched, exactly
     `i - 1` edits lie before it and at most `k + 1 - i` behind it, which bounds how far it can have moved.
     A title of 20 characters has some 60 probes per year, so the few titles are spread before they grow.
+    Only lengths that occur among the anchored titles of a year are looked for.
     """
+    lengths = anchored.select(F.col("anchor_year").alias("probe_year"), F.length("anchor_norm").alias("la")).distinct()
     tasks = int(floating.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     lb, la, parts, i, k = F.length("norm"), F.col("la"), F.col("parts"), F.col("i"), F.col("k")
     grown = lb - la
@@ -191,11 +193,12 @@ def _probes(floating: DataFrame, threshold: int, tolerance: int) -> DataFrame:
         .withColumn("la", F.explode(F.sequence(_shortest_partner(lb, threshold), _longest_partner(lb, threshold))))
         .withColumn("k", distance_bound(la + lb, threshold))
         .filter(F.abs(grown) <= k)
+        .withColumn("probe_year", F.explode(_years(F.col("year"), tolerance)))
+        .join(lengths, ["probe_year", "la"], "left_semi")
         .withColumn("parts", _segment_count(la, threshold))
         .withColumn("i", F.explode(F.sequence(F.lit(1), k + 1)))
         .withColumn("shift", F.explode(F.when(low <= high, F.sequence(low, high))))
         .withColumn("text", F.substring(F.col("norm"), start + F.col("shift") + 1, end - start))
-        .withColumn("probe_year", F.explode(_years(F.col("year"), tolerance)))
         .withColumn("segment", _segment_key(F.col("probe_year"), la, i, F.col("text")))
         .select("segment", "norm", "year")
     )
