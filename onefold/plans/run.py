@@ -11,7 +11,7 @@ from onefold.operators.clean import THEME
 from onefold.operators.quality import quality_report
 from onefold.plans.adapters import collect_partials
 from onefold.plans.gold import build_gold, typed
-from onefold.plans.model import load_statistics, normalise
+from onefold.plans.model import TABLES, load_statistics, normalise
 from onefold.sources.readers import missing_as_empty, read_parquet
 from onefold.sources.writers import current_snapshot, publish, write_parquet
 from onefold.schema import API_SCHEMA, BULK_SCHEMA, RATINGS_EXTRACT_SCHEMA, SCRAPED_SCHEMA, TEXT_ENRICHMENT_SCHEMA
@@ -80,12 +80,6 @@ def run(
     if load:
         publish(spark, normalise(gold, ["first_seq"]), f"{root}/model")
         where = current_snapshot(spark, f"{root}/model")
-        tables = {n: read_parquet(spark, f"{where}/{n}") for n in normalised_names()}
+        tables = {n: read_parquet(spark, f"{where}/{n}") for n in TABLES}
         summary["load"] = {r.table_name: r.rows for r in load_statistics(tables).collect()}
     return summary
-
-
-def normalised_names() -> tuple[str, ...]:
-    from onefold.plans.model import TABLES
-
-    return TABLES
