@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import json
 import os
+import tempfile
 import time
 
 from pyspark.sql import SparkSession
@@ -44,6 +45,7 @@ def main() -> None:
         .config("spark.driver.memory", "16g")
         .config("spark.sql.shuffle.partitions", cpus)
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="onefold-bench-"))
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )

@@ -2,14 +2,10 @@
 
 from __future__ import annotations
 
-import zipfile
-from functools import lru_cache
-from pathlib import Path
-
-import pyspark
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from onefold.functions.stopwords import ENGLISH
 from onefold.functions.text import tokens, without
 from onefold.session import cut_lineage
 
@@ -19,14 +15,6 @@ MIN_DOCUMENTS = 2
 MIN_TOKEN_LENGTH = 3
 
 
-@lru_cache
-def english_stop_words() -> list[str]:
-    """The default English list that ships with Spark's feature transformers."""
-    jar = next((Path(pyspark.__file__).parent / "jars").glob("spark-mllib_*.jar"))
-    with zipfile.ZipFile(jar) as z:
-        return z.read("org/apache/spark/ml/feature/stopwords/english.txt").decode().split()
-
-
 # What tells documents apart: their id and two independent hashes of their text.
 DOCUMENT = ["id", "text_hash", "text_crc"]
 
@@ -36,7 +24,7 @@ def tokenized(docs: DataFrame, min_token_length: int = MIN_TOKEN_LENGTH) -> Data
 
     Rows with the same id and text become one row with a count.
     """
-    words = without(tokens(F.col("overview"), min_token_length), english_stop_words())
+    words = without(tokens(F.col("overview"), min_token_length), ENGLISH)
     return (
         docs.filter(F.length("overview") > 0)
         .select(

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,8 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 def checkpoint_dir(spark: SparkSession) -> str:
     """Folder for checkpoints: the one the cluster names in `spark.checkpoint.dir`.
 
-    Only a local session without that setting gets a temporary folder of its own; on a cluster
-    such a folder would be lost with its machine, so there the setting is required.
+    A local session without that setting uses a folder below its warehouse; on a cluster the setting
+    is required.
     """
     sc = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
@@ -22,7 +21,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if named is None:
         if not sc.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        named = tempfile.mkdtemp(prefix="onefold-")
+        named = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/onefold-scratch"
     sc.setCheckpointDir(named)
     return named
 

@@ -8,7 +8,8 @@ from onefold.functions import scalars as S
 from onefold.functions import similarity as M
 from onefold.functions import text as X
 from onefold.operators import clean as C
-from onefold.operators.keywords import MIN_TOKEN_LENGTH, english_stop_words, text_enrichment
+from onefold.functions.stopwords import ENGLISH
+from onefold.operators.keywords import MIN_TOKEN_LENGTH, text_enrichment
 from onefold.operators.pages import clean_scraped, page_records
 from onefold.plans import adapters as A
 from onefold.plans.gold import with_theme
@@ -343,13 +344,13 @@ def h24(t):
 
 @query("h25_stop_words", f"SELECT conv_id, turn, array_to_string({significant('text')}, ' ') AS words FROM conversations")
 def h25(t):
-    words = X.without(X.tokens(c("text")), english_stop_words())
+    words = X.without(X.tokens(c("text")), ENGLISH)
     return t.conversations.select("conv_id", "turn", F.array_join(words, " ").alias("words"))
 
 
 @query("h26_significant_words", f"SELECT doc_id, len({significant('text')}) AS words FROM documents")
 def h26(t):
-    return t.documents.select("doc_id", big(F.size(X.without(X.tokens(c("text")), english_stop_words()))).alias("words"))
+    return t.documents.select("doc_id", big(F.size(X.without(X.tokens(c("text")), ENGLISH))).alias("words"))
 
 
 @query("c10_genre_names", with_named(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from onefold.operators.keywords import english_stop_words
+from onefold.functions.stopwords import ENGLISH
 from onefold.schema import GENRE_NAMES, GOLD_SCHEMA, LIST_FIELDS
 
 # Fixed value: white space in the Unicode sense, as a character class.
@@ -15,7 +15,7 @@ def quoted(values) -> str:
     return ", ".join("'" + str(v).replace("'", "''") + "'" for v in values)
 
 
-STOP = f"[{quoted(english_stop_words())}]"
+STOP = f"[{quoted(ENGLISH)}]"
 
 
 def norm_text(x: str) -> str:

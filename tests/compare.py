@@ -6,6 +6,7 @@ As a script: python tests/compare.py FOLDER [NAME_PART ...]
 from __future__ import annotations
 
 import sys
+import tempfile
 import time
 from collections import Counter
 from pathlib import Path
@@ -53,6 +54,7 @@ def main():
         .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", "12g")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="onefold-compare-"))
         .config("spark.sql.session.timeZone", "UTC")
         .getOrCreate()
     )
