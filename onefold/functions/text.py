@@ -55,8 +55,7 @@ def as_list(json_text: Column) -> Column:
 
 def names_of(ids: Column, names: dict[int, str]) -> Column:
     """Dictionary lookup inside an array: order kept, unknown ids dropped."""
-    pairs = ", ".join(f"{i}, '{name}'" for i, name in names.items())
-    table = F.expr(f"map({pairs})")
+    table = F.create_map(*[F.lit(x) for pair in names.items() for x in pair])
     return F.coalesce(
         F.filter(F.transform(ids, lambda i: F.try_element_at(table, i)), lambda n: n.isNotNull()),
         F.array().cast("array<string>"),

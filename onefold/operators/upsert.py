@@ -11,7 +11,13 @@ from onefold.operators.clean import keep_last
 
 
 def insert_if_absent(target: DataFrame, rows: DataFrame, keys: list[str]) -> DataFrame:
-    """`target` plus the rows whose key it does not have."""
+    """`target` plus the rows whose key it does not have; of rows with equal keys the least is inserted."""
+    others = [c for c in rows.columns if c not in keys]
+    if others:
+        least = rows.groupBy(*keys).agg(F.min(F.struct(*others)).alias("_row"))
+        rows = least.select(*[F.col(c) if c in keys else F.col("_row")[c].alias(c) for c in rows.columns])
+    else:
+        rows = rows.distinct()
     return target.unionByName(rows.join(target.select(*keys), keys, "left_anti"), allowMissingColumns=True)
 
 
@@ -27,8 +33,10 @@ def upsert(
     """Update `fields` where the key exists, insert where it does not; the last row per key wins.
 
     `touched` names a timestamp column set to the current time on rows that were written, `created` one
-    that is set only on inserted rows. Other columns of the target keep their value.
+    that is set only on inserted rows. Other columns of the target keep their value. Rows with a null key
+    are not written; `load_counts` counts them as errors.
     """
+    rows, _ = split_valid(rows, keys)
     news = keep_last(rows.select(*dict.fromkeys([*keys, *fields, *order])), keys, order)
     packed = news.select(*keys, F.struct(*fields).alias("_new"))
     both = target.withColumn("_old", F.lit(True)).join(packed, keys, "full")

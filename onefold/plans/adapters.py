@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from onefold.functions import scalars as S
@@ -25,17 +25,30 @@ def sort_key(value: Column) -> Column:
     return F.when(text.rlike(r"^\d{1,20}$"), F.lpad(text, 20, "0")).otherwise(text)
 
 
+def row_key(columns: list[str], natural: Column) -> Column:
+    """A key that is never null and unique within a source, as text that sorts like the natural key.
+
+    Records without a natural key, or with a blank one, are known by a hash of the whole record and come
+    last; equal keys are numbered from the second on. So no two records ever fall together by their key.
+    """
+    record = F.xxhash64(*columns)
+    text = sort_key(natural)
+    base = F.when(F.trim(text) != "", text).otherwise(F.concat(F.lit("~"), F.hex(record), F.hex(F.hash(*columns))))
+    nth = F.row_number().over(Window.partitionBy(base).orderBy(record))
+    return F.when(nth == 1, base).otherwise(F.concat(base, F.lit("~"), nth.cast("string")))
+
+
 def to_partials(clean: DataFrame, source: str, key: Column, fields: dict[str, Column]) -> DataFrame:
     """Project to the partial schema; fields the source does not have are null, lists are empty.
 
-    `key` must be unique within the source: it orders its records.
+    `key` orders the source's records; it may be null, blank or repeated.
     """
     known = source in SOURCE_PRIORITY
     rank = F.lit(SOURCE_PRIORITY.index(source) if known else len(SOURCE_PRIORITY))
     empty = F.expr("CAST(array() AS ARRAY<STRING>)")
     lists = {n: F.coalesce(fields[n], empty) if n in fields else empty for n in ("genres", "keywords")}
     values = {**fields, **lists, "sources": F.array(F.lit(source)), "source": F.lit(source), "source_rank": rank}
-    seq = F.struct(rank.alias("source_pos"), sort_key(key).alias("key")).alias("seq")
+    seq = F.struct(rank.alias("source_pos"), row_key(clean.columns, key).alias("key")).alias("seq")
     return clean.select(*[v.alias(n) for n, v in values.items()], seq).to(PARTIAL_SCHEMA)
 
 
@@ -97,11 +110,12 @@ def kaggle_partials(clean: DataFrame, key: str = "id") -> DataFrame:
 
 
 def rotten_partials(clean: DataFrame, key: str = "page_id") -> DataFrame:
+    """Scraped records carry no key of their own; `key` is used where the table has it."""
     c = F.col
     return to_partials(
         clean,
         "rotten_tomatoes",
-        c(key),
+        c(key) if key in clean.columns else F.lit(None).cast("string"),
         {
             "title": c("title"),
             "year": S.to_int(c("year")),

@@ -91,7 +91,7 @@ def b4(t):
 
 @query("b5_adapter_imdb", with_named(_PARTIAL + "p_imdb"))
 def b5(t):
-    return _partial_view(A.imdb_partials(C.ratings_extract(roles.title_basics(t), roles.title_ratings(t))))
+    return _partial_view(A.imdb_partials(C.ratings_extract(roles.title_basics(t), roles.title_ratings(t), ordered=False)))
 
 
 @query("b6_adapter_kaggle", with_named(_PARTIAL + "p_kaggle"))
@@ -133,7 +133,7 @@ def b11(t):
 
 @query("b12_theme_member", with_named("SELECT seq, array_to_string(genres, '|') AS genres FROM p_imdb WHERE list_contains(genres, 'Horror')"))
 def b12(t):
-    df = with_theme(A.imdb_partials(C.ratings_extract(roles.title_basics(t), roles.title_ratings(t))))
+    df = with_theme(A.imdb_partials(C.ratings_extract(roles.title_basics(t), roles.title_ratings(t), ordered=False)))
     return df.select(F.concat_ws(":", "seq.source_pos", "seq.key").alias("seq"), F.array_join("genres", "|").alias("genres"))
 
 

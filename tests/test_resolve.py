@@ -7,7 +7,7 @@ from helpers import clusters, partial, partials_df, ratio
 from pyspark.sql import functions as F
 
 from onefold.operators.fuzzy import candidate_counts, similar_titles
-from onefold.operators.links import connected_components, link_groups
+from onefold.operators.links import connected_components, link_groups, with_link_keys
 from onefold.operators.survive import cluster_records, reconcile, representatives
 from onefold.operators.links import with_cluster_key
 from onefold.schema import SOURCE_PRIORITY
@@ -172,3 +172,24 @@ def test_three_sources_end_to_end(spark):
     assert len(got) == 1
     assert (got[0].tmdb_id, got[0].imdb_id, got[0].budget, got[0].imdb_average_rating) == (1, "tt7", 10_000_000, 7.3)
     assert got[0].genres == ["Horror", "Drama"]
+
+
+def test_records_without_a_key_of_their_own_stay_apart(spark):
+    """Null, blank and repeated natural keys, whole copies included, in all floating sources."""
+    from onefold.plans import adapters as A
+
+    bulk = spark.createDataFrame(
+        [(i, t, y) for i, t, y in [(None, "A", 1), (None, "B", 2), (None, "B", 2), (5, "C", 3), (5, "D", 4)]],
+        "id long, title string, release_date string",
+    )
+    for name in ("original_title", "original_language", "overview", "tagline", "collection_name", "status", "genre_names"):
+        bulk = bulk.withColumn(name, F.lit(None).cast("string"))
+    for name in ("runtime", "budget", "revenue"):
+        bulk = bulk.withColumn(name, F.lit(None).cast("long"))
+    scraped = spark.createDataFrame(
+        [("A", "1"), ("B", "2"), ("B", "2")], "title string, year string"
+    ).selectExpr("*", "'' AS tomatometer", "'' AS audience", "'' AS critics_consensus", "array('x') AS genres")
+    for found, rows in ((A.kaggle_partials(bulk), 5), (A.rotten_partials(scraped), 3)):
+        keys = [r.k for r in found.selectExpr("seq.key AS k").collect()]
+        assert len(set(keys)) == rows == len(keys) and None not in keys
+    assert with_link_keys(A.rotten_partials(scraped)).select("row_key").distinct().count() == 3
