@@ -211,18 +211,17 @@ class Walker:
         return [np.frombuffer(b"".join(map(known.__getitem__, words)), dtype=np.int32) for words in part]
 
 
-def decode_ids(ids: list[int], pieces: Pieces, names: dict[int, str] | None = None) -> str:
+def decoding_table(pieces: Pieces) -> dict[int, bytes]:
+    """The bytes that each id stands for; the unknown piece has a sign of its own."""
+    table = {i: piece.replace(MARK, " ").encode("utf-8", "surrogatepass") for piece, i in pieces.ids.items()}
+    table |= {i: bytes([b]) for b, i in pieces.byte_ids.items()}
+    table[pieces.unknown] = " ⁇ ".encode()
+    return table
+
+
+def decode_ids(ids: list[int], table: dict[int, bytes]) -> str:
     """The text of a sequence of ids."""
-    names = names or {i: p for p, i in pieces.ids.items()}
-    bytes_of = {i: b for b, i in pieces.byte_ids.items()}
-    out = bytearray()
-    for i in ids:
-        if i in bytes_of:
-            out.append(bytes_of[i])
-        else:
-            out += names.get(i, " ⁇ ").encode()
-    text = out.decode("utf-8", "replace").replace(MARK, " ")
-    return text[1:] if text.startswith(" ") else text
+    return b"".join(map(table.__getitem__, ids)).decode("utf-8", "replace").removeprefix(" ")
 
 
 def encode(docs: DataFrame, pieces: Pieces, columns: list[str], text_column: str = "text", name: str = "ids") -> DataFrame:
@@ -250,10 +249,10 @@ def decode(encoded: DataFrame, pieces: Pieces, ids_column: str = "ids", name: st
     at = columns.index(ids_column)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = Pieces(**shared.value)
-        names = {i: p for p, i in own.ids.items()}
+        table = decoding_table(Pieces(**shared.value))
         for batch in batches:
-            texts = [None if x is None else decode_ids(x, own, names) for x in batch.column(at).to_pylist()]
+            # Row by row: as Python objects the ids of a whole batch would take far more than the batch.
+            texts = [None if not x.is_valid else decode_ids(x.values.to_numpy().tolist(), table) for x in batch.column(at)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*columns, name])
 
     return encoded.mapInArrow(run, with_field(encoded.schema, name, T.StringType()))

@@ -75,10 +75,10 @@ def test_pieces_equal_the_library(spark):
     library = sentencepiece.SentencePieceProcessor(model_file=pieces.MODEL_PATH)
     docs = documents(spark).select("doc_id", "text", F.lit(1).alias("ids"))
     texts = [r.text for r in docs.collect()]
-    walker = pieces.Walker(vocabulary)
+    walker, table = pieces.Walker(vocabulary), pieces.decoding_table(vocabulary)
     for text, ids in zip(texts + ODD, walker.encode_texts(texts + ODD), strict=True):
         assert ids.tolist() == library.encode(text or "")
-        assert pieces.decode_ids(ids.tolist(), vocabulary) == (text or "").replace("▁", " ")
+        assert pieces.decode_ids(ids.tolist(), table) == (text or "").replace("▁", " ")
     encoded = pieces.encode(docs, vocabulary, ["doc_id", "text"], name="pieces_of")
     for r in pieces.decode(encoded, vocabulary, "pieces_of").collect():
         assert r.pieces_of == library.encode(r.text or "") and r.decoded == (r.text or "").replace("▁", " ")
