@@ -33,46 +33,67 @@ from onefold.session import cut_lineage
 BUCKETS = 1 << 14
 ORDERS = 3
 MAX_LABELS = 20_000
-MEMO_WORDS = 300_000
+MEMO_WORDS, MEMO_SHAPES, SHAPE_BITS = 300_000, 5_000, 32
 BINS, SMALL = 2_000, 5_000
 END_SIGNS = re.compile(r"[^\w\s]+$")
 
 
-def shape(word: str) -> int:
-    """A number for the coarse look of a word."""
-    signs = END_SIGNS.search(word)
-    tail = signs.group()[:3] if signs else ""
-    core = word[: len(word) - len(signs.group())] if signs else word
+def shape(word: str) -> tuple:
+    """The coarse look of a word: letter case, length class, digits, and the signs at its end."""
+    if word.isalpha():
+        tail, core = "", word
+    else:
+        signs = END_SIGNS.search(word)
+        tail, core = (signs.group()[:3], word[: signs.start()]) if signs else ("", word)
     case = 0 if not core else 1 if core.islower() else 2 if core.isupper() and len(core) > 1 else 3 if core[:1].isupper() else 4
-    digits = any(c.isdigit() for c in core)
-    key = (case, min(len(core).bit_length(), 6), digits, tail)
-    # A fixed hash: Python's own differs between processes.
+    digits = not core.isalpha() and any(c.isdigit() for c in core)
+    return case, min(len(core).bit_length(), 6), digits, tail
+
+
+def _shape_hash(look: tuple) -> int:
+    """A fixed even number below 2^64; Python's own hash differs between processes."""
     value = 1469598103934665603
-    for b in repr(key).encode():
+    for b in repr(look).encode():
         value = (value ^ b) * 1099511628211 % (1 << 64)
     return (value >> 1) << 1
 
 
+class Memo(dict):
+    """Word -> (its number << SHAPE_BITS) + the place of its shape in `hashes`; bounded in both."""
+
+    def __init__(self):
+        super().__init__()
+        self.places, self.hashes = {}, []
+
+    def __missing__(self, word: str) -> int:
+        look = shape(word)
+        place = self.places.get(look)
+        if place is None:
+            place = self.places[look] = len(self.hashes)
+            self.hashes.append(_shape_hash(look))
+        self[word] = value = (len(self) << SHAPE_BITS) + place
+        return value
+
+    def of(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers that are equal for equal words, and the shape hashes."""
+        if len(self) > MEMO_WORDS or len(self.hashes) > MEMO_SHAPES:
+            self.clear()
+            self.places, self.hashes = {}, []
+        found = np.fromiter(map(self.__getitem__, words), dtype=np.int64, count=len(words))
+        return found, np.array(self.hashes, dtype=np.uint64)[found & ((1 << SHAPE_BITS) - 1)]
+
+
 def _mixed(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
     return x ^ (x >> np.uint64(29))
 
 
-def buckets_of(text: str | None, memo: dict[str, tuple[int, int]]) -> np.ndarray:
+def buckets_of(text: str | None, memo: Memo) -> np.ndarray:
     """The bucket of every n-gram of a text, repeats included."""
     words = (text or "").split()
     if not words:
         return np.zeros(0, dtype=np.int64)
-    if len(memo) > MEMO_WORDS:
-        memo.clear()
-    numbers, shapes = [], []
-    for w in words:
-        known = memo.get(w)
-        if known is None:
-            known = memo[w] = (len(memo), shape(w))
-        numbers.append(known[0])
-        shapes.append(known[1])
-    ids, tokens = np.array(numbers), np.array(shapes, dtype=np.uint64)
+    ids, tokens = memo.of(words)
     tokens[1:] |= (ids[1:] == ids[:-1]).astype(np.uint64)
     run, found = _mixed(tokens), []
     for order in range(1, ORDERS + 1):
@@ -88,7 +109,7 @@ def _bucket_counts(texts: DataFrame) -> np.ndarray:
     """Counts per bucket over a one-column table of texts; each batch sends one row per bucket at most."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo: dict = {}
+        memo = Memo()
         total = np.zeros(BUCKETS, dtype=np.int64)
         for batch in batches:
             for text in batch.column(0).to_pylist():
@@ -180,7 +201,7 @@ def resample(
     noise = fresh("_noise", [*columns, text])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo: dict = {}
+        memo = Memo()
         logs = shared.value
         for batch in batches:
             found = [float(logs[buckets_of(t, memo)].sum()) for t in batch.column(text).to_pylist()]
