@@ -11,6 +11,7 @@ scores every document.
 Words become telling by the rule of `telling_items`: precision of at least `PRECISION`, and so many toxic
 texts that chance, over all items tried, would hardly give them. The sample holds about `max_labels` labelled
 rows, chosen by a hash; it is the only input of the fit, its size is bounded, and so are voters and features.
+Spark counts the items of the sample; the driver sees votes, the chosen features, and their places in rows.
 Scoring reads every whole text. Null and empty texts get the score of a text without features. Repeated rows
 get equal scores. Without labels of both kinds only the public list and the patterns vote.
 """
@@ -19,8 +20,7 @@ from __future__ import annotations
 
 import math
 import re
-from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +35,7 @@ PRECISION, CHANCE = 0.9, 0.05
 VOTERS = 16
 BEGINNINGS = (4, 5, 6)
 MAX_FEATURES = 4_000
+BELIEF_UNITS, MEMO_WORDS = 1 << 30, 200_000
 THRESHOLD = 0.3
 # Fixed value: insults of everyday English.
 PUBLIC_WORDS = "idiot moron stupid scum loser pathetic worthless disgusting trash clown".split()
@@ -52,20 +53,20 @@ def items_of(text: str | None) -> set[str]:
     return words | {w[:n] + "*" for n in BEGINNINGS for w in words if len(w) > n}
 
 
-def telling_items(items: list[set[str]], toxic: np.ndarray) -> list[str]:
-    """Items that speak for toxic texts, the most frequent first."""
-    base = toxic.mean() if len(toxic) else 0.0
+def count_items(rows: DataFrame) -> DataFrame:
+    """`item, seen, toxic` of the items that several rows have: how many have it, and how many of those are toxic."""
+    each = rows.select(F.explode("items").alias("item"), F.when(F.col("label") == 1, 1).otherwise(0).alias("one"))
+    counts = each.groupBy("item").agg(F.count(F.lit(1)).alias("seen"), F.sum("one").alias("toxic"))
+    return cut_lineage(counts.filter("seen > 1"))
+
+
+def telling_items(counts: DataFrame, tried: int, base: float) -> list[str]:
+    """Items that speak for toxic texts, the most frequent first; `base` is the share of toxic rows."""
     if not 0 < base < 1:
         return []
-    inside, overall = Counter(), Counter()
-    for own, is_toxic in zip(items, toxic, strict=True):
-        overall.update(own)
-        if is_toxic:
-            inside.update(own)
-    tried = max(1, sum(n > 1 for n in overall.values()))
     least = max(2, math.ceil(math.log(tried / CHANCE) / -math.log(base)))
-    found = [x for x, n in inside.items() if n >= least and n >= PRECISION * overall[x]]
-    return sorted(found, key=lambda x: (-inside[x], x))
+    found = counts.filter((F.col("toxic") >= least) & (F.col("toxic") >= PRECISION * F.col("seen")))
+    return [r["item"] for r in found.orderBy(F.desc("toxic"), "item").limit(MAX_FEATURES).collect()]
 
 
 class Voters:
@@ -75,16 +76,14 @@ class Voters:
         self.group = {x: i % VOTERS for i, x in enumerate(telling)}
         self.public = set(PUBLIC_WORDS)
 
-    def votes(self, text: str | None, items: set[str]) -> np.ndarray:
-        """1 where a voter speaks."""
+    def votes(self, items: list[str], hits: list[bool]) -> np.ndarray:
+        """1 where a voter speaks; `hits` tells which patterns match."""
         out = np.zeros(VOTERS + 1 + len(PATTERNS) + 1)
         for x in items:
             if x in self.group:
                 out[self.group[x]] = 1
         out[VOTERS] = not self.public.isdisjoint(items)
-        low = (text or "").lower()
-        for i, p in enumerate(PATTERNS):
-            out[VOTERS + 1 + i] = p.search(low) is not None
+        out[VOTERS + 1 : -1] = hits
         out[-1] = not out[:-1].any()
         return out
 
@@ -124,37 +123,36 @@ class LabelModel:
         return 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
 
 
-def choose_features(items: list[set[str]], belief: np.ndarray) -> list[str]:
-    """Items whose share of toxic texts, under the posterior labels, chance would hardly give."""
-    seen, toxic = Counter(), Counter()
-    for own, p in zip(items, belief, strict=True):
-        for x in own:
-            seen[x] += 1
-            toxic[x] += p
-    base = min(max(float(belief.mean()) if len(belief) else 0.5, 1e-6), 1 - 1e-6)
-    tried = max(1, sum(n > 1 for n in seen.values()))
-
-    def surprise(x: str) -> float:
-        share = min(max(toxic[x] / seen[x], 1e-9), 1 - 1e-9)
-        return seen[x] * (share * math.log(share / base) + (1 - share) * math.log((1 - share) / (1 - base)))
-
-    score = {x: s for x, n in seen.items() if n > 1 and (s := surprise(x)) >= math.log(tried / CHANCE)}
-    return sorted(score, key=lambda x: (-score[x], x))[:MAX_FEATURES]
-
-
-def fit_linear(items: list[set[str]], belief: np.ndarray, features: list[str], rounds: int = 300) -> tuple[np.ndarray, float]:
-    """Logistic regression on soft labels by accelerated gradient steps, with ridge."""
-    at = {x: i for i, x in enumerate(features)}
-    columns = [[at[x] for x in own if x in at] for own in items]
-    rows = np.repeat(np.arange(len(items)), [len(c) for c in columns])
-    cols = np.array([c for own in columns for c in own], dtype=np.int64)
+def choose_features(rows: DataFrame, counts: DataFrame, tried: int, numbers: list[int], belief: np.ndarray) -> list[str]:
+    """Items whose share of toxic texts, under the posterior labels of the rows `numbers`, chance would hardly give."""
+    base = min(max(float(belief.mean()), 1e-6), 1 - 1e-6)
+    # Whole units, so that sums do not depend on the order of rows.
+    units = np.rint(belief * BELIEF_UNITS).astype(np.int64)
+    believed = rows.sparkSession.createDataFrame(list(zip(numbers, units.tolist(), strict=True)), "row long, units long")
+    each = rows.join(F.broadcast(believed), "row").select(F.explode("items").alias("item"), "units")
+    mass = each.groupBy("item").agg(F.sum("units").alias("units"))
+    share = F.col("units") / F.lit(float(BELIEF_UNITS)) / F.col("seen")
+    share = F.greatest(F.least(share, F.lit(1 - 1e-9)), F.lit(1e-9))
+    surprise = F.col("seen") * (share * F.log(share / base) + (1 - share) * F.log((1 - share) / (1 - base)))
+    scored = counts.join(mass, "item").select("item", surprise.alias("surprise"))
+    scored = scored.filter(F.col("surprise") >= math.log(tried / CHANCE))
+    return [r["item"] for r in scored.orderBy(F.desc("surprise"), "item").limit(MAX_FEATURES).collect()]
+
+
+def fit_linear(places: pa.ListArray, belief: np.ndarray, features: list[str], rounds: int = 300) -> tuple[np.ndarray, float]:
+    """Logistic regression on soft labels by accelerated gradient steps, with ridge.
+
+    `places` names the features of every row.
+    """
+    sizes = np.diff(places.offsets.to_numpy())
+    rows, cols = np.repeat(np.arange(len(places)), sizes), places.flatten().to_numpy()
     weights, bias = np.zeros(len(features)), 0.0
     momentum, bias_momentum = np.zeros(len(features)), 0.0
-    count, most = max(1, len(items)), max(1, max(map(len, columns), default=1))
+    count, most = max(1, len(belief)), max(1, int(sizes.max(initial=1)))
     rate, ridge = 4.0 * 16 / min(64, most), 1e-5
     speed = np.zeros(len(features))
     for _ in range(rounds):
-        z = np.bincount(rows, weights=(weights + 0.9 * momentum)[cols], minlength=len(items)) + bias + 0.9 * bias_momentum
+        z = np.bincount(rows, weights=(weights + 0.9 * momentum)[cols], minlength=len(belief)) + bias + 0.9 * bias_momentum
         off = 1 / (1 + np.exp(-np.clip(z, -30, 30))) - belief
         slope = np.bincount(cols, weights=off[rows], minlength=len(features)) / count + ridge * weights
         speed += slope**2
@@ -179,8 +177,8 @@ def train(
     sample = known.filter(hash_share(max_labels, known.count(), id_column)).orderBy(id_column).limit(2 * max_labels)
     sample = F.broadcast(cut_lineage(sample))  # at most twice `max_labels` narrow rows
 
-    def distinct_items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Label, a text for the patterns cut down to what they read, and items: all the fit needs."""
+    def looked_at(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Label, items and matches of the patterns: all that the fit needs of a text."""
         for batch in batches:
             texts = batch.column(1).to_pylist()
             items = [sorted(items_of(t)) for t in texts]
@@ -191,26 +189,60 @@ def train(
             )
 
     joined = docs.join(sample, id_column).select(F.col("_label").cast("int"), F.col(text_column))
-    rows = joined.mapInArrow(distinct_items, "label int, items array<string>, hits array<boolean>").collect()
-    items, toxic = [set(r["items"]) for r in rows], np.array([r["label"] == 1 for r in rows], dtype=bool)
-    voters = Voters(telling_items(items, toxic))
-    votes = np.zeros((len(rows), VOTERS + 2 + len(PATTERNS)))
-    for i, row in enumerate(rows):
-        votes[i] = voters.votes(None, items[i])
-        votes[i, VOTERS + 1 : -1] = row["hits"]
-        votes[i, -1] = not votes[i, :-1].any()
-    if not len(rows):
+    seen = joined.mapInArrow(looked_at, "label int, items array<string>, hits array<boolean>")
+    seen = cut_lineage(seen.withColumn("row", F.monotonically_increasing_id()))
+
+    def told(of_row: Callable[[list[str], list[bool]], np.ndarray]) -> pa.Table:
+        """`row, label, found` in the order of rows: a few numbers for each row of the bounded sample."""
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                pairs = zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)
+                found = pa.array([of_row(*pair).astype(np.int32) for pair in pairs], pa.list_(pa.int32()))
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), found], names=["row", "label", "found"])
+
+        picked = seen.select("row", "label", "items", "hits").mapInArrow(run, "row long, label int, found array<int>")
+        return picked.orderBy("row").toArrow().combine_chunks()
+
+    size, toxic_rows = seen.agg(F.count(F.lit(1)), F.count(F.when(F.col("label") == 1, 1))).first()
+    if not size:
         return {w: 4.0 for w in PUBLIC_WORDS}, -3.0
-    belief = LabelModel(votes, float(toxic.mean()) or 0.05).posterior
-    belief = belief(votes)
-    features = choose_features(items, belief)
-    weights, bias = fit_linear(items, belief, features)
+    base = toxic_rows / size
+    counts = count_items(seen)
+    tried = max(1, counts.count())
+    voters = Voters(telling_items(counts, tried, base))
+    table = told(voters.votes)
+    votes = table["found"].combine_chunks().flatten().to_numpy().reshape(size, -1).astype(float)
+    belief = LabelModel(votes, base or 0.05).posterior(votes)
+    features = choose_features(seen, counts, tried, table["row"].to_pylist(), belief)
+    at = {x: i for i, x in enumerate(features)}
+    places = told(lambda items, hits: np.array([at[x] for x in items if x in at], dtype=np.int32))
+    weights, bias = fit_linear(places["found"].combine_chunks(), belief, features)
     found = {x: float(w) for x, w in zip(features, weights, strict=True) if w}
     for w in PUBLIC_WORDS:
         found.setdefault(w, 4.0)
     return found, float(bias)
 
 
+class Hits(dict):
+    """Word -> the features that it and its beginnings name; bounded."""
+
+    def __init__(self, weights: dict[str, float]):
+        super().__init__()
+        self.weights = weights
+
+    def __missing__(self, word: str) -> tuple[str, ...]:
+        if len(self) >= MEMO_WORDS:
+            self.clear()
+        self[word] = found = tuple(x for x in items_of(word) if x in self.weights)
+        return found
+
+    def total(self, text: str | None) -> float:
+        """The weights of a text's distinct features, summed without regard to their order."""
+        words = set(LETTERS.findall((text or "").lower()))
+        return math.fsum(self.weights[x] for x in set().union(*map(self.__getitem__, words)))
+
+
 def toxicity(
     docs: DataFrame, weights: dict[str, float], bias: float, columns: list[str], text_column: str = "text"
 ) -> DataFrame:
@@ -219,9 +251,9 @@ def toxicity(
     text = fresh("_text", columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = shared.value
+        hits = Hits(shared.value)
         for batch in batches:
-            found = [bias + sum(own[x] for x in items_of(t) if x in own) for t in batch.column(batch.num_columns - 1).to_pylist()]
+            found = [bias + hits.total(t) for t in batch.column(batch.num_columns - 1).to_pylist()]
             scores = 1 / (1 + np.exp(-np.clip(np.array(found, dtype=float), -500, 500)))
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:-1], pa.array(scores), pa.array((scores >= THRESHOLD).astype(np.int32))],
