@@ -41,7 +41,7 @@ MARK = "▁"
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 UNITS = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 MEMO_PAIRS, MEMO_WORDS = 500_000, 300_000
-PART_CHARS = 4_000_000
+PART_CHARS, DECODE_ROWS = 4_000_000, 256
 NONE: dict = {}
 
 
@@ -204,10 +204,11 @@ class Walker:
 
     def _encode_part(self, part: list[list[str]]) -> list[np.ndarray]:
         distinct = set().union(*part)
-        if len(self.memo) + len(distinct) > MEMO_WORDS:
-            self.memo = {}
+        fresh_words = [w for w in distinct if w not in self.memo]
+        if len(self.memo) + len(fresh_words) > MEMO_WORDS:
+            self.memo, fresh_words = {}, list(distinct)
         known = self.memo
-        known.update(self.encode_words(sorted(w for w in distinct if w not in known)))
+        known.update(self.encode_words(sorted(fresh_words)))
         return [np.frombuffer(b"".join(map(known.__getitem__, words)), dtype=np.int32) for words in part]
 
 
@@ -220,10 +221,30 @@ def decoding_table(pieces: Pieces) -> dict[int, bytes]:
 
 
 def decode_ids(ids: list[int], table: dict[int, bytes]) -> str:
-    """The text of a sequence of ids."""
+    """The text of one sequence of ids."""
     return b"".join(map(table.__getitem__, ids)).decode("utf-8", "replace").removeprefix(" ")
 
 
+def byte_strings(table: dict[int, bytes]) -> pa.Array:
+    """The bytes of every id, in the order of ids; ids that stand for nothing have none."""
+    return pa.array([table.get(i, b"") for i in range(max(table, default=-1) + 1)], pa.large_binary())
+
+
+def decode_lists(lists: pa.ListArray, strings: pa.Array) -> list[str | None]:
+    """The text of each sequence of ids. The strings of all ids lie side by side, and a text is cut out of them."""
+    found: list[str | None] = []
+    for start in range(0, len(lists), DECODE_ROWS):
+        part = lists.slice(start, DECODE_ROWS)
+        joined = strings.take(part.flatten())
+        places = np.frombuffer(joined.buffers()[1], dtype=np.int64)[: len(joined) + 1] if len(joined) else np.zeros(1, np.int64)
+        data = memoryview(joined.buffers()[2] or b"")
+        sizes = [0 if n is None else n for n in part.value_lengths().to_pylist()]
+        ends = places[np.cumsum([0, *sizes])].tolist()
+        texts = (bytes(data[a:b]).decode("utf-8", "replace").removeprefix(" ") for a, b in zip(ends, ends[1:], strict=False))
+        found.extend(t if known else None for t, known in zip(texts, part.is_valid().to_pylist(), strict=True))
+    return found
+
+
 def encode(docs: DataFrame, pieces: Pieces, columns: list[str], text_column: str = "text", name: str = "ids") -> DataFrame:
     """`columns` and the ids of every row's whole text, as an array of ints."""
     shared = docs.sparkSession.sparkContext.broadcast(vars(pieces))
@@ -249,10 +270,9 @@ def decode(encoded: DataFrame, pieces: Pieces, ids_column: str = "ids", name: st
     at = columns.index(ids_column)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = decoding_table(Pieces(**shared.value))
+        strings = byte_strings(decoding_table(Pieces(**shared.value)))
         for batch in batches:
-            # Row by row: as Python objects the ids of a whole batch would take far more than the batch.
-            texts = [None if not x.is_valid else decode_ids(x.values.to_numpy().tolist(), table) for x in batch.column(at)]
+            texts = decode_lists(batch.column(at), strings)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*columns, name])
 
     return encoded.mapInArrow(run, with_field(encoded.schema, name, T.StringType()))
