@@ -29,6 +29,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -40,8 +41,8 @@ MARK = "▁"
 # Where the public tokenizer files lie; a parameter, the driver alone reads it.
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 UNITS = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
-MEMO_PAIRS, MEMO_WORDS = 500_000, 300_000
-PART_CHARS, DECODE_ROWS = 4_000_000, 256
+MEMO_PAIRS, MEMO_WORDS = 200_000, 150_000
+PART_CHARS, DECODE_ROWS = 1_000_000, 256
 NONE: dict = {}
 
 
@@ -245,6 +246,16 @@ def decode_lists(lists: pa.ListArray, strings: pa.Array) -> list[str | None]:
     return found
 
 
+def row_parts(batch: pa.RecordBatch, sizes: pa.Array, bound: int) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch in turn, in parts of at most `bound` by their sizes, or of one row."""
+    ends, start = np.cumsum(sizes.fill_null(0).to_numpy(zero_copy_only=False), dtype=np.int64), 0
+    while start < batch.num_rows:
+        before = ends[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, before + bound, side="right")))
+        yield batch.slice(start, stop - start)
+        start = stop
+
+
 def encode(docs: DataFrame, pieces: Pieces, columns: list[str], text_column: str = "text", name: str = "ids") -> DataFrame:
     """`columns` and the ids of every row's whole text, as an array of ints."""
     shared = docs.sparkSession.sparkContext.broadcast(vars(pieces))
@@ -252,12 +263,12 @@ def encode(docs: DataFrame, pieces: Pieces, columns: list[str], text_column: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         walker = Walker(Pieces(**shared.value))
-        for batch in batches:
-            found = walker.encode_texts(batch.column(len(columns)).to_pylist())
-            flat = np.concatenate(found) if found else np.zeros(0, dtype=np.int32)
-            ends = np.cumsum([0, *map(len, found)], dtype=np.int32)
-            ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat, pa.int32()))
-            yield pa.RecordBatch.from_arrays([*batch.columns[: len(columns)], ids], names=[*columns, name])
+        for whole in batches:
+            for batch in row_parts(whole, pc.binary_length(whole.column(len(columns))), PART_CHARS):
+                found = walker.encode_texts(batch.column(len(columns)).to_pylist())
+                ends = np.cumsum([0, *map(len, found)], dtype=np.int32)
+                ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found), pa.int32()))
+                yield pa.RecordBatch.from_arrays([*batch.columns[: len(columns)], ids], names=[*columns, name])
 
     picked = docs.select(*columns, F.col(text_column).alias(text))
     return picked.mapInArrow(run, with_field(docs.select(*columns).schema, name, T.ArrayType(T.IntegerType())))
@@ -271,8 +282,9 @@ def decode(encoded: DataFrame, pieces: Pieces, ids_column: str = "ids", name: st
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         strings = byte_strings(decoding_table(Pieces(**shared.value)))
-        for batch in batches:
-            texts = decode_lists(batch.column(at), strings)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*columns, name])
+        for whole in batches:
+            for batch in row_parts(whole, pc.list_value_length(whole.column(at)), PART_CHARS):
+                texts = decode_lists(batch.column(at), strings)
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*columns, name])
 
     return encoded.mapInArrow(run, with_field(encoded.schema, name, T.StringType()))
