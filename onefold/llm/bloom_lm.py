@@ -1,20 +1,22 @@
 """Language-model scoring from a log-frequency Bloom filter.
 
-Counting runs over all training documents: tokens by name, and pairs of neighbouring tokens among the
-`PAIR_WORDS` most frequent ones (the model's vocabulary; other tokens have no pairs). A pair with count
-c >= `LEAST_PAIRS` has the level 1 + floor(log2(c / LEAST_PAIRS)); it is put into a Bloom filter once for
-each level up to its own. A reader probes level 1, 2, ... until a probe fails, which gives the count back to
-within a factor of two. The filter has `SEGMENTS` parts, built by the tasks that count the pairs, each of
-a size in proportion to what it holds and at most `SEGMENT_BYTES`, so the broadcast is bounded by 64 MB;
-beyond that only false positives become more frequent.
+Counting runs over all training documents and all their tokens: tokens by name, and pairs of neighbouring
+tokens by a hash of both. A pair with count c has the level 1 + floor(log2(c)); it is put into a Bloom filter
+once for each level up to its own. A reader probes level 1, 2, ... until a probe fails, which gives the count
+back to within a factor of two (a count of one exactly). The filter grows with what it holds: every segment
+gets `BITS_PER_ITEM` bits an item, and there is a power of two of segments, each of about `SEGMENT_BYTES`
+before repeated pairs are merged. So the rate of false positives does not depend on the size of the input.
+
+A filter of at most `BROADCAST_BYTES` in at most `SEGMENTS` segments is broadcast. A larger one stays a table:
+documents go in chunks of `1 << CHUNK_BITS`, the distinct pair hashes of a chunk are sent, packed, to their
+segments, and one byte a hash comes back. Hot pairs are sent once a chunk.
 
 The probability of a token is lambda * c(previous, token) / c(previous) + (1 - lambda) * p(token), with lambda =
-c(previous) / (c(previous) + `TRUST`) where both tokens are in the vocabulary, else p(token) alone times
-1 - lambda. p is the smoothed share (c + 0.5) / (N + 0.5 (V + 1)).
+c(previous) / (c(previous) + `TRUST`). p is the smoothed share (c + 0.5) / (N + 0.5 (V + 1)).
 
-Counts of at most `HEAD_WORDS` most frequent tokens are broadcast exactly; the rest of a document's
-tokens, which are rare by definition, meet their exact counts in a join by token, and their sums go back
-to the document. Every token of every whole text is scored.
+Counts of at most `HEAD_WORDS` most frequent tokens are broadcast exactly; the distinct other tokens of a
+chunk, which are rare by definition, meet their exact counts in a join by token, and the counts go back to the
+chunk. Every token of every whole text is scored.
 
 Null texts count as empty: one end token. Without training rows every count is zero. Repeated rows are
 scored each; a null id counts as the empty text when folds are dealt.
@@ -28,20 +30,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from onefold.llm.shared import ASCII_LOWER, fresh
+from onefold.llm.shared import ASCII_LOWER, fresh, numbered
 from onefold.session import cut_lineage
 
 END = b""  # no word is empty
-HEAD_WORDS, PAIR_WORDS = 1 << 18, 1 << 15
-LEAST_PAIRS = 2
-SEGMENTS, SEGMENT_BYTES, BITS_PER_ITEM, PROBES = 4_096, 16_384, 12, 4
+HEAD_WORDS = 1 << 18
+SEGMENTS, SEGMENT_BYTES, BITS_PER_ITEM, PROBES = 4_096, 1 << 20, 12, 4
+BROADCAST_BYTES = 64 << 20
+CHUNK_BITS = 6
 TRUST = 50.0
-FLUSH_TOKENS, FLUSH_PAIRS = 500_000, 2_000_000
-SEGMENT_SHIFT = 52
+FLUSH_TOKENS, FLUSH_PAIRS, MEMO_TOKENS = 500_000, 2_000_000, 500_000
 
 
 def token_list(text: str | None) -> list[bytes]:
@@ -72,10 +74,44 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def pair_hashes(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Positions of tokens whose predecessor and self are in the vocabulary, and the hash of each pair."""
-    at = np.nonzero((ids[:-1] >= 0) & (ids[1:] >= 0))[0] + 1
-    return at, mixed((ids[at - 1].astype(np.uint64) << np.uint64(32)) | ids[at].astype(np.uint64))
+class TokenHashes(dict):
+    """Token -> a fixed 64-bit hash; bounded between texts."""
+
+    def __missing__(self, token: bytes) -> int:
+        self[token] = value = xxhash.xxh3_64_intdigest(token)
+        return value
+
+    def of(self, tokens: list[bytes]) -> np.ndarray:
+        if len(self) > MEMO_TOKENS:
+            self.clear()
+        return np.fromiter(map(self.__getitem__, tokens), dtype=np.uint64, count=len(tokens))
+
+
+def pair_hashes(hashes: np.ndarray, starts: np.ndarray, allowed: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Positions of tokens that have a predecessor in their text, and the hash of each pair.
+
+    `starts` are the positions of first tokens. With `allowed`, both tokens must have a hash in it.
+    """
+    inside = np.ones(len(hashes), dtype=bool)
+    inside[starts] = False
+    if allowed is not None:
+        known = np.isin(hashes, allowed)
+        inside &= known
+        inside[1:] &= known[:-1]
+    at = np.nonzero(inside)[0]
+    return at, mixed(mixed(hashes[at - 1] + np.uint64(0x9E3779B97F4A7C15)) + hashes[at])
+
+
+def segments_for(pairs: int) -> int:
+    """The number of segments, a power of two, that gives a segment of that many pairs about `SEGMENT_BYTES`."""
+    return 1 << max(0, (pairs * BITS_PER_ITEM // 8 // SEGMENT_BYTES)).bit_length()
+
+
+def segment_of(hashes: np.ndarray, segments: int) -> np.ndarray:
+    """The segment of each hash, by its first bits; rises with the hash."""
+    if segments == 1:
+        return np.zeros(len(hashes), dtype=np.int64)
+    return (hashes >> np.uint64(65 - segments.bit_length())).astype(np.int64)
 
 
 def positions(hashes: np.ndarray, level: int, bits: np.ndarray) -> list[np.ndarray]:
@@ -86,13 +122,13 @@ def positions(hashes: np.ndarray, level: int, bits: np.ndarray) -> list[np.ndarr
 
 
 def levels_of(counts: np.ndarray) -> np.ndarray:
-    return 1 + np.floor(np.log2(counts / LEAST_PAIRS)).astype(np.int64)
+    return 1 + np.floor(np.log2(counts)).astype(np.int64)
 
 
 def build_segment(hashes: np.ndarray, counts: np.ndarray) -> bytes:
     """The filter part that holds these pairs."""
     levels = levels_of(counts)
-    size = min(SEGMENT_BYTES, max(8, -(-int(levels.sum()) * BITS_PER_ITEM // 8)))
+    size = max(8, -(-int(levels.sum()) * BITS_PER_ITEM // 8))
     bits = np.zeros(size * 8, dtype=bool)
     for level in range(1, int(levels.max()) + 1):
         own = hashes[levels >= level]
@@ -103,7 +139,7 @@ def build_segment(hashes: np.ndarray, counts: np.ndarray) -> bytes:
 
 def probe(hashes: np.ndarray, flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """The level that the filter gives each hash; 0 for none."""
-    segment = (hashes >> np.uint64(SEGMENT_SHIFT)).astype(np.int64)
+    segment = segment_of(hashes, len(sizes))
     bits, level = sizes[segment].astype(np.uint64) * np.uint64(8), np.zeros(len(hashes), dtype=np.int64)
     alive = np.nonzero(bits)[0]
     while len(alive):
@@ -117,24 +153,20 @@ def probe(hashes: np.ndarray, flat: np.ndarray, starts: np.ndarray, sizes: np.nd
     return level
 
 
-def _count_pairs(texts: DataFrame, vocabulary) -> DataFrame:
-    """`segment, pair, n` of all neighbouring vocabulary tokens."""
+def _count_pairs(texts: DataFrame, segments: int, allowed: np.ndarray | None) -> DataFrame:
+    """`segment, pairs, counts`: packed hashes of neighbouring tokens in ascending order, and how often each occurs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of, held, size = vocabulary.value, [], 0
+        memo, held, size = TokenHashes(), [], 0
 
         def flushed() -> pa.RecordBatch:
             found, n = np.unique(np.concatenate(held), return_counts=True)
-            segment = (found >> np.uint64(SEGMENT_SHIFT)).astype(np.int32)
-            return pa.RecordBatch.from_arrays(
-                [pa.array(segment), pa.array(found.view(np.int64)), pa.array(n)], names=["segment", "pair", "n"]
-            )
+            parts = [(s, found[i:j].tobytes(), n[i:j].astype("<i8").tobytes()) for s, i, j in _runs(found, segments)]
+            return _packed(parts, ["segment", "pairs", "counts"])
 
         for batch in batches:
             for text in batch.column(0).to_pylist():
-                tokens = token_list(text)
-                ids = np.fromiter((ids_of.get(t, -1) for t in tokens), dtype=np.int64, count=len(tokens))
-                held.append(pair_hashes(ids)[1])
+                held.append(pair_hashes(memo.of(token_list(text)), np.zeros(1, dtype=np.int64), allowed)[1])
                 size += len(held[-1])
                 if size >= FLUSH_PAIRS:
                     yield flushed()
@@ -142,28 +174,94 @@ def _count_pairs(texts: DataFrame, vocabulary) -> DataFrame:
         if held:
             yield flushed()
 
-    return texts.mapInArrow(run, "segment int, pair long, n long")
+    return texts.mapInArrow(run, "segment int, pairs binary, counts binary")
+
+
+def _runs(found: np.ndarray, segments: int) -> list[tuple[int, int, int]]:
+    """`segment, start, stop` of the runs of equal segments in ascending hashes."""
+    if not len(found):
+        return []
+    own = segment_of(found, segments)
+    starts = np.nonzero(np.diff(own, prepend=-1))[0]
+    return list(zip(own[starts].tolist(), starts.tolist(), [*starts[1:].tolist(), len(own)], strict=True))
+
+
+def _packed(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
+    columns = list(zip(*rows, strict=True)) if rows else [()] * len(names)
+    kinds = {"chunk": pa.int64(), "segment": pa.int32()}
+    made = [pa.array(c, kinds.get(n, pa.binary())) for n, c in zip(names, columns, strict=True)]
+    return pa.RecordBatch.from_arrays(made, names=names)
+
 
+def _unpacked(column: pa.ChunkedArray, kind: str) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), dtype=kind)
 
-def _build_filter(pairs: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """All segments side by side, with their starts and sizes in bytes."""
-    counted = pairs.repartition("segment").groupBy("segment", "pair").agg(F.sum("n").alias("n"))
-    counted = counted.filter(F.col("n") >= LEAST_PAIRS)
+
+def _build_filter(pairs: DataFrame) -> DataFrame:
+    """`segment, data`: the parts of the filter."""
 
     def build(table: pa.Table) -> pa.Table:
-        hashes = table.column("pair").to_numpy().view(np.uint64)
-        order = np.argsort(hashes)
-        data = build_segment(hashes[order], table.column("n").to_numpy()[order])
+        hashes, counts = _unpacked(table.column("pairs"), "<u8"), _unpacked(table.column("counts"), "<i8")
+        order = np.argsort(hashes, kind="stable")
+        hashes = hashes[order]
+        first = np.nonzero(np.concatenate([[True], hashes[1:] != hashes[:-1]]))[0]
+        data = build_segment(hashes[first], np.add.reduceat(counts[order], first))
         return pa.table({"segment": table.column("segment").slice(0, 1), "data": pa.array([data], pa.binary())})
 
-    sizes, parts = np.zeros(SEGMENTS, dtype=np.int64), {}
-    for row in counted.groupBy("segment").applyInArrow(build, "segment int, data binary").collect():
-        parts[row["segment"]] = row["data"]  # at most SEGMENTS rows of SEGMENT_BYTES
-        sizes[row["segment"]] = len(row["data"])
-    flat = np.frombuffer(b"".join(parts[s] for s in sorted(parts)) or b"\0", dtype=np.uint8)
+    return cut_lineage(pairs.groupBy("segment").applyInArrow(build, "segment int, data binary"))
+
+
+def _side_by_side(parts: dict[int, bytes], segments: int) -> tuple[bytes, np.ndarray, np.ndarray]:
+    """All segments in one piece, with their starts and sizes in bytes."""
+    sizes = np.zeros(segments, dtype=np.int64)
+    for segment, data in parts.items():
+        sizes[segment] = len(data)
+    flat = b"".join(parts[s] for s in sorted(parts)) or b"\0"
     return flat, np.concatenate([[0], np.cumsum(sizes)[:-1]]), sizes
 
 
+def _levels_by_segment(chunks: DataFrame, chunk: str, text: str, data: DataFrame, segments: int, allowed) -> DataFrame:
+    """`chunk, segment, levels`: a byte for each distinct pair hash of the chunk in this segment, in ascending order."""
+
+    memo = TokenHashes()  # one for each task
+
+    def ask(table: pa.Table) -> pa.Table:
+        number = table.column(chunk)[0].as_py()
+        _, hashes, starts = _tokens_of(table.column(text).to_pylist(), memo)
+        found = np.unique(pair_hashes(hashes, starts, allowed)[1])
+        rows = [(number, s, found[i:j].tobytes()) for s, i, j in _runs(found, segments)]
+        return pa.Table.from_batches([_packed(rows, ["chunk", "segment", "data"])])
+
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, held = -1, b""
+        for batch in batches:
+            rows = []
+            for number, segment, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if number is None:  # the part of the filter comes before those who ask
+                    own, held = segment, data
+                    continue
+                hashes = np.frombuffer(data, dtype="<u8")
+                sizes = np.zeros(segments, dtype=np.int64)
+                sizes[segment] = len(held) if own == segment else 0
+                flat = np.frombuffer(held or b"\0", dtype=np.uint8)
+                level = probe(hashes, flat, np.zeros(segments, dtype=np.int64), sizes)
+                rows.append((number, segment, level.astype(np.uint8).tobytes()))
+            yield _packed(rows, ["chunk", "segment", "levels"])
+
+    asked = chunks.select(chunk, text).groupBy(chunk).applyInArrow(ask, "chunk long, segment int, data binary")
+    held = data.select(F.lit(None).cast("long").alias("chunk"), "segment", "data")
+    both = held.unionByName(asked).repartition("segment").sortWithinPartitions("segment", F.asc_nulls_first("chunk"))
+    return both.mapInArrow(answer, "chunk long, segment int, levels binary")
+
+
+def _tokens_of(texts: list[str | None], memo: TokenHashes) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """The tokens of all texts in a row, their hashes, and the position of each text's first token."""
+    lists = [token_list(t) for t in texts]
+    starts = np.cumsum([0, *(len(x) for x in lists[:-1])])
+    words = [w for x in lists for w in x]
+    return words, memo.of(words), starts
+
+
 def _frequent(counts: DataFrame, bound: int) -> tuple[dict[bytes, int], int]:
     """Tokens of the highest counts, at most `bound`, and the count from which on they are all in."""
     step = F.floor(F.log2("n") * 64)
@@ -185,9 +283,12 @@ def lm_scores(
     columns: list[str],
     text_column: str = "text",
     head_words: int = HEAD_WORDS,
-    pair_words: int = PAIR_WORDS,
+    pair_words: int | None = None,
 ) -> DataFrame:
-    """`columns` of every document with `n_tokens, n_known, train_tokens, base_score, score`."""
+    """`columns` of every document with `n_tokens, n_known, train_tokens, base_score, score`.
+
+    With `pair_words`, only pairs among so many most frequent tokens count; otherwise all pairs do.
+    """
     sc = docs.sparkSession.sparkContext
     training = docs.filter(teaches).select(F.col(text_column).alias("t"))
     counts = training.mapInArrow(_count_tokens, "token string, n bigint")
@@ -195,67 +296,69 @@ def lm_scores(
     total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     room = total + 0.5 * (distinct + 1)
     head, least = _frequent(counts, head_words)
-    top = sorted(head, key=lambda t: (-head[t], t))[:pair_words]
-    vocabulary = sc.broadcast({t: i for i, t in enumerate(top)})
-    flat, starts, sizes = _build_filter(_count_pairs(training, vocabulary))
-    filter_parts = sc.broadcast((flat.tobytes(), starts, sizes))
-    # Vocabulary first, so that a token's number below `pair_words` is its number there.
-    tokens = top + sorted(set(head).difference(top))
-    known = sc.broadcast({t: i for i, t in enumerate(tokens)})
-    head_counts = sc.broadcast(np.array([head[t] for t in tokens], dtype=np.float64))
-    words_in_pairs, row_name, text = len(top), fresh("_row", columns), fresh("_text", columns)
+    allowed = None
+    if pair_words is not None:
+        allowed = TokenHashes().of(sorted(head, key=lambda t: (-head[t], t))[:pair_words])
+    segments = segments_for(total)
+    parts = _build_filter(_count_pairs(training, segments, allowed))
+    size = parts.agg(F.coalesce(F.sum(F.length("data")), F.lit(0))).first()[0]
+    known, filter_parts = sc.broadcast(head), None
+    chunk, text = fresh("_chunk", columns), fresh("_text", columns)
+    chunks, number = numbered(docs.select(*columns, F.col(text_column).alias(text)))
+    chunks = chunks.withColumn(chunk, F.shiftright(number, CHUNK_BITS)).drop(number)
+
+    def rare_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """`chunk, token`: the distinct tokens of each chunk whose counts are not broadcast."""
+        for batch in batches:
+            found: dict[int, set[bytes]] = {}
+            for number, t in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                found.setdefault(number, set()).update(w for w in token_list(t) if w not in known.value)
+            numbers = np.repeat(np.array(list(found), dtype=np.int64), [len(x) for x in found.values()])
+            tokens = pa.array([w for own in found.values() for w in own], pa.binary()).cast(pa.string())
+            yield pa.RecordBatch.from_arrays([pa.array(numbers), tokens], names=["chunk", "token"])
+
+    asked = chunks.select(chunk, text).mapInArrow(rare_tokens, "chunk long, token string")
+    told = asked.join(counts.filter(F.col("n") < least), "token").groupBy("chunk")
+    told = told.agg(F.collect_list(F.struct("token", "n")).alias("rare"))
+    told = told.select("chunk", "rare", F.lit(None).cast("int").alias("segment"), F.lit(None).cast("binary").alias("levels"))
+    if size <= BROADCAST_BYTES and segments <= SEGMENTS:
+        held = {r["segment"]: bytes(r["data"]) for r in parts.collect()}  # at most BROADCAST_BYTES
+        filter_parts = sc.broadcast(_side_by_side(held, segments))
+    else:
+        levels = _levels_by_segment(chunks, chunk, text, parts, segments, allowed)
+        told = told.unionByName(levels, allowMissingColumns=True)
     schema = docs.select(*columns).schema
-    for name, kind in (("_tokens", "long"), ("_known", "long"), ("_base", "double"), ("_score", "double")):
+    for name, kind in (("n_tokens", "long"), ("n_known", "long"), ("train_tokens", "long"), ("base_score", "double"), ("score", "double")):
         schema = schema.add(name, kind)
-    schema = schema.add("_tail", T.ArrayType(T.StructType().add("token", "string").add("tf", "long")))
-    tail_type = pa.list_(pa.struct([("token", pa.string()), ("tf", pa.int64())]))
-    kinds, names = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), tail_type), schema.names
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of, counts_of = known.value, head_counts.value
-        data, starts, sizes = filter_parts.value
-        flat = np.frombuffer(data, dtype=np.uint8)
-        shares = np.append(counts_of, 0.0) + 0.5
-        logs = np.log10(shares / room)
-        weight = np.append(counts_of / (counts_of + TRUST), 0.0)
-
-        def one(text: str | None) -> tuple:
-            words = token_list(text)
-            ids = np.fromiter((ids_of.get(t, -1) for t in words), dtype=np.int64, count=len(words))
-            inside = ids >= 0
-            base = float(logs[ids[inside]].sum())
-            in_pairs = np.where(ids < words_in_pairs, ids, -1)
-            before = np.append(-1, in_pairs[:-1])
-            back = 1.0 - weight[before]
-            p = np.where(inside, back * shares[ids] / room, back)  # the share of a rare token comes later
-            at, hashes = pair_hashes(in_pairs)
-            level = probe(hashes, flat, starts, sizes)
-            hit, previous = at[level > 0], before[at[level > 0]]
-            about = LEAST_PAIRS * 2.0 ** (level[level > 0] - 1) * math.sqrt(2.0)
-            p[hit] += weight[previous] * np.minimum(1.0, about / counts_of[previous])
-            tail = Counter(words[i] for i in np.nonzero(~inside)[0])
-            tail = [{"token": t.decode("utf-8", "surrogatepass"), "tf": n} for t, n in tail.items()]
-            return len(words), int(inside.sum()), base, float(np.log10(p).sum()), tail
-
-        for batch in batches:
-            found = [one(t) for t in batch.column(batch.num_columns - 1).to_pylist()]
-            made = [pa.array([f[i] for f in found], kind) for i, kind in enumerate(kinds)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *made], names=names)
-
-    scored = docs.select(*columns, F.col(text_column).alias(text)).mapInArrow(run, schema)
-    scored = cut_lineage(scored.withColumn(row_name, F.monotonically_increasing_id()))
-    rare = counts.filter(F.col("n") < least)
-    tail = scored.select(row_name, F.explode("_tail").alias("_t")).select(row_name, "_t.token", "_t.tf")
-    # A rare token that training never saw has the share of count zero: all start there, known ones move up.
-    gain = F.col("tf") * (F.log10(F.col("n") + 0.5) - F.log10(F.lit(0.5)))
-    gains = tail.join(rare, "token").groupBy(row_name).agg(F.sum(gain).alias("_gain"), F.sum("tf").alias("_seen"))
-    unseen = F.aggregate("_tail", F.lit(0).cast("bigint"), lambda a, x: a + x["tf"]) * F.lit(math.log10(0.5 / room))
-    gain = F.coalesce("_gain", F.lit(0.0)) + unseen
-    return scored.join(gains, row_name, "left").select(
-        *columns,
-        F.col("_tokens").alias("n_tokens"),
-        (F.col("_known") + F.coalesce("_seen", F.lit(0))).alias("n_known"),
-        F.lit(total).cast("bigint").alias("train_tokens"),
-        (F.col("_base") + gain).alias("base_score"),
-        (F.col("_score") + gain).alias("score"),
-    )
+    memo = TokenHashes()  # one for each task
+
+    def score(own: pa.Table, answers: pa.Table) -> pa.Table:
+        if not own.num_rows:
+            return own.select(columns)
+        words, hashes, starts = _tokens_of(own.column(text).to_pylist(), memo)
+        rare = {r["token"].encode("utf-8", "surrogatepass"): r["n"] for x in answers.column("rare").to_pylist() for r in x or ()}
+        frequent = known.value
+        n = np.fromiter((frequent.get(w) or rare.get(w, 0) for w in words), dtype=np.float64, count=len(words))
+        share = (n + 0.5) / room
+        before = np.append(0.0, n[:-1])
+        before[starts] = 0.0
+        weight = before / (before + TRUST)
+        p = (1.0 - weight) * share
+        at, pairs = pair_hashes(hashes, starts, allowed)
+        distinct, place = np.unique(pairs, return_inverse=True)
+        if filter_parts is not None:
+            flat, begins, sizes = filter_parts.value
+            level = probe(distinct, np.frombuffer(flat, dtype=np.uint8), begins, sizes)
+        else:
+            parts = zip(answers.column("segment").to_pylist(), answers.column("levels").to_pylist(), strict=True)
+            level = np.frombuffer(b"".join(x for _, x in sorted(x for x in parts if x[0] is not None)), dtype=np.uint8)
+        level = level[place].astype(np.float64)
+        about = np.where(level > 1, 2.0 ** (level - 1) * math.sqrt(2.0), level)
+        p[at] += weight[at] * np.minimum(1.0, about / np.maximum(before[at], 1.0))
+        sizes = np.diff(starts, append=len(words))
+        made = [sizes, np.add.reduceat((n > 0).astype(np.int64), starts), np.full(len(starts), total, dtype=np.int64)]
+        made += [np.add.reduceat(np.log10(share), starts), np.add.reduceat(np.log10(p), starts)]
+        return pa.table([*(own.column(c) for c in columns), *(pa.array(x) for x in made)], names=schema.names)
+
+    return chunks.groupBy(chunk).cogroup(told.groupBy("chunk")).applyInArrow(score, schema)

@@ -145,6 +145,28 @@ def test_lm_base_equals_brute_force(spark, bounds):
         assert sum(r.score for r in got) > sum(r.base_score for r in got)
 
 
+def test_lm_pairs_of_rare_tokens_and_single_pairs_count(spark, monkeypatch):
+    rows = [(i, f"only{i} once{i} here{i}") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    monkeypatch.setattr(bloom_lm, "TRUST", 1.0)
+    for bound in (bloom_lm.BROADCAST_BYTES, 0):  # by broadcast, and by a join with the segments
+        monkeypatch.setattr(bloom_lm, "BROADCAST_BYTES", bound)
+        monkeypatch.setattr(bloom_lm, "SEGMENT_BYTES", 256)
+        for r in bloom_lm.lm_scores(docs, F.lit(True), ["doc_id"], head_words=2).collect():
+            share, first = 1.5 / (1200 + 0.5 * 902), math.log10(1.5 / (1200 + 0.5 * 902))
+            end = 0.5 * 1 + 0.5 * 300.5 / (1200 + 0.5 * 902)
+            assert r.n_known == 4 and r.score == pytest.approx(first + 2 * math.log10(0.5 + 0.5 * share) + math.log10(end))
+
+
+@pytest.mark.parametrize("items", [2_000, 200_000])
+def test_filter_keeps_its_rate_of_false_positives(items):
+    seen = np.sort(bloom_lm.mixed(np.arange(items, dtype=np.uint64)))
+    data = bloom_lm.build_segment(seen, np.ones(items, dtype=np.int64))
+    other = bloom_lm.mixed(np.arange(items, items + 100_000, dtype=np.uint64))
+    level = bloom_lm.probe(other, np.frombuffer(data, np.uint8), np.zeros(1, dtype=np.int64), np.array([len(data)]))
+    assert (level > 0).mean() < 0.01
+
+
 def test_lm_without_training_rows(spark):
     got = bloom_lm.lm_scores(documents(spark), F.lit(False), ["doc_id"]).collect()
     assert {r.train_tokens for r in got} == {0} and all(r.base_score == 0 for r in got)
