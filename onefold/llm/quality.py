@@ -6,8 +6,10 @@ the two. Adding Gumbel noise to the log weights and keeping the k largest draws
 replacement in proportion to their weights. k is the number of documents above the cut that separates
 the labelled documents best, so the sample is as large as the part of the table that looks like the target.
 
-An n-gram here is a run of one to three word shapes: letter case, length class, digits, the signs at
-its end, and whether the word repeats the one before. Hashing puts them into `BUCKETS` buckets.
+An n-gram is one word or two neighbouring ones: words in lower case, runs of signs as words of their own. Runs
+of one to three word shapes (letter case, length class, digits, the signs at its end, and whether the word
+repeats the one before) are additional features. Hashing puts each kind into its own `BUCKETS` buckets, and
+each kind has its own pair of models.
 
 The target is fitted on a bounded hash sample of at most about `max_labels` labels; the raw model, the
 weights and the draw cover every document and whole texts. The noise is a hash of id and text, so reruns
@@ -23,6 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,11 +34,13 @@ from onefold.llm.shared import fresh, hash_share, text_of, with_field
 from onefold.session import cut_lineage
 
 BUCKETS = 1 << 14
-ORDERS = 3
+ORDERS, WORD_ORDERS = 3, 2
 MAX_LABELS = 20_000
 MEMO_WORDS, MEMO_SHAPES, SHAPE_BITS = 300_000, 5_000, 32
 BINS, SMALL = 2_000, 5_000
 END_SIGNS = re.compile(r"[^\w\s]+$")
+# Fixed value: a run of word characters, or of signs.
+TOKEN = re.compile(r"\w+|[^\w\s]+")
 
 
 def shape(word: str) -> tuple:
@@ -83,52 +88,74 @@ class Memo(dict):
         return found, np.array(self.hashes, dtype=np.uint64)[found & ((1 << SHAPE_BITS) - 1)]
 
 
+class WordHashes(dict):
+    """Word -> a fixed 64-bit hash; bounded."""
+
+    def __missing__(self, word: str) -> int:
+        self[word] = value = xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass"))
+        return value
+
+    def of(self, words: list[str]) -> np.ndarray:
+        if len(self) > MEMO_WORDS:
+            self.clear()
+        return np.fromiter(map(self.__getitem__, words), dtype=np.uint64, count=len(words))
+
+
 def _mixed(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
     return x ^ (x >> np.uint64(29))
 
 
-def buckets_of(text: str | None, memo: Memo) -> np.ndarray:
-    """The bucket of every n-gram of a text, repeats included."""
-    words = (text or "").split()
-    if not words:
-        return np.zeros(0, dtype=np.int64)
-    ids, tokens = memo.of(words)
-    tokens[1:] |= (ids[1:] == ids[:-1]).astype(np.uint64)
+def _run_buckets(tokens: np.ndarray, orders: int) -> np.ndarray:
+    """The bucket of every run of up to `orders` tokens, given by their hashes."""
     run, found = _mixed(tokens), []
-    for order in range(1, ORDERS + 1):
+    for order in range(1, orders + 1):
         found.append(run >> np.uint64(50))
-        if order < ORDERS and len(run) > 1:
+        if order < orders and len(run) > 1:
             run = _mixed(run[:-1] * np.uint64(3) + tokens[order:])
-        elif order < ORDERS:
+        elif order < orders:
             break
     return np.concatenate(found).astype(np.int64)
 
 
+def buckets_of(text: str | None, memo: Memo, hashes: WordHashes) -> np.ndarray:
+    """The bucket of every n-gram of a text, repeats included: first of shapes, then of words."""
+    words = (text or "").split()
+    if not words:
+        return np.zeros(0, dtype=np.int64)
+    ids, tokens = memo.of(words)
+    tokens[1:] |= (ids[1:] == ids[:-1]).astype(np.uint64)
+    found = _run_buckets(tokens, ORDERS)
+    tokens = hashes.of(TOKEN.findall(text.lower()))
+    return np.concatenate([found, _run_buckets(tokens, WORD_ORDERS) + BUCKETS])
+
+
 def _bucket_counts(texts: DataFrame) -> np.ndarray:
     """Counts per bucket over a one-column table of texts; each batch sends one row per bucket at most."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = Memo()
-        total = np.zeros(BUCKETS, dtype=np.int64)
+        memo, hashes = Memo(), WordHashes()
+        total = np.zeros(2 * BUCKETS, dtype=np.int64)
         for batch in batches:
             for text in batch.column(0).to_pylist():
-                total += np.bincount(buckets_of(text, memo), minlength=BUCKETS)
+                total += np.bincount(buckets_of(text, memo, hashes), minlength=2 * BUCKETS)
         at = np.nonzero(total)[0]
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["bucket", "n"])
 
     counts = texts.mapInArrow(run, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
-    out = np.zeros(BUCKETS)
-    for row in counts.collect():  # at most BUCKETS rows
+    out = np.zeros(2 * BUCKETS)
+    for row in counts.collect():  # at most 2 * BUCKETS rows
         out[row["bucket"]] = row["n"]
     return out
 
 
 def log_ratios(target: np.ndarray, raw: np.ndarray) -> np.ndarray:
-    """Per bucket, the log of the smoothed target frequency over the smoothed raw frequency."""
+    """Per bucket, the log of the smoothed target frequency over the smoothed raw frequency, within its kind."""
     if not target.sum() or not raw.sum():
-        return np.zeros(BUCKETS)
-    return np.log((target + 0.5) / (target.sum() + 0.5 * BUCKETS)) - np.log((raw + 0.5) / (raw.sum() + 0.5 * BUCKETS))
+        return np.zeros(len(target))
+    target, raw = target.reshape(-1, BUCKETS), raw.reshape(-1, BUCKETS)
+    share = [np.log((x + 0.5) / (x.sum(axis=1, keepdims=True) + 0.5 * BUCKETS)) for x in (target, raw)]
+    return (share[0] - share[1]).ravel()
 
 
 def best_cut(good: np.ndarray, bad: np.ndarray) -> float:
@@ -201,10 +228,10 @@ def resample(
     noise = fresh("_noise", [*columns, text])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = Memo()
+        memo, hashes = Memo(), WordHashes()
         logs = shared.value
         for batch in batches:
-            found = [float(logs[buckets_of(t, memo)].sum()) for t in batch.column(text).to_pylist()]
+            found = [float(logs[buckets_of(t, memo, hashes)].sum()) for t in batch.column(text).to_pylist()]
             kept_columns = [c for c in batch.schema.names if c in columns or c == noise]
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c) for c in kept_columns), pa.array(found, pa.float64())], names=[*kept_columns, weight]

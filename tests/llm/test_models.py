@@ -56,6 +56,15 @@ def test_quality_separates_held_out_labels(spark):
     assert sum(r.kept for r in rows if r.quality == 0) <= 0.1 * sum(r.quality == 0 for r in rows)
 
 
+def test_quality_sees_words_beyond_their_look(spark):
+    wanted, salad = "river stone north light under seven".split(), "klopf zarbs wunty grimp trofa belix".split()
+    rows = [(i, " ".join((wanted if i % 2 else salad)[(i + k * k) % 6][:5] for k in range(40))) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(20)], "doc_id long, quality int")
+    got = {r.doc_id: r.log_weight for r in quality.resample(docs, labels, F.lit(True), ["doc_id"]).collect()}
+    assert min(got[i] for i in range(21, 60, 2)) > max(got[i] for i in range(20, 60, 2)) + 1
+
+
 def test_quality_edges(spark):
     docs = documents(spark)
     labels = spark.createDataFrame([(4, 1), (9, 1), (None, 0), (11, None)], "doc_id long, quality int")
