@@ -1,7 +1,7 @@
 """Toxicity scoring by weak supervision.
 
 Many voters look at a text: groups of words and word beginnings that a bounded labelled sample shows to be
-telling, a short public word list, and patterns. A voter says "toxic" or keeps quiet; one says "clean" where
+telling, a public lexicon of several languages, and patterns. A voter says "toxic" or keeps quiet; one says "clean" where
 no telling item occurs. A generative label model estimates, by expectation maximisation over the votes
 alone, how often each voter speaks on toxic and on clean texts, that is its accuracy and its coverage. It
 also estimates how voters correlate beyond what the class explains, and counts correlated voters for less.
@@ -13,7 +13,8 @@ texts that chance, over all items tried, would hardly give them. The sample hold
 rows, chosen by a hash; it is the only input of the fit, its size is bounded, and so are voters and features.
 Spark counts the items of the sample; the driver sees votes, the chosen features, and their places in rows.
 Scoring reads every whole text. Null and empty texts get the score of a text without features. Repeated rows
-get equal scores. Without labels of both kinds only the public list and the patterns vote.
+get equal scores. Without labels of both kinds only the public lexicon and the patterns vote; without any labelled
+row they vote over a hash sample of the documents, of the same size. The lexicon has no weights of its own.
 """
 
 from __future__ import annotations
@@ -36,9 +37,19 @@ VOTERS = 16
 BEGINNINGS = (4, 5, 6)
 MAX_FEATURES = 4_000
 BELIEF_UNITS, MEMO_WORDS = 1 << 30, 200_000
-THRESHOLD = 0.3
-# Fixed value: insults of everyday English.
-PUBLIC_WORDS = "idiot moron stupid scum loser pathetic worthless disgusting trash clown".split()
+THRESHOLD, PRIOR = 0.3, 0.05
+# Fixed value: common insults of several languages, from general usage; everyday words with a plain sense are left out.
+PUBLIC_WORDS = """
+    idiot idiots idiotic moron morons moronic imbecile imbeciles stupid dumbass dumb fool fools dimwit halfwit jerk
+    jackass asshole assholes bastard bastards bitch bitches scum scumbag coward liar
+    trottel vollidiot idioten dummkopf schwachkopf blödmann arschloch arschlöcher mistkerl drecksau schlampe hurensohn
+    wichser abschaum depp deppen versager
+    imbécile imbéciles crétin crétine crétins abruti abrutis débile connard connards connasse salaud salope
+    idiota idiotas imbécil imbéciles estúpido estúpida estúpidos cabrón cabrones gilipollas pendejo pendejos escoria
+    stupido stupida cretino cretina cretini stronzo stronza bastardo bastardi coglione
+    otário otária babaca babacas canalha idioot sukkel klootzak debil kretyn idiotka
+    идиот идиоты дурак дура придурок мразь урод kretén debilní aptal salak gerizekalı
+""".split()
 # Patterns: an insult aimed at someone, and a wish for harm.
 PATTERNS = [
     re.compile(r"\byou(?:'re| are)?\s+(?:\w+\s+){0,2}(?:" + "|".join(PUBLIC_WORDS) + r")\b"),
@@ -70,7 +81,7 @@ def telling_items(counts: DataFrame, tried: int, base: float) -> list[str]:
 
 
 class Voters:
-    """Groups of telling items by kind and rank, the public list, the patterns, and one voter for clean."""
+    """Groups of telling items by kind and rank, the public lexicon, the patterns, and one voter for clean."""
 
     def __init__(self, telling: list[str]):
         self.group = {x: i % VOTERS for i, x in enumerate(telling)}
@@ -188,9 +199,20 @@ def train(
                 names=["label", "items", "hits"],
             )
 
+    def looked_over(rows: DataFrame) -> tuple[DataFrame, int, int]:
+        """The rows as the fit sees them, their number, and how many are toxic."""
+        found = rows.mapInArrow(looked_at, "label int, items array<string>, hits array<boolean>")
+        found = cut_lineage(found.withColumn("row", F.monotonically_increasing_id()))
+        return found, *found.agg(F.count(F.lit(1)), F.count(F.when(F.col("label") == 1, 1))).first()
+
     joined = docs.join(sample, id_column).select(F.col("_label").cast("int"), F.col(text_column))
-    seen = joined.mapInArrow(looked_at, "label int, items array<string>, hits array<boolean>")
-    seen = cut_lineage(seen.withColumn("row", F.monotonically_increasing_id()))
+    seen, size, toxic_rows = looked_over(joined)
+    if not size:
+        some = docs.filter(hash_share(max_labels, docs.count(), id_column, text_column))
+        some = some.select(F.lit(None).cast("int").alias("_label"), F.col(text_column)).distinct()
+        seen, size, toxic_rows = looked_over(some)
+    if not size:
+        return {}, math.log(PRIOR / (1 - PRIOR))
 
     def told(of_row: Callable[[list[str], list[bool]], np.ndarray]) -> pa.Table:
         """`row, label, found` in the order of rows: a few numbers for each row of the bounded sample."""
@@ -204,24 +226,18 @@ def train(
         picked = seen.select("row", "label", "items", "hits").mapInArrow(run, "row long, label int, found array<int>")
         return picked.orderBy("row").toArrow().combine_chunks()
 
-    size, toxic_rows = seen.agg(F.count(F.lit(1)), F.count(F.when(F.col("label") == 1, 1))).first()
-    if not size:
-        return {w: 4.0 for w in PUBLIC_WORDS}, -3.0
     base = toxic_rows / size
     counts = count_items(seen)
     tried = max(1, counts.count())
     voters = Voters(telling_items(counts, tried, base))
     table = told(voters.votes)
     votes = table["found"].combine_chunks().flatten().to_numpy().reshape(size, -1).astype(float)
-    belief = LabelModel(votes, base or 0.05).posterior(votes)
+    belief = LabelModel(votes, base or PRIOR).posterior(votes)
     features = choose_features(seen, counts, tried, table["row"].to_pylist(), belief)
     at = {x: i for i, x in enumerate(features)}
     places = told(lambda items, hits: np.array([at[x] for x in items if x in at], dtype=np.int32))
     weights, bias = fit_linear(places["found"].combine_chunks(), belief, features)
-    found = {x: float(w) for x, w in zip(features, weights, strict=True) if w}
-    for w in PUBLIC_WORDS:
-        found.setdefault(w, 4.0)
-    return found, float(bias)
+    return {x: float(w) for x, w in zip(features, weights, strict=True) if w}, float(bias)
 
 
 class Hits(dict):

@@ -212,6 +212,19 @@ def test_toxicity_edges(spark):
     assert toxicity.toxicity(empty(spark), weights, bias, ["doc_id"]).count() == 0
 
 
+def test_lexicon_votes_and_has_no_weights_of_its_own(spark):
+    said = ["what an idiot he is", "so ein trottel er ist", "quel connard celui là"]
+    rows = [(i, f"{said[i % 3]} zorp w{i}" if i % 4 == 0 else f"the clown took trash out w{i} v{i}") for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    none = spark.createDataFrame([], "doc_id long, toxic int")
+    weights, bias = toxicity.train(docs, none, F.lit(True))  # no labels: the lexicon votes over the documents
+    got = {r.doc_id: r.predicted for r in toxicity.toxicity(docs, weights, bias, ["doc_id"]).collect()}
+    assert weights["zorp"] > 0 and all(got[i] == (i % 4 == 0) for i in got)
+    clean = spark.createDataFrame([(i, 0) for i in range(1, 200, 4)], none.schema)
+    weights, _ = toxicity.train(docs, clean, F.lit(True))
+    assert not {"clown", "trash", *toxicity.PUBLIC_WORDS} & set(weights)
+
+
 def test_correlated_voters_count_for_less():
     rng = np.random.default_rng(0)
     truth = rng.random(4000) < 0.3
