@@ -21,6 +21,7 @@ Null texts count as empty and have weight zero. Without labels of both kinds not
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,6 +38,7 @@ BUCKETS = 1 << 14
 ORDERS, WORD_ORDERS = 3, 2
 MAX_LABELS = 20_000
 MEMO_WORDS, MEMO_SHAPES, SHAPE_BITS = 300_000, 5_000, 32
+FLUSH_GRAMS = 1_000_000
 BINS, SMALL = 2_000, 5_000
 END_SIGNS = re.compile(r"[^\w\s]+$")
 # Fixed value: a run of word characters, or of signs.
@@ -64,11 +66,18 @@ def _shape_hash(look: tuple) -> int:
 
 
 class Memo(dict):
-    """Word -> (its number << SHAPE_BITS) + the place of its shape in `hashes`; bounded in both."""
+    """Word -> (its number << SHAPE_BITS) + the place of its shape in `hashes`; bounded in both.
+
+    The lower-case words and signs that a word holds have their hashes in `tokens`, from `starts` of its number on.
+    """
 
     def __init__(self):
         super().__init__()
-        self.places, self.hashes = {}, []
+        self._empty()
+
+    def _empty(self) -> None:
+        self.clear()
+        self.places, self.hashes, self.tokens, self.starts = {}, array("Q"), array("Q"), array("q", [0])
 
     def __missing__(self, word: str) -> int:
         look = shape(word)
@@ -76,29 +85,23 @@ class Memo(dict):
         if place is None:
             place = self.places[look] = len(self.hashes)
             self.hashes.append(_shape_hash(look))
+        for token in TOKEN.findall(word.lower()):
+            self.tokens.append(xxhash.xxh3_64_intdigest(token.encode("utf-8", "surrogatepass")))
+        self.starts.append(len(self.tokens))
         self[word] = value = (len(self) << SHAPE_BITS) + place
         return value
 
-    def of(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Numbers that are equal for equal words, and the shape hashes."""
+    def of(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Numbers that are equal for equal words, the shape hashes, and the hashes of the words and signs in them."""
         if len(self) > MEMO_WORDS or len(self.hashes) > MEMO_SHAPES:
-            self.clear()
-            self.places, self.hashes = {}, []
+            self._empty()
         found = np.fromiter(map(self.__getitem__, words), dtype=np.int64, count=len(words))
-        return found, np.array(self.hashes, dtype=np.uint64)[found & ((1 << SHAPE_BITS) - 1)]
-
-
-class WordHashes(dict):
-    """Word -> a fixed 64-bit hash; bounded."""
-
-    def __missing__(self, word: str) -> int:
-        self[word] = value = xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass"))
-        return value
-
-    def of(self, words: list[str]) -> np.ndarray:
-        if len(self) > MEMO_WORDS:
-            self.clear()
-        return np.fromiter(map(self.__getitem__, words), dtype=np.uint64, count=len(words))
+        at, starts = found >> SHAPE_BITS, np.frombuffer(self.starts, dtype=np.int64)
+        first, held = starts[at], starts[at + 1] - starts[at]
+        if (held != 1).any():
+            first = np.arange(held.sum()) - np.repeat(np.cumsum(held) - held - first, held)
+        looks = np.frombuffer(self.hashes, dtype=np.uint64)[found & ((1 << SHAPE_BITS) - 1)]
+        return found, looks, np.frombuffer(self.tokens, dtype=np.uint64)[first]
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -118,27 +121,31 @@ def _run_buckets(tokens: np.ndarray, orders: int) -> np.ndarray:
     return np.concatenate(found).astype(np.int64)
 
 
-def buckets_of(text: str | None, memo: Memo, hashes: WordHashes) -> np.ndarray:
+def buckets_of(text: str | None, memo: Memo) -> np.ndarray:
     """The bucket of every n-gram of a text, repeats included: first of shapes, then of words."""
     words = (text or "").split()
     if not words:
         return np.zeros(0, dtype=np.int64)
-    ids, tokens = memo.of(words)
-    tokens[1:] |= (ids[1:] == ids[:-1]).astype(np.uint64)
-    found = _run_buckets(tokens, ORDERS)
-    tokens = hashes.of(TOKEN.findall(text.lower()))
-    return np.concatenate([found, _run_buckets(tokens, WORD_ORDERS) + BUCKETS])
+    ids, looks, tokens = memo.of(words)
+    looks[1:] |= (ids[1:] == ids[:-1]).astype(np.uint64)
+    return np.concatenate([_run_buckets(looks, ORDERS), _run_buckets(tokens, WORD_ORDERS) + BUCKETS])
 
 
 def _bucket_counts(texts: DataFrame) -> np.ndarray:
     """Counts per bucket over a one-column table of texts; each batch sends one row per bucket at most."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo, hashes = Memo(), WordHashes()
+        memo, held, size = Memo(), [], 0
         total = np.zeros(2 * BUCKETS, dtype=np.int64)
         for batch in batches:
             for text in batch.column(0).to_pylist():
-                total += np.bincount(buckets_of(text, memo, hashes), minlength=2 * BUCKETS)
+                held.append(buckets_of(text, memo))
+                size += len(held[-1])
+                if size >= FLUSH_GRAMS:
+                    total += np.bincount(np.concatenate(held), minlength=2 * BUCKETS)
+                    held, size = [], 0
+        if held:
+            total += np.bincount(np.concatenate(held), minlength=2 * BUCKETS)
         at = np.nonzero(total)[0]
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["bucket", "n"])
 
@@ -228,10 +235,10 @@ def resample(
     noise = fresh("_noise", [*columns, text])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo, hashes = Memo(), WordHashes()
+        memo = Memo()
         logs = shared.value
         for batch in batches:
-            found = [float(logs[buckets_of(t, memo, hashes)].sum()) for t in batch.column(text).to_pylist()]
+            found = [float(logs[buckets_of(t, memo)].sum()) for t in batch.column(text).to_pylist()]
             kept_columns = [c for c in batch.schema.names if c in columns or c == noise]
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c) for c in kept_columns), pa.array(found, pa.float64())], names=[*kept_columns, weight]
