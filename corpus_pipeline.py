@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from onefold.llm import exact_dedup, mixing, pieces, quality, simhash
+from onefold.llm.shared import fresh, text_of
 from onefold.session import cut_lineage
 
 
@@ -30,9 +31,13 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def pieces_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """`doc_id, source, ids, n_pieces` of every passage."""
-    encoded = pieces.encode(docs, pieces.load_pieces(), ["doc_id", "source"])
-    return encoded.withColumn("n_pieces", F.size("ids"))
+    """`doc_id, source, ids, n_pieces, round_trip` of every passage; the last tells whether decoding gives it back."""
+    vocabulary = pieces.load_pieces()
+    text = fresh("_whole", docs.columns)
+    encoded = pieces.encode(docs.withColumn(text, text_of("text")), vocabulary, ["doc_id", "source", text])
+    decoded = pieces.decode(encoded, vocabulary)
+    same = F.col("decoded") == F.replace(F.col(text), F.lit(pieces.MARK), F.lit(" "))
+    return decoded.select("doc_id", "source", "ids", F.size("ids").alias("n_pieces"), same.alias("round_trip"))
 
 
 STAGES = [

@@ -8,6 +8,7 @@ import corpus_pipeline
 from onefold.llm import mixing, pieces, quality
 from onefold.llm.queries import CHECKS, QUERIES
 from compare import compare, duck
+from fixtures import documents
 from test_dedup import components_brute, fingerprint_brute
 
 FOLDER = "/root/testdata/sf0.001"
@@ -36,6 +37,15 @@ def test_stages_keep_the_columns(spark):
         assert stage(spark, docs.limit(50), FOLDER).columns == docs.columns
 
 
+def test_last_stage_decodes_what_it_encodes(spark, monkeypatch):
+    docs = documents(spark)
+    rows = corpus_pipeline.pieces_stage(spark, docs, FOLDER).collect()
+    assert len(rows) == docs.count() and all(r.round_trip for r in rows)
+    real = pieces.decode
+    monkeypatch.setattr(pieces, "decode", lambda df, v: real(df, v).withColumn("decoded", F.concat("decoded", F.lit("x"))))
+    assert not any(r.round_trip for r in corpus_pipeline.pieces_stage(spark, docs, FOLDER).collect())
+
+
 @pytest.mark.parametrize("name", sorted(CHECKS))
 def test_queries_equal_their_sql(spark, name):
     assert compare(QUERIES[name](spark, FOLDER), duck(FOLDER), CHECKS[name]) is None
