@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from onefold.llm import bloom_lm, exact_dedup, language, mixing, neighbours, pieces, quality, secret_scan, simhash, toxicity
+from onefold.llm import bloom_lm, exact_dedup, fill_middle, language, mixing, neighbours, pieces, quality, secret_scan, simhash, toxicity
 from onefold.llm.shared import fresh, in_fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -135,3 +135,44 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     held_out = in_fold("doc_id", 4, 2)
     weights, bias = toxicity.train(docs, labels, ~held_out)
     return toxicity.toxicity(docs.withColumn("held_out", held_out), weights, bias, ["doc_id", "held_out"])
+
+
+def _fill_sql() -> str:
+    marks = " OR ".join(f"contains(text, '{m.decode()}')" for m in fill_middle.SENTINELS.values())
+    unit = "('0x' || substr(h, {}, 8))::BIGINT"
+    return f"""
+    WITH cut AS (
+        SELECT doc_id, coalesce(text, '') AS text, sha256('{fill_middle.SEED}:' || coalesce(doc_id::VARCHAR, '')) AS h,
+               regexp_extract_all(coalesce(text, ''), E'[^\n]*\n|[^\n]+') AS units
+        FROM documents
+    ),
+    drawn AS (
+        SELECT doc_id, text, units, len(units) AS n,
+               least({unit.format(1)} % (len(units) + 1), {unit.format(9)} % (len(units) + 1)) AS a,
+               greatest({unit.format(1)} % (len(units) + 1), {unit.format(9)} % (len(units) + 1)) AS b,
+               CASE WHEN text = '' OR {marks} OR {unit.format(17)} % 100 >= 100 THEN 'plain'
+                    WHEN {unit.format(25)} % 100 < {fill_middle.SPM_PERCENT} THEN 'spm' ELSE 'psm' END AS form
+        FROM cut
+    ),
+    parts AS (
+        SELECT doc_id, text, n, form, array_to_string(units[1:a], '') AS prefix,
+               array_to_string(units[a + 1:b], '') AS middle, array_to_string(units[b + 1:n], '') AS suffix
+        FROM drawn
+    )
+    SELECT doc_id, n::BIGINT AS n, form,
+           CASE WHEN form <> 'plain' THEN length(prefix)::BIGINT END AS prefix_chars,
+           CASE WHEN form <> 'plain' THEN length(middle)::BIGINT END AS middle_chars,
+           sha256(CASE form WHEN 'plain' THEN text
+                  WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                  ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+           sha256(text) AS restored_sha256
+    FROM parts
+    """
+
+
+@query(_fill_sql())
+def op12_fill_middle(spark: SparkSession, folder: str) -> DataFrame:
+    """Forms, cut lengths, the digest of the output, and of the text rebuilt from the output alone."""
+    outputs = fill_middle.transformed(_table(spark, folder, "documents"), ["doc_id"])
+    kept = ["doc_id", "n", "form", "prefix_chars", "middle_chars", "output_sha256"]
+    return fill_middle.restored(outputs, kept).drop("restored")

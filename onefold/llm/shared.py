@@ -33,6 +33,14 @@ def fresh(name: str, taken: list[str]) -> str:
     return name
 
 
+def output_names(wanted: list[str] | tuple[str, ...], taken: list[str]) -> list[str]:
+    """Names for the columns an operator adds: as wanted, with underscores in front of those that `taken` has."""
+    names: list[str] = []
+    for name in wanted:
+        names.append(fresh(name, [*taken, *names]))
+    return names
+
+
 def with_field(schema: T.StructType, name: str, kind: T.DataType) -> T.StructType:
     """A new schema with one more field."""
     return T.StructType([*schema.fields, T.StructField(name, kind)])
