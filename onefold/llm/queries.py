@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from onefold.llm import bloom_lm, exact_dedup, fill_middle, language, mixing, neighbours, pieces, quality, secret_scan, simhash, toxicity
+from onefold.llm import bloom_lm, exact_dedup, fill_middle, language, mixing, neighbours, pieces, quality, secret_scan, simhash, toxicity, warc
 from onefold.llm.shared import fresh, in_fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -137,6 +137,31 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.toxicity(docs.withColumn("held_out", held_out), weights, bias, ["doc_id", "held_out"])
 
 
+def _base32_sql(hexed: str) -> str:
+    five = f"('0x' || substr({hexed}, 5 * g + 1, 5))::INTEGER"
+    return (
+        "list_aggregate(flatten(list_transform(range(8), lambda g: list_transform([15, 10, 5, 0], "
+        f"lambda s: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((({five}) >> s) & 31) + 1, 1)))), 'string_agg', '')"
+    )
+
+
+@query(f"""
+    WITH pays AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+    firsts AS (
+        SELECT *, row_number() OVER w AS nth, first_value(page_id) OVER w AS first_id
+        FROM pays WINDOW w AS (PARTITION BY html ORDER BY page_id NULLS LAST)
+    )
+    SELECT page_id, strlen(html)::BIGINT AS payload_bytes, {_base32_sql("sha1(html)")} AS payload_digest,
+           CASE WHEN nth = 1 THEN 'response' ELSE 'revisit' END AS record_type,
+           CASE WHEN nth > 1 THEN first_id END AS refers_to
+    FROM firsts
+""")
+def op11_warc(spark: SparkSession, folder: str) -> DataFrame:
+    """Every page as its record in the archives tells it."""
+    read = warc.round_trip(_table(spark, folder, "pages"))
+    return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def _fill_sql() -> str:
     marks = " OR ".join(f"contains(text, '{m.decode()}')" for m in fill_middle.SENTINELS.values())
     unit = "('0x' || substr(h, {}, 8))::BIGINT"
