@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from onefold.llm import bloom_lm, exact_dedup, fill_middle, language, mixing, neighbours, pieces, quality, secret_scan, simhash, toxicity, warc
+from onefold.llm import bloom_lm, exact_dedup, fill_middle, language, mixing, neighbours, phrases, pieces, quality, secret_scan, simhash, toxicity, warc
 from onefold.llm.shared import fresh, in_fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -201,3 +201,58 @@ def op12_fill_middle(spark: SparkSession, folder: str) -> DataFrame:
     outputs = fill_middle.transformed(_table(spark, folder, "documents"), ["doc_id"])
     kept = ["doc_id", "n", "form", "prefix_chars", "middle_chars", "output_sha256"]
     return fill_middle.restored(outputs, kept).drop("restored")
+
+
+def _phrases_sql() -> str:
+    low, high = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    ratio = "(1000000::HUGEINT * a::HUGEINT * a::HUGEINT) // ({}::HUGEINT * {}::HUGEINT)"
+    return f"""
+    WITH texts AS (
+        SELECT coalesce(lang, 'und') AS lang,
+               unnest(string_split_regex(translate(coalesce(text, ''), '{high}', '{low}'), '[.,;:!?\x0A-\x0D]')) AS piece
+        FROM documents
+    ),
+    words AS (SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM texts),
+    places AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM words),
+    one AS (SELECT lang, w[i] AS w1, count(*) AS f FROM places GROUP BY ALL),
+    two AS (SELECT lang, w[i] AS w1, w[i + 1] AS w2, count(*) AS f FROM places WHERE i < len(w) GROUP BY ALL HAVING count(*) >= {phrases.LEAST}),
+    three AS (
+        SELECT lang, w[i] AS w1, w[i + 1] AS w2, w[i + 2] AS w3, count(*) AS f
+        FROM places WHERE i + 1 < len(w) GROUP BY ALL HAVING count(*) >= {phrases.LEAST}
+    ),
+    longer AS (
+        SELECT lang, w1, w2, max(f) AS f
+        FROM (SELECT lang, w1, w2, f FROM three UNION ALL SELECT lang, w2, w3, f FROM three) GROUP BY ALL
+    ),
+    pairs AS (
+        SELECT lang, w1 || ' ' || w2 AS phrase, two.f AS a, x.f AS l, y.f AS r, longer.f AS longest
+        FROM two JOIN one x USING (lang, w1) JOIN one y ON y.lang = two.lang AND y.w1 = two.w2 LEFT JOIN longer USING (lang, w1, w2)
+    ),
+    triples AS (
+        SELECT t.lang, t.w1 || ' ' || t.w2 || ' ' || t.w3 AS phrase, t.f AS a, x.f AS l1, yz.f AS r1, xy.f AS l2, z.f AS r2
+        FROM three t
+        JOIN one x ON x.lang = t.lang AND x.w1 = t.w1
+        JOIN one z ON z.lang = t.lang AND z.w1 = t.w3
+        JOIN two xy ON xy.lang = t.lang AND xy.w1 = t.w1 AND xy.w2 = t.w2
+        JOIN two yz ON yz.lang = t.lang AND yz.w1 = t.w2 AND yz.w2 = t.w3
+    ),
+    cuts AS (SELECT *, {ratio.format("l1", "r1")} AS s1, {ratio.format("l2", "r2")} AS s2 FROM triples),
+    candidates AS (
+        SELECT lang, phrase, a, l, r, {ratio.format("l", "r")} AS score FROM pairs
+        WHERE longest IS NULL OR 100 * longest < {phrases.HALF_PERCENT} * a
+        UNION ALL
+        SELECT lang, phrase, a, CASE WHEN s1 <= s2 THEN l1 ELSE l2 END, CASE WHEN s1 <= s2 THEN r1 ELSE r2 END, least(s1, s2)
+        FROM cuts
+    ),
+    sizes AS (SELECT lang, sum(f) AS n FROM one GROUP BY lang),
+    ranked AS (
+        SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM candidates
+    )
+    SELECT lang, rank, phrase, a, l, r, n::BIGINT AS n, score::BIGINT AS score
+    FROM ranked JOIN sizes USING (lang) WHERE rank <= {phrases.TOP}
+    """
+
+
+@query(_phrases_sql())
+def op13_phrases(spark: SparkSession, folder: str) -> DataFrame:
+    return phrases.collocations(_table(spark, folder, "documents"))

@@ -61,7 +61,7 @@ VERSION, REVISIT_PROFILE = b"WARC/1.1", "http://netpreserve.org/warc/1.1/revisit
 END = b"\r\n\r\n"
 GZIP, EXTRA_FLAG = b"\x1f\x8b", 4
 READ_BYTES, INFLATE_BYTES, FIRST_BYTES = 1 << 16, 1 << 18, 1 << 11  # the first part of a member holds its headers
-PARTITION_BYTES, FILE_BYTES = 128 << 20, 256 << 20
+PARTITION_BYTES, FILE_BYTES = 32 << 20, 256 << 20
 BATCH_BYTES, BATCH_ROWS, HEADER_BYTES = 4 << 20, 2_000, 1 << 20
 PUSHDOWN = "spark.sql.python.filterPushdown.enabled"
 
