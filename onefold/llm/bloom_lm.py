@@ -1,31 +1,35 @@
 """Language-model scoring from a log-frequency Bloom filter.
 
-Counting runs over all training documents and all their tokens: tokens by name, and pairs of neighbouring
-tokens by a hash of both. A pair with count c has the level 1 + floor(log2(c)); it is put into a Bloom filter
-once for each level up to its own. A reader probes level 1, 2, ... until a probe fails, which gives the count
-back to within a factor of two (a count of one exactly). The filter grows with what it holds: every segment
-gets `BITS_PER_ITEM` bits an item, and there is a power of two of segments, each of about `SEGMENT_BYTES`
-before repeated pairs are merged. So the rate of false positives does not depend on the size of the input.
-
-A filter of at most `BROADCAST_BYTES` in at most `SEGMENTS` segments is broadcast. A larger one stays a table:
-documents go in chunks of `1 << CHUNK_BITS`, the distinct pair hashes of a chunk are sent, packed, to their
-segments, and one byte a hash comes back. Hot pairs are sent once a chunk.
+Texts are read once: documents go in chunks of about `CHUNK_TOKENS` tokens, written as codes by each chunk's own
+dictionary, so all later passes read numbers and no text is shuffled. Counting runs over all training documents and
+all their tokens: tokens by name, and pairs of neighbouring tokens by a hash of both. A pair with count c has the
+level 1 + floor(log2(c)); it is put into a Bloom filter once for each level up to its own. A reader probes level 1,
+2, ... until a probe fails, which gives the count back to within a factor of two (a count of one exactly). The filter
+grows with what it holds: every segment gets `BITS_PER_ITEM` bits an item, and there is a power of two of segments,
+each of about `SEGMENT_BYTES` at most. So the rate of false positives does not depend on the size of the input.
+
+Distinct pair hashes go to their segments once for each chunk, as packed differences with their counts. A filter that
+cannot exceed `BROADCAST_BYTES` is broadcast; a larger one stays where its segments are built, which answer the
+chunks at once with a byte for each hash. Hot pairs are sent once a chunk.
 
 The probability of a token is lambda * c(previous, token) / c(previous) + (1 - lambda) * p(token), with lambda =
-c(previous) / (c(previous) + `TRUST`). p is the smoothed share (c + 0.5) / (N + 0.5 (V + 1)).
+c(previous) / (c(previous) + `TRUST`). p is the smoothed share (c + 0.5) / (N + 0.5 (V + 1)). A count that comes back
+from the filter is rounded, so the first share is held to at most one and probabilities do not add up to exactly one.
 
 Counts of at most `HEAD_WORDS` most frequent tokens are broadcast exactly; the distinct other tokens of a
 chunk, which are rare by definition, meet their exact counts in a join by token, and the counts go back to the
 chunk. Every token of every whole text is scored.
 
 Null texts count as empty: one end token. Without training rows every count is zero. Repeated rows are
-scored each; a null id counts as the empty text when folds are dealt.
+scored each; a null id counts as the empty text when folds are dealt. A text is never cut: one that is longer than a
+chunk makes a chunk of its own, which one task holds. Empty tables give empty results. Passed columns keep their
+names; an output column whose name is taken gets underscores in front.
 """
 
 from __future__ import annotations
 
 import math
-from collections import Counter
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,17 +37,18 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from onefold.llm.shared import ASCII_LOWER, fresh, numbered
+from onefold.llm.shared import ASCII_LOWER, fresh, from_planes, numbered, output_names, planes
 from onefold.session import cut_lineage
 
 END = b""  # no word is empty
 HEAD_WORDS = 1 << 18
 SEGMENTS, SEGMENT_BYTES, BITS_PER_ITEM, PROBES = 4_096, 1 << 20, 12, 4
-BROADCAST_BYTES = 64 << 20
-CHUNK_BITS = 6
+BROADCAST_BYTES = 8 << 20
+CHUNK_TOKENS = 1_000_000
 TRUST = 50.0
-FLUSH_TOKENS, FLUSH_PAIRS, MEMO_TOKENS = 500_000, 2_000_000, 500_000
+OUTPUT = (("n_tokens", "long"), ("n_known", "long"), ("train_tokens", "long"), ("base_score", "double"), ("score", "double"))
 
 
 def token_list(text: str | None) -> list[bytes]:
@@ -51,22 +56,6 @@ def token_list(text: str | None) -> list[bytes]:
     return [*(text or "").encode("utf-8", "surrogatepass").translate(ASCII_LOWER).split(), END]
 
 
-def _count_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts: Counter = Counter()
-
-    def flushed() -> pa.RecordBatch:
-        names = pa.array(list(counts.keys()), pa.binary()).cast(pa.string())
-        return pa.RecordBatch.from_arrays([names, pa.array(list(counts.values()), pa.int64())], names=["token", "n"])
-
-    for batch in batches:
-        for text in batch.column(0).to_pylist():
-            counts.update(token_list(text))
-            if len(counts) >= FLUSH_TOKENS:
-                yield flushed()
-                counts.clear()
-    yield flushed()
-
-
 def mixed(x: np.ndarray) -> np.ndarray:
     """A one-to-one scramble of unsigned 64-bit numbers."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -74,32 +63,8 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-class TokenHashes(dict):
-    """Token -> a fixed 64-bit hash; bounded between texts."""
-
-    def __missing__(self, token: bytes) -> int:
-        self[token] = value = xxhash.xxh3_64_intdigest(token)
-        return value
-
-    def of(self, tokens: list[bytes]) -> np.ndarray:
-        if len(self) > MEMO_TOKENS:
-            self.clear()
-        return np.fromiter(map(self.__getitem__, tokens), dtype=np.uint64, count=len(tokens))
-
-
-def pair_hashes(hashes: np.ndarray, starts: np.ndarray, allowed: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Positions of tokens that have a predecessor in their text, and the hash of each pair.
-
-    `starts` are the positions of first tokens. With `allowed`, both tokens must have a hash in it.
-    """
-    inside = np.ones(len(hashes), dtype=bool)
-    inside[starts] = False
-    if allowed is not None:
-        known = np.isin(hashes, allowed)
-        inside &= known
-        inside[1:] &= known[:-1]
-    at = np.nonzero(inside)[0]
-    return at, mixed(mixed(hashes[at - 1] + np.uint64(0x9E3779B97F4A7C15)) + hashes[at])
+def token_hash(token: bytes) -> int:
+    return xxhash.xxh3_64_intdigest(token)
 
 
 def segments_for(pairs: int) -> int:
@@ -153,30 +118,6 @@ def probe(hashes: np.ndarray, flat: np.ndarray, starts: np.ndarray, sizes: np.nd
     return level
 
 
-def _count_pairs(texts: DataFrame, segments: int, allowed: np.ndarray | None) -> DataFrame:
-    """`segment, pairs, counts`: packed hashes of neighbouring tokens in ascending order, and how often each occurs."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo, held, size = TokenHashes(), [], 0
-
-        def flushed() -> pa.RecordBatch:
-            found, n = np.unique(np.concatenate(held), return_counts=True)
-            parts = [(s, found[i:j].tobytes(), n[i:j].astype("<i8").tobytes()) for s, i, j in _runs(found, segments)]
-            return _packed(parts, ["segment", "pairs", "counts"])
-
-        for batch in batches:
-            for text in batch.column(0).to_pylist():
-                held.append(pair_hashes(memo.of(token_list(text)), np.zeros(1, dtype=np.int64), allowed)[1])
-                size += len(held[-1])
-                if size >= FLUSH_PAIRS:
-                    yield flushed()
-                    held, size = [], 0
-        if held:
-            yield flushed()
-
-    return texts.mapInArrow(run, "segment int, pairs binary, counts binary")
-
-
 def _runs(found: np.ndarray, segments: int) -> list[tuple[int, int, int]]:
     """`segment, start, stop` of the runs of equal segments in ascending hashes."""
     if not len(found):
@@ -186,80 +127,179 @@ def _runs(found: np.ndarray, segments: int) -> list[tuple[int, int, int]]:
     return list(zip(own[starts].tolist(), starts.tolist(), [*starts[1:].tolist(), len(own)], strict=True))
 
 
-def _packed(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
-    columns = list(zip(*rows, strict=True)) if rows else [()] * len(names)
-    kinds = {"chunk": pa.int64(), "segment": pa.int32()}
-    made = [pa.array(c, kinds.get(n, pa.binary())) for n, c in zip(names, columns, strict=True)]
-    return pa.RecordBatch.from_arrays(made, names=names)
+def _side_by_side(parts: dict[int, bytes], segments: int) -> tuple[bytes, np.ndarray, np.ndarray]:
+    """All segments in one piece, with their starts and sizes in bytes."""
+    sizes = np.zeros(segments, dtype=np.int64)
+    for segment, data in parts.items():
+        sizes[segment] = len(data)
+    flat = b"".join(parts[s] for s in sorted(parts)) or b"\0"
+    return flat, np.concatenate([[0], np.cumsum(sizes)[:-1]]), sizes
+
 
+# ---- chunks of coded documents ----
 
-def _unpacked(column: pa.ChunkedArray, kind: str) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), dtype=kind)
 
+class Coder(dict):
+    """Token -> its code in the chunk; the codes and the flags of the documents so far."""
 
-def _build_filter(pairs: DataFrame) -> DataFrame:
+    def __init__(self):
+        super().__init__()
+        self.codes, self.flags, self.rows = array("I"), [], []
+
+    def __missing__(self, token: bytes) -> int:
+        self[token] = code = len(self)
+        return code
+
+    def row(self) -> list[pa.Array]:
+        """`words, hashes, seen, codes, docs` of the chunk; codes by falling count."""
+        codes = np.frombuffer(self.codes, dtype=np.uint32)
+        order = np.argsort(-np.bincount(codes, minlength=len(self)), kind="stable")
+        place = np.zeros(len(self), dtype="<u4")
+        place[order] = np.arange(len(self))
+        names = list(self)
+        names = [names[i] for i in order.tolist()]
+        codes = place[codes]
+        ends = np.nonzero(codes == names.index(END))[0]
+        teaches = np.repeat(np.array(self.flags, dtype=bool), np.diff(ends, prepend=-1))
+        seen = np.bincount(codes[teaches], minlength=len(names))
+        hashes = np.fromiter(map(token_hash, names), dtype=np.uint64, count=len(names)).view(np.int64)
+        one = lambda x: pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x)
+        words = pa.array(names, pa.binary()).cast(pa.string())
+        docs = pa.concat_arrays(self.rows)
+        return [one(words), one(pa.array(hashes)), one(pa.array(seen)), pa.array([planes(codes)], pa.binary()), one(docs)]
+
+
+def coded_chunks(docs: DataFrame, teaches: Column, columns: list[str], text_column: str) -> tuple[DataFrame, str]:
+    """The documents as written chunks, numbered, and the name of the number's column.
+
+    `docs` holds the passed columns of each document and, last, whether it teaches.
+    """
+    flag, text = fresh("_teaches", columns), fresh("_text", columns)
+    picked = docs.select(*columns, F.coalesce(teaches, F.lit(False)).alias(flag), F.col(text_column).alias(text))
+    one = picked.drop(text).schema
+    numbers = T.ArrayType(T.LongType())
+    schema = T.StructType().add("words", T.ArrayType(T.StringType())).add("hashes", numbers).add("seen", numbers)
+    schema = schema.add("codes", "binary").add("docs", T.ArrayType(one))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder = Coder()
+        for batch in batches:
+            kept = pa.StructArray.from_arrays(batch.columns[:-1], fields=list(batch.schema)[:-1])
+            flags, begun = batch.column(batch.num_columns - 2).to_pylist(), 0
+            for at, text in enumerate(batch.column(batch.num_columns - 1).to_pylist()):
+                coder.codes.extend(map(coder.__getitem__, token_list(text)))
+                if len(coder.codes) >= CHUNK_TOKENS:
+                    coder.rows.append(kept[begun : at + 1])
+                    coder.flags.extend(flags[begun : at + 1])
+                    yield pa.RecordBatch.from_arrays(coder.row(), names=schema.names)
+                    coder, begun = Coder(), at + 1
+            if begun < len(kept):
+                coder.rows.append(kept[begun:])
+                coder.flags.extend(flags[begun:])
+        if coder.flags:
+            yield pa.RecordBatch.from_arrays(coder.row(), names=schema.names)
+
+    return numbered(picked.mapInArrow(run, schema))
+
+
+class Chunk:
+    """Codes and distinct pairs of one chunk."""
+
+    def __init__(self, words: pa.Array, hashes: pa.Array, codes: bytes, allowed: np.ndarray | None):
+        self.codes = from_planes(codes, "<u4")
+        self.ends = np.nonzero(self.codes == words.index(pa.scalar("", words.type)).as_py())[0]
+        self.starts = np.concatenate([[0], self.ends[:-1] + 1])
+        inside = np.ones(len(self.codes), dtype=bool)
+        inside[self.starts] = False
+        hashes = hashes.to_numpy(zero_copy_only=False).view(np.uint64)
+        if allowed is not None:
+            known = np.isin(hashes, allowed)[self.codes]
+            inside &= known
+            inside[1:] &= known[:-1]
+        self.at = np.nonzero(inside)[0]  # tokens that have a predecessor
+        both = self.codes[self.at - 1].astype(np.uint64) << np.uint64(32) | self.codes[self.at]
+        found, self.place = np.unique(both, return_inverse=True)
+        first, second = hashes[found >> np.uint64(32)], hashes[found & np.uint64(0xFFFFFFFF)]
+        self.pairs = mixed(mixed(first + np.uint64(0x9E3779B97F4A7C15)) + second)
+        self.order = np.argsort(self.pairs, kind="stable")
+
+    def per_token(self, per_document: np.ndarray) -> np.ndarray:
+        return np.repeat(per_document, np.diff(self.ends, prepend=-1))
+
+
+def _chunk_of(table: pa.Table | pa.RecordBatch, row: int, allowed: np.ndarray | None) -> Chunk:
+    words, hashes = table.column("words")[row].values, table.column("hashes")[row].values
+    return Chunk(words, hashes, table.column("codes")[row].as_buffer(), allowed)
+
+
+def pair_counts(chunks: DataFrame, number: str, segments: int, allowed: np.ndarray | None) -> DataFrame:
+    """`segment, chunk, pairs, seen`: ascending distinct pair hashes of a chunk, packed, and how often training has each."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                chunk = _chunk_of(batch, row, allowed)
+                teaches = batch.column("docs")[row].values
+                teaches = teaches.field(teaches.type.num_fields - 1).to_numpy(zero_copy_only=False)
+                counted = chunk.place[chunk.per_token(teaches)[chunk.at]]
+                seen = np.bincount(counted, minlength=len(chunk.pairs))[chunk.order].astype("<u4")
+                found = chunk.pairs[chunk.order]
+                steps = np.diff(found, prepend=np.uint64(0))
+                parts = _runs(found, segments)
+                steps[[i for _, i, _ in parts]] = found[[i for _, i, _ in parts]]
+                arrays = [
+                    pa.array([s for s, _, _ in parts], pa.int32()),
+                    pa.array([batch.column(number)[row].as_py()] * len(parts), pa.int64()),
+                    pa.array([planes(steps[i:j].astype("<u8")) for _, i, j in parts], pa.binary()),
+                    pa.array([planes(seen[i:j]) for _, i, j in parts], pa.binary()),
+                ]
+                yield pa.RecordBatch.from_arrays(arrays, names=["segment", "chunk", "pairs", "seen"])
+
+    picked = chunks.select(number, "words", "hashes", "codes", "docs")
+    return picked.mapInArrow(run, "segment int, chunk long, pairs binary, seen binary")
+
+
+def _segment(table: pa.Table) -> tuple[list[np.ndarray], bytes]:
+    """The pair hashes of each chunk that asks, and the filter part that holds those which training has."""
+    asked = [np.cumsum(from_planes(x, "<u8"), dtype=np.uint64) for x in table.column("pairs").to_pylist()]
+    hashes = np.concatenate(asked)
+    counts = np.concatenate([from_planes(x, "<u4") for x in table.column("seen").to_pylist()]).astype(np.int64)
+    hashes, counts = hashes[counts > 0], counts[counts > 0]
+    if not len(hashes):
+        return asked, b""
+    order = np.argsort(hashes, kind="stable")
+    hashes = hashes[order]
+    first = np.nonzero(np.concatenate([[True], hashes[1:] != hashes[:-1]]))[0]
+    return asked, build_segment(hashes[first], np.add.reduceat(counts[order], first))
+
+
+def build_filter(pairs: DataFrame) -> DataFrame:
     """`segment, data`: the parts of the filter."""
 
     def build(table: pa.Table) -> pa.Table:
-        hashes, counts = _unpacked(table.column("pairs"), "<u8"), _unpacked(table.column("counts"), "<i8")
-        order = np.argsort(hashes, kind="stable")
-        hashes = hashes[order]
-        first = np.nonzero(np.concatenate([[True], hashes[1:] != hashes[:-1]]))[0]
-        data = build_segment(hashes[first], np.add.reduceat(counts[order], first))
-        return pa.table({"segment": table.column("segment").slice(0, 1), "data": pa.array([data], pa.binary())})
+        return pa.table({"segment": table.column("segment").slice(0, 1), "data": pa.array([_segment(table)[1]], pa.binary())})
 
-    return cut_lineage(pairs.groupBy("segment").applyInArrow(build, "segment int, data binary"))
+    return pairs.groupBy("segment").applyInArrow(build, "segment int, data binary")
 
 
-def _side_by_side(parts: dict[int, bytes], segments: int) -> tuple[bytes, np.ndarray, np.ndarray]:
-    """All segments in one piece, with their starts and sizes in bytes."""
-    sizes = np.zeros(segments, dtype=np.int64)
-    for segment, data in parts.items():
-        sizes[segment] = len(data)
-    flat = b"".join(parts[s] for s in sorted(parts)) or b"\0"
-    return flat, np.concatenate([[0], np.cumsum(sizes)[:-1]]), sizes
+def answered(pairs: DataFrame, segments: int) -> DataFrame:
+    """`chunk, segment, levels`: a byte for each pair hash that a chunk sent to a segment, in its order."""
 
+    def answer(table: pa.Table) -> pa.Table:
+        asked, data = _segment(table)
+        own = table.column("segment")[0].as_py()
+        sizes = np.zeros(segments, dtype=np.int64)
+        sizes[own] = len(data)
+        flat, starts = np.frombuffer(data or b"\0", dtype=np.uint8), np.zeros(segments, dtype=np.int64)
+        levels = probe(np.concatenate(asked), flat, starts, sizes).astype(np.uint8)
+        parts = np.split(levels, np.cumsum([len(x) for x in asked])[:-1])
+        made = pa.array([x.tobytes() for x in parts], pa.binary())
+        return pa.table({"chunk": table.column("chunk"), "segment": table.column("segment"), "levels": made})
 
-def _levels_by_segment(chunks: DataFrame, chunk: str, text: str, data: DataFrame, segments: int, allowed) -> DataFrame:
-    """`chunk, segment, levels`: a byte for each distinct pair hash of the chunk in this segment, in ascending order."""
+    return pairs.groupBy("segment").applyInArrow(answer, "chunk long, segment int, levels binary")
 
-    memo = TokenHashes()  # one for each task
 
-    def ask(table: pa.Table) -> pa.Table:
-        number = table.column(chunk)[0].as_py()
-        _, hashes, starts = _tokens_of(table.column(text).to_pylist(), memo)
-        found = np.unique(pair_hashes(hashes, starts, allowed)[1])
-        rows = [(number, s, found[i:j].tobytes()) for s, i, j in _runs(found, segments)]
-        return pa.Table.from_batches([_packed(rows, ["chunk", "segment", "data"])])
-
-    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, held = -1, b""
-        for batch in batches:
-            rows = []
-            for number, segment, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if number is None:  # the part of the filter comes before those who ask
-                    own, held = segment, data
-                    continue
-                hashes = np.frombuffer(data, dtype="<u8")
-                sizes = np.zeros(segments, dtype=np.int64)
-                sizes[segment] = len(held) if own == segment else 0
-                flat = np.frombuffer(held or b"\0", dtype=np.uint8)
-                level = probe(hashes, flat, np.zeros(segments, dtype=np.int64), sizes)
-                rows.append((number, segment, level.astype(np.uint8).tobytes()))
-            yield _packed(rows, ["chunk", "segment", "levels"])
-
-    asked = chunks.select(chunk, text).groupBy(chunk).applyInArrow(ask, "chunk long, segment int, data binary")
-    held = data.select(F.lit(None).cast("long").alias("chunk"), "segment", "data")
-    both = held.unionByName(asked).repartition("segment").sortWithinPartitions("segment", F.asc_nulls_first("chunk"))
-    return both.mapInArrow(answer, "chunk long, segment int, levels binary")
-
-
-def _tokens_of(texts: list[str | None], memo: TokenHashes) -> tuple[list[bytes], np.ndarray, np.ndarray]:
-    """The tokens of all texts in a row, their hashes, and the position of each text's first token."""
-    lists = [token_list(t) for t in texts]
-    starts = np.cumsum([0, *(len(x) for x in lists[:-1])])
-    words = [w for x in lists for w in x]
-    return words, memo.of(words), starts
+# ---- scores ----
 
 
 def _frequent(counts: DataFrame, bound: int) -> tuple[dict[bytes, int], int]:
@@ -290,75 +330,77 @@ def lm_scores(
     With `pair_words`, only pairs among so many most frequent tokens count; otherwise all pairs do.
     """
     sc = docs.sparkSession.sparkContext
-    training = docs.filter(teaches).select(F.col(text_column).alias("t"))
-    counts = training.mapInArrow(_count_tokens, "token string, n bigint")
-    counts = cut_lineage(counts.groupBy("token").agg(F.sum("n").alias("n")))
+    chunks, number = coded_chunks(docs, teaches, columns, text_column)
+    entry = chunks.select(F.explode(F.arrays_zip("words", "seen")).alias("x")).select(F.col("x.words").alias("token"), F.col("x.seen").alias("n"))
+    counts = cut_lineage(entry.filter("n > 0").groupBy("token").agg(F.sum("n").alias("n")))
     total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     room = total + 0.5 * (distinct + 1)
     head, least = _frequent(counts, head_words)
-    allowed = None
+    known, allowed = sc.broadcast(head), None
     if pair_words is not None:
-        allowed = TokenHashes().of(sorted(head, key=lambda t: (-head[t], t))[:pair_words])
-    segments = segments_for(total)
-    parts = _build_filter(_count_pairs(training, segments, allowed))
-    size = parts.agg(F.coalesce(F.sum(F.length("data")), F.lit(0))).first()[0]
-    known, filter_parts = sc.broadcast(head), None
-    chunk, text = fresh("_chunk", columns), fresh("_text", columns)
-    chunks, number = numbered(docs.select(*columns, F.col(text_column).alias(text)))
-    chunks = chunks.withColumn(chunk, F.shiftright(number, CHUNK_BITS)).drop(number)
+        best = sorted(head, key=lambda t: (-head[t], t))[:pair_words]
+        allowed = np.array([token_hash(t) for t in best], dtype=np.uint64)
 
     def rare_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """`chunk, token`: the distinct tokens of each chunk whose counts are not broadcast."""
+        """`chunk, place, token`: the tokens of each chunk whose counts are not broadcast, and their codes."""
+        frequent = known.value
         for batch in batches:
-            found: dict[int, set[bytes]] = {}
-            for number, t in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                found.setdefault(number, set()).update(w for w in token_list(t) if w not in known.value)
-            numbers = np.repeat(np.array(list(found), dtype=np.int64), [len(x) for x in found.values()])
-            tokens = pa.array([w for own in found.values() for w in own], pa.binary()).cast(pa.string())
-            yield pa.RecordBatch.from_arrays([pa.array(numbers), tokens], names=["chunk", "token"])
-
-    asked = chunks.select(chunk, text).mapInArrow(rare_tokens, "chunk long, token string")
+            for row in range(batch.num_rows):
+                names = batch.column(1)[row].values
+                words = names.cast(pa.binary()).to_pylist()
+                place = pa.array([i for i, w in enumerate(words) if w not in frequent], pa.int32())
+                owner = pa.array(np.full(len(place), batch.column(0)[row].as_py()))
+                yield pa.RecordBatch.from_arrays([owner, place, names.take(place)], names=["chunk", "place", "token"])
+
+    asked = chunks.select(number, "words").mapInArrow(rare_tokens, "chunk long, place int, token string")
     told = asked.join(counts.filter(F.col("n") < least), "token").groupBy("chunk")
-    told = told.agg(F.collect_list(F.struct("token", "n")).alias("rare"))
+    told = told.agg(F.collect_list(F.struct("place", "n")).alias("rare"))  # at most the dictionary of one chunk
     told = told.select("chunk", "rare", F.lit(None).cast("int").alias("segment"), F.lit(None).cast("binary").alias("levels"))
-    if size <= BROADCAST_BYTES and segments <= SEGMENTS:
-        held = {r["segment"]: bytes(r["data"]) for r in parts.collect()}  # at most BROADCAST_BYTES
+    segments, filter_parts = segments_for(total), None
+    pairs = pair_counts(chunks, number, segments, allowed)
+    # A pair has no more levels than occurrences, which bounds the filter before it is built.
+    if (total + 8 * segments) * BITS_PER_ITEM // 8 <= BROADCAST_BYTES and segments <= SEGMENTS:
+        held = {r["segment"]: bytes(r["data"]) for r in build_filter(pairs).collect()}  # at most BROADCAST_BYTES
         filter_parts = sc.broadcast(_side_by_side(held, segments))
     else:
-        levels = _levels_by_segment(chunks, chunk, text, parts, segments, allowed)
-        told = told.unionByName(levels, allowMissingColumns=True)
+        told = told.unionByName(answered(pairs, segments), allowMissingColumns=True)
     schema = docs.select(*columns).schema
-    for name, kind in (("n_tokens", "long"), ("n_known", "long"), ("train_tokens", "long"), ("base_score", "double"), ("score", "double")):
+    for name, (_, kind) in zip(output_names([n for n, _ in OUTPUT], columns), OUTPUT, strict=True):
         schema = schema.add(name, kind)
 
-    memo = TokenHashes()  # one for each task
+    def levels_of_pairs(chunk: Chunk, answers: pa.Table) -> np.ndarray:
+        found = chunk.pairs[chunk.order]
+        if filter_parts is not None:
+            flat, begins, sizes = filter_parts.value
+            in_order = probe(found, np.frombuffer(flat, dtype=np.uint8), begins, sizes)
+        else:
+            parts = zip(answers.column("segment").to_pylist(), answers.column("levels").to_pylist(), strict=True)
+            in_order = np.frombuffer(b"".join(x for _, x in sorted(x for x in parts if x[0] is not None)), dtype=np.uint8)
+        level = np.zeros(len(found))
+        level[chunk.order] = in_order
+        return level
 
     def score(own: pa.Table, answers: pa.Table) -> pa.Table:
-        if not own.num_rows:
-            return own.select(columns)
-        words, hashes, starts = _tokens_of(own.column(text).to_pylist(), memo)
-        rare = {r["token"].encode("utf-8", "surrogatepass"): r["n"] for x in answers.column("rare").to_pylist() for r in x or ()}
+        chunk = _chunk_of(own, 0, allowed)
+        words = own.column("words")[0].values.cast(pa.binary()).to_pylist()
         frequent = known.value
-        n = np.fromiter((frequent.get(w) or rare.get(w, 0) for w in words), dtype=np.float64, count=len(words))
+        n = np.fromiter((frequent.get(w, 0) for w in words), dtype=np.float64, count=len(words))
+        for rare in answers.column("rare").to_pylist():
+            for entry in rare or ():
+                n[entry["place"]] = entry["n"]
+        n = n[chunk.codes]
         share = (n + 0.5) / room
         before = np.append(0.0, n[:-1])
-        before[starts] = 0.0
+        before[chunk.starts] = 0.0
         weight = before / (before + TRUST)
         p = (1.0 - weight) * share
-        at, pairs = pair_hashes(hashes, starts, allowed)
-        distinct, place = np.unique(pairs, return_inverse=True)
-        if filter_parts is not None:
-            flat, begins, sizes = filter_parts.value
-            level = probe(distinct, np.frombuffer(flat, dtype=np.uint8), begins, sizes)
-        else:
-            parts = zip(answers.column("segment").to_pylist(), answers.column("levels").to_pylist(), strict=True)
-            level = np.frombuffer(b"".join(x for _, x in sorted(x for x in parts if x[0] is not None)), dtype=np.uint8)
-        level = level[place].astype(np.float64)
+        level = levels_of_pairs(chunk, answers)[chunk.place]
         about = np.where(level > 1, 2.0 ** (level - 1) * math.sqrt(2.0), level)
-        p[at] += weight[at] * np.minimum(1.0, about / np.maximum(before[at], 1.0))
-        sizes = np.diff(starts, append=len(words))
-        made = [sizes, np.add.reduceat((n > 0).astype(np.int64), starts), np.full(len(starts), total, dtype=np.int64)]
+        p[chunk.at] += weight[chunk.at] * np.minimum(1.0, about / np.maximum(before[chunk.at], 1.0))
+        starts = chunk.starts
+        made = [np.diff(chunk.ends, prepend=-1), np.add.reduceat((n > 0).astype(np.int64), starts), np.full(len(starts), total, dtype=np.int64)]
         made += [np.add.reduceat(np.log10(share), starts), np.add.reduceat(np.log10(p), starts)]
-        return pa.table([*(own.column(c) for c in columns), *(pa.array(x) for x in made)], names=schema.names)
+        docs = own.column("docs")[0].values
+        return pa.table([*docs.flatten()[:-1], *map(pa.array, made)], names=schema.names)
 
-    return chunks.groupBy(chunk).cogroup(told.groupBy("chunk")).applyInArrow(score, schema)
+    return chunks.select(number, "words", "hashes", "codes", "docs").groupBy(number).cogroup(told.groupBy("chunk")).applyInArrow(score, schema)

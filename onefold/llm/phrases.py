@@ -39,6 +39,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from onefold.llm.shared import from_planes, planes
 from onefold.session import cut_lineage, scratch_path
 from onefold.skew import lookup_join
 
@@ -83,7 +84,6 @@ class Coder(dict):
         names = list(self)
         names = [names[i] for i in order.tolist()]
         hashes = np.fromiter((xxhash.xxh3_64_intdigest(w, seed) for w in names), dtype=np.uint64, count=len(names))
-        planes = place[codes].view(np.uint8).reshape(-1, 4).T.tobytes()
         one = lambda values: pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
         words = pa.array(names, pa.binary()).cast(pa.string())
         return [
@@ -91,7 +91,7 @@ class Coder(dict):
             one(words),
             one(pa.array(hashes.view(np.int64))),
             one(pa.array(counts[order].astype(np.int64))),
-            pa.array([planes], pa.binary()),
+            pa.array([planes(place[codes])], pa.binary()),
         ]
 
 
@@ -206,9 +206,9 @@ def sieve_of(df: DataFrame, columns: list[str], key: Callable) -> Broadcast:
 # ---- passes over the chunks ----
 
 
-def _chunk(lang: str, hashes: np.ndarray, planes: bytes, words: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _chunk(lang: str, hashes: np.ndarray, packed: bytes, words: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Codes, the hash of each code (zero for none), and which positions hold a frequent word."""
-    codes = np.ascontiguousarray(np.frombuffer(planes, dtype=np.uint8).reshape(4, -1).T).view("<u4").ravel()
+    codes = from_planes(packed, "<u4")
     of = np.concatenate([np.zeros(1, dtype=np.uint64), hashes])
     keep = sieved(word_key(of, lang_key(lang)), words)
     keep[0] = False
@@ -222,9 +222,9 @@ def _count_grams(coded: DataFrame, find: Callable, length: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(batch.num_rows):
-                lang, planes = batch.column(0)[at].as_py(), batch.column(2)[at].as_buffer()
+                lang, packed = batch.column(0)[at].as_py(), batch.column(2)[at].as_buffer()
                 hashes = batch.column(1)[at].values.to_numpy().view(np.uint64)
-                grams, n = find(lang, hashes, planes)
+                grams, n = find(lang, hashes, packed)
                 for i in range(0, len(n), FLUSH_ROWS):
                     part = [g[i : i + FLUSH_ROWS].view(np.int64) for g in grams]
                     own = pa.array([lang]).take(pa.array(np.zeros(len(part[0]), dtype=np.int64)))
@@ -238,8 +238,8 @@ def _count_grams(coded: DataFrame, find: Callable, length: int) -> DataFrame:
 def count_pairs(coded: DataFrame, words: Broadcast, least: int) -> DataFrame:
     """`lang, w1, w2, n` of pairs of neighbours that occur `least` times."""
 
-    def find(lang: str, hashes: np.ndarray, planes: bytes) -> tuple[list[np.ndarray], np.ndarray]:
-        codes, of, keep = _chunk(lang, hashes, planes, words.value)
+    def find(lang: str, hashes: np.ndarray, packed: bytes) -> tuple[list[np.ndarray], np.ndarray]:
+        codes, of, keep = _chunk(lang, hashes, packed, words.value)
         at = np.nonzero(keep[:-1] & keep[1:])[0]
         both = codes[at].astype(np.uint64) << np.uint64(32) | codes[at + 1]
         found, n = np.unique(both, return_counts=True)
@@ -251,8 +251,8 @@ def count_pairs(coded: DataFrame, words: Broadcast, least: int) -> DataFrame:
 def count_triples(coded: DataFrame, words: Broadcast, pairs: Broadcast, wave: Broadcast, least: int) -> DataFrame:
     """`lang, w1, w2, w3, n` of triples of candidate pairs, one of them in the wave, that occur `least` times."""
 
-    def find(lang: str, hashes: np.ndarray, planes: bytes) -> tuple[list[np.ndarray], np.ndarray]:
-        codes, of, keep = _chunk(lang, hashes, planes, words.value)
+    def find(lang: str, hashes: np.ndarray, packed: bytes) -> tuple[list[np.ndarray], np.ndarray]:
+        codes, of, keep = _chunk(lang, hashes, packed, words.value)
         at = np.nonzero(keep[:-2] & keep[1:-1] & keep[2:])[0]
         left = pair_key(of[codes[at]], of[codes[at + 1]], lang_key(lang))
         right = pair_key(of[codes[at + 1]], of[codes[at + 2]], lang_key(lang))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,6 +21,17 @@ def text_of(column: str) -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
 
+def planes(numbers: np.ndarray) -> bytes:
+    """The bytes of unsigned numbers, bytes of one place together, which compresses far better."""
+    return numbers.view(np.uint8).reshape(-1, numbers.itemsize).T.tobytes()
+
+
+def from_planes(data: bytes, kind: str) -> np.ndarray:
+    """The numbers that `planes` packed."""
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(data, dtype=np.uint8).reshape(size, -1).T).view(kind).ravel()
+
+
 def in_fold(id_column: str, folds: int, fold: int) -> Column:
     """True where crc32 of the id's text leaves `fold`; a null id counts as the empty text."""
     return F.crc32(F.coalesce(F.col(id_column).cast("string"), F.lit(""))) % folds == fold

@@ -145,7 +145,7 @@ def lm_brute(rows):
 
 @pytest.mark.parametrize("bounds", [{}, {"head_words": 12, "pair_words": 4}])
 def test_lm_base_equals_brute_force(spark, bounds):
-    docs, held = documents(spark).drop("score"), in_fold("doc_id", 5, 1)
+    docs, held = documents(spark), in_fold("doc_id", 5, 1)
     got = bloom_lm.lm_scores(docs.withColumn("held_out", held), ~held, ["doc_id", "held_out"], **bounds).collect()
     found = Counter((r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6)) for r in got)
     assert found == lm_brute([tuple(r) for r in docs.select("doc_id", "text").collect()])
@@ -154,6 +154,38 @@ def test_lm_base_equals_brute_force(spark, bounds):
         assert sum(r.score for r in got) > sum(r.base_score for r in got)
 
 
+def lm_brute_score(rows):
+    """The log probability of every text from exact counts, rounded as the levels of the filter round them."""
+    low = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
+    tokens = [[*(t or "").encode().translate(low).split(), b""] for _, t in rows]
+    one, two = Counter(), Counter()
+    for (i, _), own in zip(rows, tokens, strict=True):
+        if not fold(i, 5, 1):
+            one.update(own)
+            two.update(zip(own, own[1:]))
+    room, out = sum(one.values()) + 0.5 * (len(one) + 1), Counter()
+    for (i, _), own in zip(rows, tokens, strict=True):
+        total = 0.0
+        for before, t in zip([None, *own], own, strict=False):
+            n, pair = one[before] if before is not None else 0, two[before, t]
+            level = 1 + int(math.log2(pair)) if pair else 0
+            about = 2.0 ** (level - 1) * math.sqrt(2) if level > 1 else level
+            weight = n / (n + bloom_lm.TRUST)
+            total += math.log10(weight * min(1.0, about / max(n, 1)) + (1 - weight) * (one[t] + 0.5) / room)
+        out[i, len(own), round(total, 5)] += 1
+    return out
+
+
+@pytest.mark.parametrize(("chunk", "broadcast", "segment"), [(1_000_000, 8 << 20, 1 << 20), (60, 8 << 20, 64), (60, 0, 64), (5_000, 0, 4_096)])
+def test_lm_score_equals_brute_force(spark, monkeypatch, chunk, broadcast, segment):
+    for name, value in (("CHUNK_TOKENS", chunk), ("BROADCAST_BYTES", broadcast), ("SEGMENT_BYTES", segment), ("BITS_PER_ITEM", 64)):
+        monkeypatch.setattr(bloom_lm, name, value)
+    docs, held = documents(spark), in_fold("doc_id", 5, 1)
+    got = bloom_lm.lm_scores(docs.repartition(3), ~held, ["doc_id"], head_words=9).collect()
+    rows = [tuple(r) for r in docs.select("doc_id", "text").collect()]
+    assert Counter((r.doc_id, r.n_tokens, round(r.score, 5)) for r in got) == lm_brute_score(rows)
+
+
 def test_lm_pairs_of_rare_tokens_and_single_pairs_count(spark, monkeypatch):
     rows = [(i, f"only{i} once{i} here{i}") for i in range(300)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
