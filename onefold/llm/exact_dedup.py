@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from onefold.llm.shared import numbered, text_of
+from onefold.llm.shared import identified, text_of, without_rows
 from onefold.session import cut_lineage
 
 FAN_IN = 16
@@ -95,9 +95,11 @@ def exact_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: st
     )
 
 
-def keep_distinct(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """The documents that stay, with all their columns."""
-    rows, name = numbered(docs)
+def keep_distinct(
+    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", scanned: bool = False
+) -> DataFrame:
+    """The documents that stay, with all their columns. For `scanned` see `shared.identified`."""
+    rows, name = identified(docs, scanned)
     found = decisions(digest_rows(rows, id_column, text_column, F.col(name)))
-    dropped = found.filter(~F.col("kept")).select(F.col("row").alias(name))
-    return rows.join(dropped, name, "left_anti").select(*[rows[c] for c in docs.columns])
+    kept = without_rows(rows, name, found.filter(~F.col("kept")).select(F.col("row").alias(name)))
+    return kept.select(*[kept[c] for c in docs.columns])

@@ -1,11 +1,13 @@
 """Mixing sources to target weights by drawing fixed-length blocks.
 
-The words of a source, document after document, are packed into blocks of `BLOCK_WORDS`. The mix is a row of
+The words of a source, document after document, are packed into blocks of `BLOCK_WORDS`, or of a hundredth of the
+source's size or target where that is less (one word at least); the last block may be shorter. The mix is a row of
 output shards with `SHARD_SLOTS` slots each; every shard draws how many of its slots each source gets from
 one multinomial distribution. A source's slots, numbered through all shards, go through a pseudorandom
 permutation of the numbers of its blocks, one permutation for each pass over the source, and a slot is
 filled by joining the block with that number. Sums of multinomial draws stray from the targets, so slots
-beyond a source's exact number are handed to the sources that drew too few; all else stays as drawn.
+beyond a source's exact number are handed to the sources that drew too few; all else stays as drawn. The last slot
+of a source takes only the words still missing, so a source misses its target by a block at most, that is by 1 %.
 
 Targets: sources in order of code points, null last, weigh 5, 2, 1 in turn and share 150 % of all words.
 None gets more than twice its own words; what is over is shared anew by weight. So no block is used more
@@ -29,14 +31,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from onefold.llm.shared import WORD, fresh, numbered, running_start, text_of
+from onefold.llm.shared import WORD, fresh, identified, running_start, text_of
 from onefold.session import cut_lineage
 
 WEIGHTS = (5, 2, 1)
 SHARE, MOST = 1.5, 2.0
 BLOCK_WORDS, SHARD_SLOTS = 128, 4_096
 ORDER_BITS, CHUNK_ROWS = 62, 2_048
-MAX_SOURCES = 100_000
+MAX_SOURCES, PER_SOURCE = 100_000, 100
+TASK_SLOTS = 1 << 17
 SEED = 42
 SPAN = re.compile(WORD)
 
@@ -59,15 +62,21 @@ def targets_of(sizes: list[int], weights: tuple = WEIGHTS, share: float = SHARE,
 
 
 class Plan:
-    """What is known per source: sizes, targets, blocks and slots. Bounded by `MAX_SOURCES`."""
+    """What is known per source: sizes, targets, block length, blocks, slots, and the words that its last slot takes.
+
+    Bounded by `MAX_SOURCES`.
+    """
 
     def __init__(self, names: list[str | None], sizes: list[int], block_words: int):
-        self.names, self.sizes, self.block_words = names, sizes, block_words
+        self.names, self.sizes = names, sizes
         self.targets = targets_of(sizes)
-        self.blocks = np.array([-(-s // block_words) for s in sizes], dtype=np.int64)
-        per_block = [s / b if b else 1.0 for s, b in zip(sizes, self.blocks.tolist(), strict=True)]
-        slots = [min(2 * b, round(t / p)) for t, p, b in zip(self.targets, per_block, self.blocks.tolist(), strict=True)]
-        self.slots = np.array(slots, dtype=np.int64)
+        size, words = np.array(sizes, dtype=np.int64), np.rint(self.targets).astype(np.int64)
+        self.length = np.clip(np.minimum(size, words) // PER_SOURCE, 1, block_words)
+        self.blocks = -(-size // self.length)
+        passes = words // np.maximum(1, size)
+        rest = words - passes * size
+        self.slots = passes * self.blocks - (-rest // self.length)
+        self.last_words = np.where(rest > 0, rest - (-(-rest // self.length) - 1) * self.length, self.length)
 
     @property
     def total_slots(self) -> int:
@@ -119,14 +128,18 @@ def permuted(numbers: np.ndarray, size: int, key: int) -> np.ndarray:
 
 
 def filled_slots(draws: DataFrame, plan: Plan) -> DataFrame:
-    """`sid, block, pass_no`: the block of every slot of the mix. `draws` has `first`, the source's slots before."""
+    """`sid, block, pass_no, most`: the block of every slot of the mix, and the words that the slot takes at most.
+
+    `draws` has `first`, the source's slots before. Draws are few and slots many, so draws are dealt out by the slots
+    they make.
+    """
     drawn = np.zeros(len(plan.slots), dtype=np.int64)
     for row in draws.groupBy("sid").agg(F.sum("drawn").alias("n")).collect():  # one row per source at most
         drawn[row["sid"]] = row["n"]
     extra, missing = np.maximum(drawn - plan.slots, 0), np.maximum(plan.slots - drawn, 0)
     extra_before = np.concatenate([[0], np.cumsum(extra)])
     missing_until = np.cumsum(missing)
-    slots, blocks = plan.slots, plan.blocks
+    slots, blocks, length, last_words = plan.slots, plan.blocks, plan.length, plan.last_words
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -143,9 +156,11 @@ def filled_slots(draws: DataFrame, plan: Plan) -> DataFrame:
                     for p in np.unique(passes[sids == s]):
                         at = (sids == s) & (passes == p)
                         block[at] = permuted(own[at] - p * blocks[s], int(blocks[s]), int(2 * s + p))
-                yield pd.DataFrame({"sid": sids.astype(np.int32), "block": block, "pass_no": passes.astype(np.int32)})
+                most = np.where(own == slots[sids] - 1, last_words[sids], length[sids])
+                yield pd.DataFrame({"sid": sids.astype(np.int32), "block": block, "pass_no": passes.astype(np.int32), "most": most})
 
-    return draws.mapInPandas(run, "sid int, block long, pass_no int")
+    tasks = 1 + plan.total_slots // TASK_SLOTS
+    return draws.repartition(tasks, "shard", "sid").mapInPandas(run, "sid int, block long, pass_no int, most long")
 
 
 def _sized(docs: DataFrame, columns: list[Column], id_column: str, source_column: str, text_column: str) -> DataFrame:
@@ -158,36 +173,31 @@ def _sized(docs: DataFrame, columns: list[Column], id_column: str, source_column
 
 
 def _taken_pieces(sized: DataFrame, plan: Plan) -> DataFrame:
-    """`row, low, high, pass_no`: word ranges of documents that slots of the mix take. `sized` has `row, sid`."""
-    spark, length = sized.sparkSession, plan.block_words
+    """`row, low, high, pass_no`: word ranges of documents that slots of the mix take. `sized` has `row, sid, length`."""
     chunk_bits = ORDER_BITS - max(0, (sized.count() // CHUNK_ROWS).bit_length())
     placed = running_start(sized.filter("size > 0"), "sid", ["place", "row"], "size", "start", chunk_bits)
-    packed = placed.select(
-        "sid",
-        "row",
-        "size",
-        "start",
-        F.explode(F.sequence(F.expr(f"start div {length}"), F.expr(f"(start + size - 1) div {length}"))).alias("block"),
-    )
-    packed = packed.select(
-        "sid",
-        "block",
+    blocks = F.sequence(F.expr("start div length"), F.expr("(start + size - 1) div length"))
+    packed = placed.select("sid", "row", "size", "start", "length", F.explode(blocks).alias("block"))
+    draws = cut_lineage(shard_draws(sized.sparkSession, plan))
+    slots = filled_slots(running_start(draws, "sid", ["shard"], "drawn", "first"), plan)
+    # Spark would judge the slots by the few draws they come from and broadcast them; they grow with the mix.
+    taken = packed.join(slots.hint("merge"), ["sid", "block"]).select(
         "row",
-        (F.greatest(F.col("block") * length, "start") - F.col("start")).alias("low"),
-        (F.least((F.col("block") + 1) * length, F.col("start") + F.col("size")) - F.col("start")).alias("high"),
+        (F.greatest(F.col("block") * F.col("length"), "start") - F.col("start")).alias("low"),
+        (F.least(F.col("block") * F.col("length") + F.col("most"), F.col("start") + F.col("size")) - F.col("start")).alias("high"),
+        "pass_no",
     )
-    draws = cut_lineage(shard_draws(spark, plan))
-    slots = filled_slots(running_start(draws, "sid", ["shard"], "drawn", "first"), plan)
-    return packed.join(slots, ["sid", "block"]).select("row", "low", "high", "pass_no")
+    return taken.filter("low < high")
 
 
 def _with_plan(sized: DataFrame, block_words: int) -> tuple[DataFrame, Plan, DataFrame]:
-    """`sized` with `sid`, the plan, and the table of sources, which `MAX_SOURCES` bounds."""
+    """`sized` with `sid` and `length` of a block, the plan, and the table of sources, which `MAX_SOURCES` bounds."""
     plan = plan_sources(sized, block_words)
-    rows = [(n, i, s, float(t)) for i, (n, s, t) in enumerate(zip(plan.names, plan.sizes, plan.targets, strict=True))]
-    sources = sized.sparkSession.createDataFrame(rows, "name string, sid int, source_size long, target double")
-    with_sid = sized.join(F.broadcast(sources.select("name", "sid")), F.col("source").eqNullSafe(F.col("name"))).drop("name")
-    return with_sid, plan, sources
+    columns = zip(plan.names, plan.sizes, plan.targets, plan.length.tolist(), strict=True)
+    rows = [(n, i, s, float(t), b) for i, (n, s, t, b) in enumerate(columns)]
+    sources = sized.sparkSession.createDataFrame(rows, "name string, sid int, source_size long, target double, length long")
+    wanted = F.broadcast(sources.select("name", "sid", "length"))
+    return sized.join(wanted, F.col("source").eqNullSafe(F.col("name"))).drop("name"), plan, sources
 
 
 def mix_report(
@@ -203,7 +213,7 @@ def mix_report(
     taken = _taken_pieces(sized, plan).groupBy("row").agg(F.sum(F.col("high") - F.col("low")).alias("taken"))
     return (
         sized.join(taken, "row", "left")
-        .join(F.broadcast(sources.drop("name")), "sid")
+        .join(F.broadcast(sources.drop("name", "length")), "sid")
         .select(
             F.col("id").alias(id_column),
             "size",
@@ -235,13 +245,15 @@ def mixed_documents(
     source_column: str = "source",
     length_column: str = "n_chars",
     block_words: int = BLOCK_WORDS,
+    scanned: bool = False,
 ) -> DataFrame:
     """The mix as documents: a row for every unbroken passage that a pass takes of a document.
 
     Columns are those of `docs`. A document that a pass takes whole keeps its text as it is; of others
-    each run of taken blocks is a row. `length_column`, where there is one, gets the passage's length.
+    each run of taken blocks is a row. `length_column`, where there is one, gets the passage's length. For `scanned`
+    see `shared.identified`.
     """
-    rows, name = numbered(docs)
+    rows, name = identified(docs, scanned)
     sized, plan, _ = _with_plan(
         _sized(rows, [F.col(name).alias("row")], id_column, source_column, text_column), block_words
     )

@@ -9,6 +9,8 @@ from pyspark.sql import types as T
 
 from onefold.session import cut_lineage
 
+BROADCAST_ROWS = 500_000  # of row ids, some tens of bytes each
+
 # Fixed value: a word is a run of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -68,6 +70,29 @@ def numbered(df: DataFrame) -> tuple[DataFrame, str]:
     return cut_lineage(df.withColumn(name, F.monotonically_increasing_id())), name
 
 
+def identified(df: DataFrame, scanned: bool) -> tuple[DataFrame, str]:
+    """`df` with a column that tells its rows apart in every later read, and the name of that column.
+
+    A plain scan of Parquet files (`scanned`), with at most projections and filters that always say the same, needs
+    no copy: a row is known by its file and its place in it. Anything else is written once, numbered.
+    """
+    if not scanned:
+        return numbered(df)
+    name, file = fresh("_row", df.columns), df.metadataColumn("_metadata")
+    return df.withColumn(name, F.struct(F.xxhash64(file["file_path"]).alias("file"), file["row_index"].alias("at"))), name
+
+
+def without_rows(df: DataFrame, name: str, dropped: DataFrame) -> DataFrame:
+    """The rows of `df` whose `name` is not in the one column of `dropped`.
+
+    Few dropped rows are broadcast, after they are counted, so that whole texts need not be shuffled.
+    """
+    dropped = cut_lineage(dropped)
+    if dropped.count() <= BROADCAST_ROWS:
+        dropped = F.broadcast(dropped)
+    return df.join(dropped, name, "left_anti")
+
+
 def hash_share(bound: int, total: int, *columns: str) -> Column:
     """True for a fixed pseudorandom share of rows, about `bound` out of `total`."""
     steps = 1 << 40

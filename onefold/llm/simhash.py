@@ -33,8 +33,9 @@ from pyspark.sql import functions as F
 
 from onefold.llm.components import connected_components
 from onefold.llm.golay import keys, near_keys
-from onefold.llm.shared import ASCII_LOWER, numbered
+from onefold.llm.shared import ASCII_LOWER, fresh, identified, without_rows
 from onefold.session import cut_lineage
+from onefold.skew import lookup_join
 
 SHINGLE_WORDS = 4
 SEED = 42
@@ -42,6 +43,7 @@ MAX_BITS = 4
 SEGMENTS = ((0, 22), (22, 21), (43, 21))  # first bit and number of bits
 PAIRS = ((0, 1), (0, 2), (1, 2))
 HOT = 20_000  # fingerprints of one key that still meet pairwise
+COPIES = 1_000  # rows of one fingerprint from which on they are spread
 KIND_SHIFT = 40
 
 
@@ -69,14 +71,15 @@ def _signed(values: list[int]) -> np.ndarray:
 
 def fingerprints(docs: DataFrame, columns: list[str], text_column: str) -> DataFrame:
     """`columns` and `fp`, the fingerprint as a signed long, of every row."""
+    text = fresh("_text", columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fps = _signed([fingerprint(t) for t in batch.column(len(columns)).to_pylist()])
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(columns)], pa.array(fps)], names=[*columns, "fp"])
 
-    picked = docs.select(*columns, F.col(text_column).alias("_text"))
-    schema = picked.drop("_text").schema.add("fp", "long")
+    picked = docs.select(*columns, F.col(text_column).alias(text))
+    schema = picked.drop(text).schema.add("fp", "long")
     return picked.mapInArrow(run, schema)
 
 
@@ -175,17 +178,23 @@ def components(prints: DataFrame, id_column: str, hot: int = HOT) -> DataFrame:
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", hot: int = HOT) -> DataFrame:
     """One row per document: id, `fingerprint` in hex and `component_id`."""
     prints = cut_lineage(fingerprints(docs, [id_column], text_column))
-    return prints.join(components(prints, id_column, hot), "fp", "left").select(
+    return lookup_join(prints, components(prints, id_column, hot), ["fp"], rows=COPIES).select(
         id_column, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
 
 
-def keep_one_each(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", hot: int = HOT) -> DataFrame:
-    """The documents with one row per component, the one with the smallest id, with all their columns."""
-    rows, name = numbered(docs)
+def keep_one_each(
+    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", hot: int = HOT, scanned: bool = False
+) -> DataFrame:
+    """The documents with one row per component, the one with the smallest id, with all their columns.
+
+    For `scanned` see `shared.identified`.
+    """
+    rows, name = identified(docs, scanned)
     prints = cut_lineage(fingerprints(rows, [id_column, name], text_column))
     found = components(prints, id_column, hot)
     firsts = prints.groupBy("fp").agg(F.min(F.struct(F.col(id_column).isNull(), F.col(id_column), F.col(name))).alias("first"))
     firsts = firsts.join(found, "fp").groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("fp")))
     kept = firsts.agg(F.min("first").alias("first")).select(F.col(f"first.{name}").alias(name))
-    return rows.join(kept, name, "left_semi").select(*[rows[c] for c in docs.columns])
+    rest = without_rows(rows, name, prints.select(name).join(kept, name, "left_anti"))
+    return rest.select(*[rest[c] for c in docs.columns])

@@ -120,6 +120,11 @@ def test_mix_report_and_documents(spark):
     assert Counter((r.doc_id, r.size, r.source_size, round(r.target, 6)) for r in report) == want
     assert all(r.taken <= 2 * r.size for r in report)
     assert abs(sum(r.taken for r in report) - 1.5 * sum(totals.values())) <= 16 * len(names)
+    by_source = dict(docs.select("doc_id", "source").collect())
+    taken = Counter()
+    for r in report:
+        taken[by_source[r.doc_id]] += r.taken
+    assert all(abs(taken[n] - targets[n]) <= max(1, 0.02 * targets[n]) for n in names)
     mixed = mixing.mixed_documents(docs, block_words=16)
     assert mixed.columns == docs.columns
     rows = mixed.collect()
@@ -129,6 +134,44 @@ def test_mix_report_and_documents(spark):
     assert mixing.mix_report(empty(spark)).count() == mixing.mixed_documents(empty(spark)).count() == 0
 
 
+@pytest.mark.parametrize("sizes", [[100] * 12, [1, 2, 3, 50, 7], [5_000, 40, 3, 900, 100_000, 1_300], [4, 0, 9]])
+def test_every_source_gets_near_its_target(spark, sizes):
+    rows, names = [], [f"s{i:02}" for i in range(len(sizes))]
+    for name, size in zip(names, sizes, strict=True):
+        texts = [" ".join(f"{name}w{k}" for k in range(at, min(size, at + 37))) for at in range(0, size, 37)] or [""]
+        rows += [(len(rows) + i, t, name) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    report = mixing.mix_report(docs.repartition(3)).collect()
+    source, taken, target = {i: n for i, _, n in rows}, Counter(), {}
+    for r in report:
+        taken[source[r.doc_id]] += r.taken
+        target[source[r.doc_id]] = r.target
+        assert r.taken <= 2 * r.size
+    assert all(abs(taken[n] - target[n]) <= max(1, 0.02 * target[n]) for n in names)
+    mixed = Counter(w for r in mixing.mixed_documents(docs).collect() for w in r.text.split())
+    per_source = Counter()
+    for w, n in mixed.items():
+        assert n <= 2
+        per_source[w[:3]] += n
+    assert per_source == +taken
+
+
+def _planned(mixing, docs):
+    sized = mixing._sized(docs, [F.monotonically_increasing_id().alias("row")], "doc_id", "source", "text")
+    return mixing._with_plan(sized, mixing.BLOCK_WORDS)[:2]
+
+
+def test_slots_are_made_in_many_tasks_and_not_broadcast(spark, monkeypatch, capsys):
+    monkeypatch.setattr(mixing, "TASK_SLOTS", 5)
+    docs = spark.createDataFrame([(i, "a b c d e f " * 20, f"s{i % 3}") for i in range(30)], "doc_id long, text string, source string")
+    sized, plan = _planned(mixing, docs)
+    draws = mixing.shard_draws(spark, plan, 8)
+    assert mixing.filled_slots(draws.withColumn("first", F.lit(0).cast("long")), plan).rdd.getNumPartitions() == 1 + plan.total_slots // 5
+    mixing._taken_pieces(sized, plan).explain()
+    top = capsys.readouterr().out.split("Join")[0:2]
+    assert "SortMerge" in top[0] and "Broadcast" not in top[0].rsplit("\n", 1)[-1]
+
+
 def lm_brute(rows):
     tokens = {k: [*(t or "").encode().translate(bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))).split(), b""] for k, (_, t) in enumerate(rows)}
     counts = Counter()
