@@ -1,4 +1,7 @@
-"""A corpus pipeline of five stages. Each stage's result is written as Parquet and read as the next one's input."""
+"""A corpus pipeline of five stages. Each stage's result is written as Parquet and read as the next one's input.
+
+So a stage's documents are a plain scan: its rows are known by file and place, and no stage copies them to number them.
+"""
 
 from __future__ import annotations
 
@@ -17,17 +20,17 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts, the one with the largest id."""
-    return exact_dedup.keep_distinct(docs)
+    return exact_dedup.keep_distinct(docs, scanned=True)
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate component, the one with the smallest id."""
-    return simhash.keep_one_each(docs)
+    return simhash.keep_one_each(docs, scanned=True)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The passages that the mix takes, as documents."""
-    return mixing.mixed_documents(docs)
+    return mixing.mixed_documents(docs, scanned=True)
 
 
 def pieces_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
