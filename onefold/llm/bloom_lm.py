@@ -8,7 +8,8 @@ level 1 + floor(log2(c)); it is put into a Bloom filter once for each level up t
 grows with what it holds: every segment gets `BITS_PER_ITEM` bits an item, and there is a power of two of segments,
 each of about `SEGMENT_BYTES` at most. So the rate of false positives does not depend on the size of the input.
 
-Distinct pair hashes go to their segments once for each chunk, as packed differences with their counts. A filter that
+Distinct pair hashes, as long as the number of tokens needs, go to their segments once for each chunk, as packed
+differences with their counts. A filter that
 cannot exceed `BROADCAST_BYTES` is broadcast; a larger one stays where its segments are built, which answer the
 chunks at once with a byte for each hash. Hot pairs are sent once a chunk.
 
@@ -46,7 +47,7 @@ END = b""  # no word is empty
 HEAD_WORDS = 1 << 18
 SEGMENTS, SEGMENT_BYTES, BITS_PER_ITEM, PROBES = 4_096, 1 << 20, 12, 4
 BROADCAST_BYTES = 8 << 20
-CHUNK_TOKENS = 1_000_000
+CHUNK_TOKENS, SPARE_BITS = 1_500_000, 12
 TRUST = 50.0
 OUTPUT = (("n_tokens", "long"), ("n_known", "long"), ("train_tokens", "long"), ("base_score", "double"), ("score", "double"))
 
@@ -139,6 +140,20 @@ def _side_by_side(parts: dict[int, bytes], segments: int) -> tuple[bytes, np.nda
 # ---- chunks of coded documents ----
 
 
+def packed_bytes(data: bytes) -> bytes:
+    """Data with its length, compressed."""
+    return len(data).to_bytes(8, "little") + pa.compress(data, codec="zstd", asbytes=True)
+
+
+def unpacked_bytes(data: bytes) -> bytes:
+    return pa.decompress(data[8:], int.from_bytes(data[:8], "little"), codec="zstd", asbytes=True)
+
+
+def tokens_in(words: bytes) -> list[bytes]:
+    """The dictionary of a chunk: no token has a blank, and the empty one is the end."""
+    return unpacked_bytes(words).split(b" ")
+
+
 class Coder(dict):
     """Token -> its code in the chunk; the codes and the flags of the documents so far."""
 
@@ -151,7 +166,7 @@ class Coder(dict):
         return code
 
     def row(self) -> list[pa.Array]:
-        """`words, hashes, seen, codes, docs` of the chunk; codes by falling count."""
+        """`words, seen, codes, docs` of the chunk, the first three packed; codes by falling count."""
         codes = np.frombuffer(self.codes, dtype=np.uint32)
         order = np.argsort(-np.bincount(codes, minlength=len(self)), kind="stable")
         place = np.zeros(len(self), dtype="<u4")
@@ -162,11 +177,9 @@ class Coder(dict):
         ends = np.nonzero(codes == names.index(END))[0]
         teaches = np.repeat(np.array(self.flags, dtype=bool), np.diff(ends, prepend=-1))
         seen = np.bincount(codes[teaches], minlength=len(names))
-        hashes = np.fromiter(map(token_hash, names), dtype=np.uint64, count=len(names)).view(np.int64)
-        one = lambda x: pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x)
-        words = pa.array(names, pa.binary()).cast(pa.string())
         docs = pa.concat_arrays(self.rows)
-        return [one(words), one(pa.array(hashes)), one(pa.array(seen)), pa.array([planes(codes)], pa.binary()), one(docs)]
+        packed = [packed_bytes(x) for x in (b" ".join(names), planes(seen.astype("<u8")), planes(codes))]
+        return [*(pa.array([x], pa.binary()) for x in packed), pa.ListArray.from_arrays(pa.array([0, len(docs)], pa.int32()), docs)]
 
 
 def coded_chunks(docs: DataFrame, teaches: Column, columns: list[str], text_column: str) -> tuple[DataFrame, str]:
@@ -177,9 +190,7 @@ def coded_chunks(docs: DataFrame, teaches: Column, columns: list[str], text_colu
     flag, text = fresh("_teaches", columns), fresh("_text", columns)
     picked = docs.select(*columns, F.coalesce(teaches, F.lit(False)).alias(flag), F.col(text_column).alias(text))
     one = picked.drop(text).schema
-    numbers = T.ArrayType(T.LongType())
-    schema = T.StructType().add("words", T.ArrayType(T.StringType())).add("hashes", numbers).add("seen", numbers)
-    schema = schema.add("codes", "binary").add("docs", T.ArrayType(one))
+    schema = T.StructType().add("words", "binary").add("seen", "binary").add("codes", "binary").add("docs", T.ArrayType(one))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = Coder()
@@ -205,13 +216,13 @@ def coded_chunks(docs: DataFrame, teaches: Column, columns: list[str], text_colu
 class Chunk:
     """Codes and distinct pairs of one chunk."""
 
-    def __init__(self, words: pa.Array, hashes: pa.Array, codes: bytes, allowed: np.ndarray | None):
-        self.codes = from_planes(codes, "<u4")
-        self.ends = np.nonzero(self.codes == words.index(pa.scalar("", words.type)).as_py())[0]
+    def __init__(self, words: bytes, codes: bytes, hash_bits: int, allowed: np.ndarray | None):
+        self.words, self.codes = tokens_in(words), from_planes(unpacked_bytes(codes), "<u4")
+        self.ends = np.nonzero(self.codes == self.words.index(END))[0]
         self.starts = np.concatenate([[0], self.ends[:-1] + 1])
         inside = np.ones(len(self.codes), dtype=bool)
         inside[self.starts] = False
-        hashes = hashes.to_numpy(zero_copy_only=False).view(np.uint64)
+        hashes = np.fromiter(map(token_hash, self.words), dtype=np.uint64, count=len(self.words))
         if allowed is not None:
             known = np.isin(hashes, allowed)[self.codes]
             inside &= known
@@ -221,31 +232,52 @@ class Chunk:
         found, self.place = np.unique(both, return_inverse=True)
         first, second = hashes[found >> np.uint64(32)], hashes[found & np.uint64(0xFFFFFFFF)]
         self.pairs = mixed(mixed(first + np.uint64(0x9E3779B97F4A7C15)) + second)
+        self.pairs &= ~np.uint64((1 << (64 - hash_bits)) - 1)
         self.order = np.argsort(self.pairs, kind="stable")
 
     def per_token(self, per_document: np.ndarray) -> np.ndarray:
         return np.repeat(per_document, np.diff(self.ends, prepend=-1))
 
 
-def _chunk_of(table: pa.Table | pa.RecordBatch, row: int, allowed: np.ndarray | None) -> Chunk:
-    words, hashes = table.column("words")[row].values, table.column("hashes")[row].values
-    return Chunk(words, hashes, table.column("codes")[row].as_buffer(), allowed)
+def _chunk_of(table: pa.Table | pa.RecordBatch, row: int, hash_bits: int, allowed: np.ndarray | None) -> Chunk:
+    return Chunk(table.column("words")[row].as_py(), table.column("codes")[row].as_py(), hash_bits, allowed)
+
+
+def hash_bits_for(tokens: int) -> int:
+    """Bits of a pair hash: two of `tokens` pairs share one with a chance of 2^-12 at most, whatever their number."""
+    return min(64, tokens.bit_length() + SPARE_BITS)
 
 
-def pair_counts(chunks: DataFrame, number: str, segments: int, allowed: np.ndarray | None) -> DataFrame:
+def token_counts(chunks: DataFrame) -> DataFrame:
+    """`token, n`: how often training has each token."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for words, seen in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                n = from_planes(unpacked_bytes(seen), "<i8")
+                at = np.nonzero(n)[0]
+                names = pa.array(tokens_in(words), pa.binary()).take(pa.array(at)).cast(pa.string())
+                yield pa.RecordBatch.from_arrays([names, pa.array(n[at])], names=["token", "n"])
+
+    counts = chunks.select("words", "seen").mapInArrow(run, "token string, n long")
+    return cut_lineage(counts.groupBy("token").agg(F.sum("n").alias("n")))
+
+
+def pair_counts(chunks: DataFrame, number: str, segments: int, hash_bits: int, allowed: np.ndarray | None) -> DataFrame:
     """`segment, chunk, pairs, seen`: ascending distinct pair hashes of a chunk, packed, and how often training has each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
-                chunk = _chunk_of(batch, row, allowed)
+                chunk = _chunk_of(batch, row, hash_bits, allowed)
                 teaches = batch.column("docs")[row].values
                 teaches = teaches.field(teaches.type.num_fields - 1).to_numpy(zero_copy_only=False)
                 counted = chunk.place[chunk.per_token(teaches)[chunk.at]]
                 seen = np.bincount(counted, minlength=len(chunk.pairs))[chunk.order].astype("<u4")
                 found = chunk.pairs[chunk.order]
-                steps = np.diff(found, prepend=np.uint64(0))
                 parts = _runs(found, segments)
+                found >>= np.uint64(64 - hash_bits)
+                steps = np.diff(found, prepend=np.uint64(0))
                 steps[[i for _, i, _ in parts]] = found[[i for _, i, _ in parts]]
                 arrays = [
                     pa.array([s for s, _, _ in parts], pa.int32()),
@@ -255,13 +287,14 @@ def pair_counts(chunks: DataFrame, number: str, segments: int, allowed: np.ndarr
                 ]
                 yield pa.RecordBatch.from_arrays(arrays, names=["segment", "chunk", "pairs", "seen"])
 
-    picked = chunks.select(number, "words", "hashes", "codes", "docs")
+    picked = chunks.select(number, "words", "codes", "docs")
     return picked.mapInArrow(run, "segment int, chunk long, pairs binary, seen binary")
 
 
-def _segment(table: pa.Table) -> tuple[list[np.ndarray], bytes]:
+def _segment(table: pa.Table, hash_bits: int) -> tuple[list[np.ndarray], bytes]:
     """The pair hashes of each chunk that asks, and the filter part that holds those which training has."""
-    asked = [np.cumsum(from_planes(x, "<u8"), dtype=np.uint64) for x in table.column("pairs").to_pylist()]
+    shift = np.uint64(64 - hash_bits)
+    asked = [np.cumsum(from_planes(x, "<u8"), dtype=np.uint64) << shift for x in table.column("pairs").to_pylist()]
     hashes = np.concatenate(asked)
     counts = np.concatenate([from_planes(x, "<u4") for x in table.column("seen").to_pylist()]).astype(np.int64)
     hashes, counts = hashes[counts > 0], counts[counts > 0]
@@ -273,20 +306,20 @@ def _segment(table: pa.Table) -> tuple[list[np.ndarray], bytes]:
     return asked, build_segment(hashes[first], np.add.reduceat(counts[order], first))
 
 
-def build_filter(pairs: DataFrame) -> DataFrame:
+def build_filter(pairs: DataFrame, hash_bits: int) -> DataFrame:
     """`segment, data`: the parts of the filter."""
 
     def build(table: pa.Table) -> pa.Table:
-        return pa.table({"segment": table.column("segment").slice(0, 1), "data": pa.array([_segment(table)[1]], pa.binary())})
+        return pa.table({"segment": table.column("segment").slice(0, 1), "data": pa.array([_segment(table, hash_bits)[1]], pa.binary())})
 
     return pairs.groupBy("segment").applyInArrow(build, "segment int, data binary")
 
 
-def answered(pairs: DataFrame, segments: int) -> DataFrame:
+def answered(pairs: DataFrame, segments: int, hash_bits: int) -> DataFrame:
     """`chunk, segment, levels`: a byte for each pair hash that a chunk sent to a segment, in its order."""
 
     def answer(table: pa.Table) -> pa.Table:
-        asked, data = _segment(table)
+        asked, data = _segment(table, hash_bits)
         own = table.column("segment")[0].as_py()
         sizes = np.zeros(segments, dtype=np.int64)
         sizes[own] = len(data)
@@ -331,8 +364,7 @@ def lm_scores(
     """
     sc = docs.sparkSession.sparkContext
     chunks, number = coded_chunks(docs, teaches, columns, text_column)
-    entry = chunks.select(F.explode(F.arrays_zip("words", "seen")).alias("x")).select(F.col("x.words").alias("token"), F.col("x.seen").alias("n"))
-    counts = cut_lineage(entry.filter("n > 0").groupBy("token").agg(F.sum("n").alias("n")))
+    counts = token_counts(chunks)
     total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     room = total + 0.5 * (distinct + 1)
     head, least = _frequent(counts, head_words)
@@ -346,24 +378,23 @@ def lm_scores(
         frequent = known.value
         for batch in batches:
             for row in range(batch.num_rows):
-                names = batch.column(1)[row].values
-                words = names.cast(pa.binary()).to_pylist()
-                place = pa.array([i for i, w in enumerate(words) if w not in frequent], pa.int32())
-                owner = pa.array(np.full(len(place), batch.column(0)[row].as_py()))
-                yield pa.RecordBatch.from_arrays([owner, place, names.take(place)], names=["chunk", "place", "token"])
+                rare = [(i, w) for i, w in enumerate(tokens_in(batch.column(1)[row].as_py())) if w not in frequent]
+                owner = pa.array(np.full(len(rare), batch.column(0)[row].as_py()))
+                tokens = pa.array([w for _, w in rare], pa.binary()).cast(pa.string())
+                yield pa.RecordBatch.from_arrays([owner, pa.array([i for i, _ in rare], pa.int32()), tokens], names=["chunk", "place", "token"])
 
     asked = chunks.select(number, "words").mapInArrow(rare_tokens, "chunk long, place int, token string")
     told = asked.join(counts.filter(F.col("n") < least), "token").groupBy("chunk")
     told = told.agg(F.collect_list(F.struct("place", "n")).alias("rare"))  # at most the dictionary of one chunk
     told = told.select("chunk", "rare", F.lit(None).cast("int").alias("segment"), F.lit(None).cast("binary").alias("levels"))
-    segments, filter_parts = segments_for(total), None
-    pairs = pair_counts(chunks, number, segments, allowed)
+    segments, hash_bits, filter_parts = segments_for(total), hash_bits_for(total), None
+    pairs = pair_counts(chunks, number, segments, hash_bits, allowed)
     # A pair has no more levels than occurrences, which bounds the filter before it is built.
     if (total + 8 * segments) * BITS_PER_ITEM // 8 <= BROADCAST_BYTES and segments <= SEGMENTS:
-        held = {r["segment"]: bytes(r["data"]) for r in build_filter(pairs).collect()}  # at most BROADCAST_BYTES
+        held = {r["segment"]: bytes(r["data"]) for r in build_filter(pairs, hash_bits).collect()}  # at most BROADCAST_BYTES
         filter_parts = sc.broadcast(_side_by_side(held, segments))
     else:
-        told = told.unionByName(answered(pairs, segments), allowMissingColumns=True)
+        told = told.unionByName(answered(pairs, segments, hash_bits), allowMissingColumns=True)
     schema = docs.select(*columns).schema
     for name, (_, kind) in zip(output_names([n for n, _ in OUTPUT], columns), OUTPUT, strict=True):
         schema = schema.add(name, kind)
@@ -381,10 +412,9 @@ def lm_scores(
         return level
 
     def score(own: pa.Table, answers: pa.Table) -> pa.Table:
-        chunk = _chunk_of(own, 0, allowed)
-        words = own.column("words")[0].values.cast(pa.binary()).to_pylist()
+        chunk = _chunk_of(own, 0, hash_bits, allowed)
         frequent = known.value
-        n = np.fromiter((frequent.get(w, 0) for w in words), dtype=np.float64, count=len(words))
+        n = np.fromiter((frequent.get(w, 0) for w in chunk.words), dtype=np.float64, count=len(chunk.words))
         for rare in answers.column("rare").to_pylist():
             for entry in rare or ():
                 n[entry["place"]] = entry["n"]
@@ -403,4 +433,4 @@ def lm_scores(
         docs = own.column("docs")[0].values
         return pa.table([*docs.flatten()[:-1], *map(pa.array, made)], names=schema.names)
 
-    return chunks.select(number, "words", "hashes", "codes", "docs").groupBy(number).cogroup(told.groupBy("chunk")).applyInArrow(score, schema)
+    return chunks.select(number, "words", "codes", "docs").groupBy(number).cogroup(told.groupBy("chunk")).applyInArrow(score, schema)

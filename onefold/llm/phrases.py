@@ -47,9 +47,9 @@ MARKS = b".,;:!?\n\x0b\x0c\r"
 # Fixed value: lower case for A-Z, marks as line feeds, tabs as blanks, as a table over bytes.
 PLAIN = bytes(10 if b in MARKS else 32 if b == 9 else b + 32 if 65 <= b <= 90 else b for b in range(256))
 LEAST, TOP, HALF_PERCENT = 10, 2_000, 50
-CHUNK_CODES, FLUSH_ROWS = 2_000_000, 200_000
+CHUNK_CODES, FLUSH_ROWS = 1_500_000, 100_000
 SIEVE_BITS, SIEVE_SEGMENTS, BITS_PER_KEY = 1 << 28, 256, 16
-GROWTH, SEEDS = 8, 16
+GROWTH, SEEDS, SALTS = 8, 16, 16
 CODED = "lang string, words array<string>, hashes array<bigint>, counts array<bigint>, codes binary"
 
 
@@ -317,11 +317,19 @@ def wave_levels(pairs: DataFrame, target: int) -> DataFrame:
     return steps.groupBy("lang").agg(F.max(F.when(F.col("above") >= target, F.col("level"))).alias("level"))
 
 
+def best_rows(rows: DataFrame, top: int, *order: Column) -> DataFrame:
+    """Each language's first `top` rows and their `rank`; first within parts of a language, then among those."""
+    rows = rows.withColumn("part", F.pmod(F.xxhash64("w1", "w2", "w3"), F.lit(SALTS)))
+    for keys in (["lang", "part"], ["lang"]):
+        rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order)).cast("long")
+        rows = rows.withColumn("rank", rank).filter(F.col("rank") <= top)
+    return rows.drop("part")
+
+
 def top_value(known: DataFrame, top: int) -> DataFrame:
     """`lang, least`: the `top`-th best (score, a); null where fewer are known."""
-    best = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"))
-    first = known.select("lang", "score", "a", F.row_number().over(best).alias("nth")).filter(F.col("nth") <= top)
-    return first.groupBy("lang").agg(F.max(F.when(F.col("nth") == top, F.struct("score", "a"))).alias("least"))
+    first = best_rows(known.select("lang", "w1", "w2", "w3", "score", "a"), top, F.desc("score"), F.desc("a"))
+    return first.groupBy("lang").agg(F.max(F.when(F.col("rank") == top, F.struct("score", "a"))).alias("least"))
 
 
 def search(coded: DataFrame, words: DataFrame, least: int, top: int, half_percent: int, first_wave: int) -> DataFrame:
@@ -386,6 +394,5 @@ def collocations(
         found = lookup_join(found, own, ["lang", f"w{i}"]) if i > 1 else found.join(own, ["lang", "w1"])
     sizes = coded.groupBy("lang").agg(F.sum(F.aggregate("counts", F.lit(0).cast("long"), lambda s, n: s + n)).alias("n"))
     phrase = F.concat_ws(" ", "name1", "name2", "name3")
-    best = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), F.asc("phrase"))
-    ranked = found.withColumn("phrase", phrase).withColumn("rank", F.row_number().over(best).cast("long")).filter(F.col("rank") <= top)
+    ranked = best_rows(found.withColumn("phrase", phrase), top, F.desc("score"), F.desc("a"), F.asc("phrase"))
     return ranked.join(sizes, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")

@@ -15,7 +15,10 @@ The target is fitted on a bounded hash sample of at most about `max_labels` labe
 weights and the draw cover every document and whole texts. The noise is a hash of id and text, so reruns
 agree and repeated rows share their fate; rows that tie with the k-th are all kept.
 
-Null texts count as empty and have weight zero. Without labels of both kinds nothing is rejected.
+Null texts count as empty and have weight zero. Without labels of both kinds nothing is rejected. Of several rows
+with a labelled id the least weight judges the cut; a null id has no label. A text is never cut, however long; empty
+tables give empty results. Passed columns keep their names; an output column whose name is taken gets underscores in
+front.
 """
 
 from __future__ import annotations
@@ -251,8 +254,10 @@ def resample(
         picked = docs.select(*columns, (-F.log(-F.log(uniform))).alias(noise), F.col(text_column).alias(text))
     scored = picked.mapInArrow(run, schema)
     scored = cut_lineage(scored.withColumn(key, F.col(weight) + F.col(noise)))
-    judged = scored.select(id_column, weight).join(sample, id_column).select("_label", weight).toPandas()
-    good, bad = (judged.loc[judged["_label"] == x, weight].to_numpy() for x in (1, 0))
+    judged = scored.select(F.col(id_column).alias("id"), F.col(weight).alias("weight")).join(sample, F.col("id") == F.col(id_column))
+    # One row for each labelled id, however many rows have it: the least weight.
+    judged = judged.groupBy("id", "_label").agg(F.min("weight").alias("weight")).toPandas()
+    good, bad = (judged.loc[judged["_label"] == x, "weight"].to_numpy() for x in (1, 0))
     cut = best_cut(good, bad)
     above = scored.filter(F.col(weight) >= F.lit(cut)).count()
     least = kth_largest(scored, key, above) if np.isfinite(cut) else -np.inf

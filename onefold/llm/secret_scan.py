@@ -8,7 +8,9 @@ A rule without mandatory trigrams searches every document.
 
 A document is known by two hashes of its id and text, so the index needs no row numbers, repeated rows
 share one posting, and a collision could only add a candidate. Spans are counted in code points, end
-exclusive. Null texts count as empty; documents without secrets have empty span lists.
+exclusive. Null texts count as empty; documents without secrets have empty span lists. Equal starts are listed in the
+order of the kinds. Work grows in proportion to a text's length and matches; a text is held whole by its task. Empty
+tables give empty results. Extra columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -24,6 +26,7 @@ from onefold.session import cut_lineage
 
 MAX_ALTERNATIVES = 64
 MASK_BITS = 62
+BLOCK = 256  # matches of a text whose places are summed together
 
 
 @dataclass(frozen=True)
@@ -145,6 +148,26 @@ def candidates(index: DataFrame, queries: dict[str, list[frozenset[str]]], trigr
 SPAN = "struct<start:int,rank:int,stop:int,kind:string,base:boolean>"
 
 
+def _let(value: Column, body) -> Column:
+    """`body` of a value that is computed once."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def starts_of(sizes: Column) -> Column:
+    """For every place of an array of numbers, the sum of those before it.
+
+    Sums run within blocks, then over the blocks, so an array is not copied at each of its places.
+    """
+    blocks = F.sequence(F.lit(0), F.floor(F.greatest(F.size(sizes) - 1, F.lit(0)) / BLOCK).cast("int"))
+    part = lambda b: F.slice(sizes, b * BLOCK + 1, F.lit(BLOCK))
+    running = lambda xs: F.aggregate(
+        xs, F.array(F.lit(0)), lambda a, x: F.concat(a, F.array(F.element_at(a, -1) + x))
+    )
+    totals = F.transform(blocks, lambda b: F.aggregate(part(b), F.lit(0), lambda a, x: a + x))
+    own = lambda b, before: F.transform(F.slice(running(part(b)), F.lit(1), F.size(part(b))), lambda x: x + before)
+    return _let(running(totals), lambda before: F.flatten(F.transform(blocks, lambda b: own(b, F.element_at(before, b + 1)))))
+
+
 def _spans(rule: Rule, rank: int, text: Column) -> Column:
     """Spans of all matches that are long enough, in order, of a text that is not null.
 
@@ -152,28 +175,31 @@ def _spans(rule: Rule, rank: int, text: Column) -> Column:
     """
     all_of = lambda group: F.regexp_extract_all(text, F.lit(rule.java), F.lit(group))
     hits = all_of(0)
-    turns = F.arrays_zip(
-        F.slice(F.split(text, rule.java, -1), F.lit(1), F.size(hits)).alias("piece"),
-        hits.alias("hit"),
-        (all_of(rule.group) if rule.group else hits).alias("value"),
+    turns = F.zip_with(
+        F.slice(F.split(text, rule.java, -1), F.lit(1), F.size(hits)),
+        F.zip_with(
+            hits, all_of(rule.group) if rule.group else hits, lambda h, v: F.struct(F.length(h).alias("hit"), F.length(v).alias("value"))
+        ),
+        lambda p, x: F.struct(F.length(p).alias("piece"), x["hit"].alias("hit"), x["value"].alias("value")),
     )
 
-    def step(a: Column, x: Column) -> Column:
-        start = a["at"] + F.length(x["piece"])
-        stop = start + F.length(x["hit"])
-        span = F.struct(
+    def span(turn: Column, at: Column) -> Column:
+        start = at + turn["piece"]
+        return F.struct(
             start.alias("start"),
             F.lit(rank).alias("rank"),
-            stop.alias("stop"),
+            (start + turn["hit"]).alias("stop"),
             F.lit(rule.kind).alias("kind"),
             F.lit(rule.base).alias("base"),
+            turn["value"].alias("held"),
         )
-        kept = F.when(F.length(x["value"]) >= rule.least, F.concat(a["spans"], F.array(span))).otherwise(a["spans"])
-        return F.struct(stop.alias("at"), kept.alias("spans"))
 
-    first = F.struct(F.lit(0).alias("at"), _no_spans().alias("spans"))
-    found = F.aggregate(turns, first, step, lambda a: a["spans"])
-    return F.when(text.rlike(rule.java), found).otherwise(_no_spans())
+    def found(turns: Column) -> Column:
+        sizes = F.transform(turns, lambda t: t["piece"] + t["hit"])
+        every = F.zip_with(turns, _let(sizes, starts_of), span)
+        return F.transform(F.filter(every, lambda s: s["held"] >= rule.least), lambda s: s.dropFields("held"))
+
+    return F.when(text.rlike(rule.java), _let(turns, found).cast(f"array<{SPAN}>")).otherwise(_no_spans())
 
 
 def _no_spans() -> Column:

@@ -24,14 +24,22 @@ def text_of(column: str) -> Column:
 
 
 def planes(numbers: np.ndarray) -> bytes:
-    """The bytes of unsigned numbers, bytes of one place together, which compresses far better."""
-    return numbers.view(np.uint8).reshape(-1, numbers.itemsize).T.tobytes()
+    """Unsigned numbers as their count of bytes each, as far as the largest needs them, and bytes of one place together.
+
+    Laid out so, numbers compress far better.
+    """
+    numbers = np.ascontiguousarray(numbers)
+    used = max(1, -(-int(numbers.max(initial=0)).bit_length() // 8))
+    return bytes([used]) + numbers.view(np.uint8).reshape(-1, numbers.itemsize)[:, :used].T.tobytes()
 
 
 def from_planes(data: bytes, kind: str) -> np.ndarray:
     """The numbers that `planes` packed."""
-    size = np.dtype(kind).itemsize
-    return np.ascontiguousarray(np.frombuffer(data, dtype=np.uint8).reshape(size, -1).T).view(kind).ravel()
+    held = np.frombuffer(data, dtype=np.uint8)
+    parts = held[1:].reshape(held[0], -1)
+    out = np.zeros((parts.shape[1], np.dtype(kind).itemsize), dtype=np.uint8)
+    out[:, : held[0]] = parts.T
+    return out.view(kind).ravel()
 
 
 def in_fold(id_column: str, folds: int, fold: int) -> Column:

@@ -15,6 +15,9 @@ Spark counts the items of the sample; the driver sees votes, the chosen features
 Scoring reads every whole text. Null and empty texts get the score of a text without features. Repeated rows
 get equal scores. Without labels of both kinds only the public lexicon and the patterns vote; without any labelled
 row they vote over a hash sample of the documents, of the same size. The lexicon has no weights of its own.
+Of several rows with a labelled id one text teaches; a null id has no label. A text is never cut, however long; empty
+tables give empty results. Passed columns keep their names; an output column whose name is taken gets underscores in
+front.
 """
 
 from __future__ import annotations
@@ -28,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from onefold.llm.shared import fresh, hash_share, text_of
+from onefold.llm.shared import fresh, hash_share, output_names, text_of
 from onefold.session import cut_lineage
 
 MAX_LABELS = 8_000
@@ -205,7 +208,9 @@ def train(
         found = cut_lineage(found.withColumn("row", F.monotonically_increasing_id()))
         return found, *found.agg(F.count(F.lit(1)), F.count(F.when(F.col("label") == 1, 1))).first()
 
-    joined = docs.join(sample, id_column).select(F.col("_label").cast("int"), F.col(text_column))
+    # One text for each labelled id, however many rows have it: the least in byte order.
+    joined = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text")).join(sample, F.col("id") == F.col(id_column))
+    joined = joined.groupBy("id", "_label").agg(F.min("text").alias("text")).select(F.col("_label").cast("int"), "text")
     seen, size, toxic_rows = looked_over(joined)
     if not size:
         some = docs.filter(hash_share(max_labels, docs.count(), id_column, text_column))
@@ -273,9 +278,10 @@ def toxicity(
             scores = 1 / (1 + np.exp(-np.clip(np.array(found, dtype=float), -500, 500)))
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:-1], pa.array(scores), pa.array((scores >= THRESHOLD).astype(np.int32))],
-                names=[*batch.schema.names[:-1], "score", "predicted"],
+                names=schema.names,
             )
 
     picked = docs.select(*columns, text_of(text_column).alias(text))
-    schema = picked.drop(text).schema.add("score", "double").add("predicted", "integer")
+    schema, names = picked.drop(text).schema, output_names(("score", "predicted"), columns)
+    schema = schema.add(names[0], "double").add(names[1], "integer")
     return picked.mapInArrow(run, schema)

@@ -75,6 +75,76 @@ def test_quality_edges(spark):
     assert quality.sampled(empty(spark), both, F.lit(True)).count() == 0
 
 
+def quality_brute(rows, labels):
+    """log_weight, kept and score of every row by plain counting of n-grams."""
+    memo = quality.Memo()
+    grams = [quality.buckets_of(t, memo).tolist() for _, t in rows]
+    raw, target = Counter(), Counter()
+    for (i, _), own in zip(rows, grams, strict=True):
+        raw.update(own)
+        if labels.get(i) == 1:
+            target.update(own)
+    size, kind = quality.BUCKETS, lambda b: b >= quality.BUCKETS
+    total = lambda c, k: sum(n for b, n in c.items() if kind(b) == k)
+    totals = [[total(c, k) for k in (False, True)] for c in (raw, target)]
+    ratio = lambda b: math.log((target[b] + 0.5) / (totals[1][kind(b)] + 0.5 * size)) - math.log((raw[b] + 0.5) / (totals[0][kind(b)] + 0.5 * size))
+    weights = [sum(map(ratio, own)) for own in grams]
+    least = {}
+    for (i, _), w in zip(rows, weights, strict=True):
+        if i in labels:
+            least[i] = min(w, least.get(i, math.inf))
+    good, bad = (sorted(w for i, w in least.items() if labels[i] == x) for x in (1, 0))
+    values = sorted(good + bad)
+    right = [sum(g >= v for g in good) / len(good) + sum(b < v for b in bad) / len(bad) for v in [*values, math.inf]]
+    at = right.index(max(right))
+    cut = -math.inf if at == 0 else values[-1] + 1 if at == len(values) else values[at] - (values[at] - values[at - 1]) / 4
+    return weights, cut
+
+
+def test_quality_equals_brute_force(spark):
+    docs = documents(spark)
+    known = {4: 1, 9: 1, 100: 1, 101: 1, 12: 0, 13: 0, 8: 0, 5: 1}
+    labels = spark.createDataFrame([*known.items(), (None, 1), (7, None)], "doc_id long, quality int")
+    got = quality.resample(docs, labels, F.lit(True), ["doc_id", "text"]).collect()
+    rows = [(r.doc_id, r.text) for r in got]
+    assert Counter(rows) == Counter(tuple(r) for r in docs.select("doc_id", "text").collect())
+    weights, cut = quality_brute(rows, known)
+    assert [round(r.log_weight, 5) for r in got] == [round(w, 5) for w in weights]
+    above = sum(r.log_weight >= cut for r in got)
+    least = sorted((r.sample_key for r in got), reverse=True)[above - 1]
+    assert [r.kept for r in got] == [r.sample_key >= least for r in got]
+    assert all(r.score == pytest.approx(1 / (1 + math.exp(-(r.log_weight - cut))), abs=1e-6) for r in got)
+
+
+def test_one_id_on_many_rows_sends_one_row_to_the_driver(spark, monkeypatch):
+    rows = [(1, f"w{i % 50} good text here") for i in range(30_000)] + [(2, "### $$$"), (3, "plain words here"), (4, "zorp idiot")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1, 0), (2, 0, 0), (3, 1, 0), (4, 0, 1)], "doc_id long, quality int, toxic int")
+    sizes, real = [], type(docs).toPandas
+    monkeypatch.setattr(type(docs), "toPandas", lambda df: sizes.append(len(x := real(df))) or x)
+    assert quality.resample(docs, labels, F.lit(True), ["doc_id"]).count() == len(rows)
+    assert max(sizes) <= 4
+    real_arrow = type(docs).toArrow
+    monkeypatch.setattr(type(docs), "toArrow", lambda df: sizes.append((x := real_arrow(df)).num_rows) or x)
+    weights, bias = toxicity.train(docs, labels, F.lit(True))
+    assert max(sizes) <= 4
+
+
+def test_toxicity_scores_equal_brute_force(spark):
+    folder = FOLDER
+    docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
+    held = in_fold("doc_id", 4, 2)
+    weights, bias = toxicity.train(docs, labels, ~held)
+    ask = docs.limit(200).unionByName(documents(spark).select(docs.columns))
+    got = toxicity.toxicity(ask.withColumn("held_out", held), weights, bias, ["doc_id", "text", "held_out"]).collect()
+    assert len(got) == ask.count() and any(r.predicted for r in got)
+    for r in got:
+        words = set(toxicity.LETTERS.findall((r.text or "").lower()))
+        features = words | {w[:n] + "*" for w in words for n in (4, 5, 6) if len(w) > n}
+        score = 1 / (1 + math.exp(-(bias + sum(weights.get(x, 0.0) for x in features))))
+        assert r.score == pytest.approx(score, abs=1e-9) and r.predicted == (score >= 0.3) and r.held_out == fold(r.doc_id, 4, 2)
+
+
 def test_kth_largest(spark):
     values = [float(x) for x in np.random.default_rng(1).normal(size=3000)] + [7.0] * 50
     table = spark.createDataFrame([(v,) for v in values], "x double")
