@@ -6,33 +6,88 @@ the ratio is `d = |a| + |b| - 2 * LCS`. Rounding is half to even.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_NEVER = 2147483647
+WORD_BITS = 62  # a sum of two such words and a carry fits a bigint
 
 
-def lcs_length(a: Column, b: Column) -> Column:
-    """Length of the longest common subsequence, in built-in expressions.
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body` of a value that is computed once."""
+    return F.element_at(F.transform(F.array(value), body), 1)
 
-    Position `l` of the folded list is the smallest end in `b` of a common subsequence of length `l`
-    with the part of `a` seen so far. A further character moves every end to its next occurrence
-    behind the previous end, if that comes sooner.
-    """
-    shorter = F.least(F.length(a), F.length(b))
-    chars = F.transform(F.sequence(F.lit(1), F.length(a)), lambda i: F.substring(a, i, F.lit(1)))
 
-    def step(ends: Column, c: Column) -> Column:
-        def sooner(end: Column, l: Column) -> Column:
-            before = F.when(l == 0, F.lit(0)).otherwise(F.try_element_at(ends, F.greatest(l, F.lit(1))))
-            start = F.when(before == _NEVER, F.lit(_NEVER)).otherwise(before + 1)
-            at = F.when(start == _NEVER, F.lit(0)).otherwise(F.position(c, b, start))
-            return F.when((at > 0) & (at < end), at).otherwise(end)
+def _chars(text: Column) -> Column:
+    return F.regexp_extract_all(text, F.lit("(?s)."), F.lit(0))
+
+
+def _masks(chars: Column) -> Column:
+    """Character -> for each word of `WORD_BITS` places, the bits where the character stands."""
+    size = F.size(chars)
+    starts = F.sequence(F.lit(0), F.floor((size - 1) / WORD_BITS).cast("int"))
+
+    def mask(c: Column, word: Column) -> Column:
+        part = F.slice(chars, word * WORD_BITS + 1, F.lit(WORD_BITS))
+        bits = F.transform(part, lambda x, i: F.when(x == c, F.call_function("shiftleft", F.lit(1).cast("bigint"), i)))
+        return F.aggregate(F.array_compact(bits), F.lit(0).cast("bigint"), lambda a, b: a.bitwiseOR(b))
 
-        return F.transform(ends, sooner)
+    entries = F.transform(F.array_distinct(chars), lambda c: F.struct(c, F.transform(starts, lambda w: mask(c, w))))
+    return F.map_from_entries(entries)
 
-    ends = F.aggregate(chars, F.array_repeat(F.lit(_NEVER), shorter), step)
-    return F.when(shorter == 0, F.lit(0)).otherwise(F.size(F.filter(ends, lambda e: e < _NEVER)))
+
+def _lcs_of(shorter: Column, longer: Column) -> Column:
+    """Bit-parallel LCS of two arrays of characters (Hyyro 2004): zeros of the state mark the subsequence.
+
+    A further character adds its matches to the state, word by word with a carry, so the work is the length
+    of the longer array times the words of the shorter one.
+    """
+    full = F.lit((1 << WORD_BITS) - 1)
+    words = F.floor((F.size(shorter) - 1) / WORD_BITS).cast("int") + 1
+
+    def step(state: Column, masks: Column) -> Column:
+        def word(total: Column, pair: Column) -> Column:
+            v, hit = pair["v"], pair["v"].bitwiseAND(pair["m"])
+            grown = v + hit + total["carry"]
+            new = grown.bitwiseOR(v.bitwiseAND(F.bitwise_not(hit))).bitwiseAND(full)
+            return F.struct(
+                F.shiftright(grown, WORD_BITS).alias("carry"), F.concat(total["words"], F.array(new)).alias("words")
+            )
+
+        pairs = F.zip_with(state, masks, lambda v, m: F.struct(v.alias("v"), m.alias("m")))
+        none = F.struct(F.lit(0).cast("bigint").alias("carry"), F.expr("cast(array() AS array<bigint>)").alias("words"))
+        return F.aggregate(pairs, none, word, lambda total: total["words"])
+
+    def zeros(v: Column, i: Column) -> Column:
+        used = F.least(F.size(shorter) - i * WORD_BITS, F.lit(WORD_BITS))
+        return used - F.bit_count(v.bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("bigint"), used) - 1))
+
+    def folded(masks: Column) -> Column:
+        known = F.filter(longer, lambda c: F.map_contains_key(masks, c))
+        one = F.aggregate(
+            known,
+            full,
+            lambda v, c: _let(
+                v.bitwiseAND(F.element_at(F.element_at(masks, c), 1)),
+                lambda hit: (v + hit).bitwiseOR(v.bitwiseAND(F.bitwise_not(hit))).bitwiseAND(full),
+            ),
+        )
+        many = F.aggregate(known, F.array_repeat(full, words), lambda state, c: step(state, F.element_at(masks, c)))
+        state = F.when(words == 1, F.array(one)).otherwise(many)
+        return F.aggregate(F.transform(state, zeros), F.lit(0), lambda a, n: a + n)
+
+    return _let(_masks(shorter), folded)
+
+
+def lcs_length(a: Column, b: Column) -> Column:
+    """Length of the longest common subsequence, in built-in expressions."""
+    swap = F.length(a) > F.length(b)
+    both = F.struct(
+        _chars(F.when(swap, b).otherwise(a)).alias("shorter"), _chars(F.when(swap, a).otherwise(b)).alias("longer")
+    )
+    found = _let(both, lambda x: _lcs_of(x["shorter"], x["longer"]))
+    return F.when((F.length(a) == 0) | (F.length(b) == 0), F.lit(0)).otherwise(found)
 
 
 def ratio(a: Column, b: Column) -> Column:

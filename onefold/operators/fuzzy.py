@@ -1,10 +1,12 @@
 """Attach clusters without a shared id to the most similar anchored cluster of about the same year.
 
-All pairs within a year would be quadratic. Candidates come from shared title segments instead
-(the partition scheme of PassJoin, Li et al. 2011, here for the LCS distance): when two titles are at
-most `k` edits apart and one of them is cut into more than `k` segments, some segment is untouched and
-reappears in the other title near its place. The join is an equality join on (year, length, segment
-number, segment text) and loses no pair.
+All pairs within a year would be quadratic. Candidates come from a prefix filter over segments instead. An anchored
+title is cut into segments of one length, so short that there are more of them than edits can lie between the title
+and a partner. An edit spoils one segment at most, so of any segments, one more than there are edits, some segment
+lies whole in the partner: the rarest ones are the title's keys. The other side has all its substrings of that length
+as keys, so its rows grow with its length. Where a title leaves no room for segments of two characters, single
+characters are keys; only characters that the title loses spoil those, and some always stay. Equal keys meet in an
+equality join; length and shift of the segment are conditions of the join, and no pair is lost.
 """
 
 from __future__ import annotations
@@ -65,11 +67,13 @@ def similar_titles(
     if threshold < 1:
         raise ValueError("threshold must be at least 1: every pair has a ratio of 0 or more")
     pairs = salted_join(
-        _segments(anchored, threshold),
-        _probes(floating, anchored, threshold, tolerance),
+        _index(anchored, floating, threshold, tolerance),
+        _probes(floating, threshold).withColumnRenamed("places", "found"),
         ["segment"],
-        within_bound(F.col("norm"), F.col("anchor_norm"), threshold)
-        & F.col("anchor_year").between(F.col("year") - tolerance, F.col("year") + tolerance),
+        (F.abs(F.col("la") - F.col("lb")) <= distance_bound(F.col("la") + F.col("lb"), threshold))
+        & F.expr("exists(places, i -> exists(found, j -> abs(j - i) + abs(lb - la - (j - i)) <= "
+                 f"floor((la + lb) * {201 - 2 * threshold} / 200)))")
+        & within_bound(F.col("norm"), F.col("anchor_norm"), threshold),
         rows_per_key=anchored.count(),
     )
     once = pairs.groupBy("norm", "year", "anchor_norm", "anchor_year").agg(F.min("anchor").alias("anchor"))
@@ -144,61 +148,71 @@ def _shortest_partner(length: Column, threshold: int) -> Column:
     return F.ceil(length * F.lit(2 * threshold - 1) / F.lit(401 - 2 * threshold)).cast("int")
 
 
-def _segment_count(length: Column, threshold: int) -> Column:
-    """One more than the edits that can lie between a title of this length and any partner."""
-    return distance_bound(length + _longest_partner(length, threshold), threshold) + 1
+def _edits(length: Column, threshold: int) -> Column:
+    """Most edits that can lie between a title of this length and any partner."""
+    return distance_bound(length + _longest_partner(length, threshold), threshold)
 
 
-def _cut(length: Column, parts: Column, i: Column) -> Column:
-    return F.floor(i * length / parts).cast("int")
+def _segment_length(length: Column, threshold: int) -> Column:
+    return F.greatest(F.lit(1), F.floor(length / (_edits(length, threshold) + 1)).cast("int"))
 
 
-def _segment_key(year: Column, length: Column, i: Column, text: Column) -> Column:
+def _key_count(length: Column, threshold: int) -> Column:
+    """How many segments of a title must be keys. Single characters survive insertions, and as many as the shortest
+    partner must share with the title survive at all."""
+    least = length + _shortest_partner(length, threshold)
+    shared = F.ceil((least - distance_bound(least, threshold)) / 2).cast("int")
+    return F.when(_segment_length(length, threshold) > 1, _edits(length, threshold) + 1).otherwise(length - shared + 1)
+
+
+def _segment_key(year: Column, size: Column, text: Column) -> Column:
     """Keys are hashes to keep the shuffle narrow; a collision only adds a candidate that is verified."""
-    return F.xxhash64(year.cast("bigint"), length, i, text)
+    return F.xxhash64(year.cast("bigint"), size, text)
 
 
-def _segments(anchored: DataFrame, threshold: int) -> DataFrame:
-    length, parts, i = F.col("la"), F.col("parts"), F.col("i")
-    start, end = _cut(length, parts, i - 1), _cut(length, parts, i)
+def _index(anchored: DataFrame, floating: DataFrame, threshold: int, tolerance: int) -> DataFrame:
+    """The rarest segments of every anchored title that some floating title of about its year may match by length.
+
+    Returns a row for each different segment of a title and year around it, with the `places` where it begins.
+    """
+    lengths = floating.filter(F.length("norm") > 0).select("year", F.length("norm").alias("lb")).distinct()
+    partners = F.sequence(_shortest_partner(F.col("lb"), threshold), _longest_partner(F.col("lb"), threshold))
+    wanted = lengths.select("lb", F.explode(_years(F.col("year"), tolerance)).alias("anchor_year")).distinct()
+    wanted = wanted.select("anchor_year", F.explode(partners).alias("la")).distinct()
+    titles = anchored.withColumn("la", F.length("anchor_norm")).filter("la > 0").join(wanted, ["anchor_year", "la"], "left_semi")
+    titles = titles.withColumn("size", _segment_length(F.col("la"), threshold)).withColumn("id", F.monotonically_increasing_id())
+    titles = cut_lineage(titles)
+    starts = F.sequence(F.lit(0), F.floor(F.col("la") / F.col("size")).cast("int") - 1)
+    segments = titles.select("id", "la", "size", "anchor_norm", F.explode(starts).alias("i"))
+    segments = segments.select("id", "la", "size", (F.col("i") * F.col("size")).alias("start"), F.substring(F.col("anchor_norm"), F.col("i") * F.col("size") + 1, F.col("size")).alias("text"))
+    rarity = segments.groupBy("size", "text").agg(F.count(F.lit(1)).alias("n"))
+    ranked = lookup_join(segments, rarity, ["size", "text"]).groupBy("id", "la", "size")
+    ranked = ranked.agg(F.sort_array(F.collect_list(F.struct("n", "text", "start"))).alias("all"))  # segments of one title
+    keys = ranked.select("id", "size", F.explode(F.slice("all", F.lit(1), _key_count(F.col("la"), threshold))).alias("x"))
+    keys = keys.groupBy("id", "size", "x.text").agg(F.collect_list("x.start").alias("places")).drop("size")
     return (
-        anchored.withColumn("la", F.length("anchor_norm"))
-        .filter("la > 0")
-        .withColumn("parts", _segment_count(length, threshold))
-        .withColumn("i", F.explode(F.sequence(F.lit(1), parts)))
-        .withColumn("text", F.substring(F.col("anchor_norm"), start + 1, end - start))
-        .withColumn("segment", _segment_key(F.col("anchor_year"), length, i, F.col("text")))
-        .select("segment", "anchor_norm", "anchor_year", "anchor")
-    )
+        titles.join(keys, "id")
+        .withColumn("near_year", F.explode(_years(F.col("anchor_year"), tolerance)))
+        .select(
+            _segment_key(F.col("near_year"), F.col("size"), F.col("text")).alias("segment"),
+            "anchor_norm", "anchor_year", "anchor", "la", "places",
+        )
+    )
 
 
-def _probes(floating: DataFrame, anchored: DataFrame, threshold: int, tolerance: int) -> DataFrame:
-    """Where each segment of a matching title could be found in a floating title.
+def _probes(floating: DataFrame, threshold: int) -> DataFrame:
+    """Every different substring of a floating title, of each length that segments of its partners can have.
 
-    Take the first segment `i` up to which fewer than `i` edits happened. It is untouched, exactly
-    `i - 1` edits lie before it and at most `k + 1 - i` behind it, which bounds how far it can have moved.
-    A title of 20 characters has some 60 probes per year, so the few titles are spread before they grow.
-    Only lengths that occur among the anchored titles of a year are looked for.
+    A row has the `places` where the substring begins, so there are at most as many rows as characters for each
+    segment length, and partners have few segment lengths.
     """
-    lengths = anchored.select(F.col("anchor_year").alias("probe_year"), F.length("anchor_norm").alias("la")).distinct()
     tasks = int(floating.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    lb, la, parts, i, k = F.length("norm"), F.col("la"), F.col("parts"), F.col("i"), F.col("k")
-    grown = lb - la
-    start, end = _cut(la, parts, i - 1), _cut(la, parts, i)
-    low = F.greatest(1 - i, grown - (k + 1 - i), -F.floor((k - grown) / 2).cast("int"), -start)
-    high = F.least(i - 1, grown + (k + 1 - i), F.floor((k + grown) / 2).cast("int"), lb - end)
-    return (
-        floating.filter(lb > 0)
-        .repartition(tasks, "norm", "year")
-        .withColumn("la", F.explode(F.sequence(_shortest_partner(lb, threshold), _longest_partner(lb, threshold))))
-        .withColumn("k", distance_bound(la + lb, threshold))
-        .filter(F.abs(grown) <= k)
-        .withColumn("probe_year", F.explode(_years(F.col("year"), tolerance)))
-        .join(lengths, ["probe_year", "la"], "left_semi")
-        .withColumn("parts", _segment_count(la, threshold))
-        .withColumn("i", F.explode(F.sequence(F.lit(1), k + 1)))
-        .withColumn("shift", F.explode(F.when(low <= high, F.sequence(low, high))))
-        .withColumn("text", F.substring(F.col("norm"), start + F.col("shift") + 1, end - start))
-        .withColumn("segment", _segment_key(F.col("probe_year"), la, i, F.col("text")))
-        .select("segment", "norm", "year")
-    )
+    lb, size = F.col("lb"), F.col("size")
+    partners = F.sequence(_shortest_partner(lb, threshold), _longest_partner(lb, threshold))
+    titles = floating.withColumn("lb", F.length("norm")).filter("lb > 0").repartition(tasks, "norm", "year")
+    probes = titles.withColumn("size", F.explode(F.array_distinct(F.transform(partners, lambda la: _segment_length(la, threshold)))))
+    places = F.sequence(F.lit(0), lb - size)
+    texts = F.transform(places, lambda i: F.struct(F.substring(F.col("norm"), i + 1, size).alias("text"), i.alias("i")))
+    probes = probes.filter(size <= lb).withColumn("x", F.explode(texts))
+    probes = probes.groupBy("norm", "year", "lb", "size", "x.text").agg(F.collect_list("x.i").alias("places"))
+    return probes.select(_segment_key(F.col("year"), size, F.col("text")).alias("segment"), "norm", "year", "lb", "places")

@@ -3,9 +3,9 @@
 documents  the bulk file; joined to labels, the master source with ratings; and the text corpus
 pages      the ratings dump, and, wrapped in the markup of a review site, the scraped source
 
-A record's title is the headline that pages carry in their title element: the first line, 60
-characters. The last number in a page address is the document it was made from; only the year is
-taken from it, moved by up to one, so that pages must be linked by title.
+A record's title is the whole first line of a document, and what pages carry in their title element. The last
+number in a page address is the document it was made from; only the year is taken from it, moved by up to one, so
+that pages must be linked by title.
 """
 
 from __future__ import annotations
@@ -23,7 +23,6 @@ from onefold.sources.readers import read_parquet, read_spread
 
 # Tables with long texts, and the key that spreads their rows.
 TEXT_TABLES = {"documents": "doc_id", "pages": "page_id"}
-HEADLINE = 60
 MIN_YEAR = 1970
 
 
@@ -49,7 +48,7 @@ def titled_documents(t: Tables) -> DataFrame:
         "lang",
         "source",
         "n_chars",
-        f"substring(split(text, '\\n', 2)[0], 1, {HEADLINE}) AS title",
+        "split(text, '\\n', 2)[0] AS title",
         f"CAST({MIN_YEAR} + doc_id % 50 AS INT) AS y",
         "CAST(1 + doc_id % 12 AS INT) AS m",
         "CAST(1 + doc_id % 28 AS INT) AS d",

@@ -75,8 +75,9 @@ def ratio(a: str, b: str) -> str:
 
 
 def near(a: str, b: str, threshold: int = 90) -> str:
-    """Necessary condition for a ratio of at least `threshold`."""
-    return f"levenshtein({a}, {b}) <= ((201 - 2 * {threshold}) * (length({a}) + length({b}))) // 200"
+    """Necessary condition for a ratio of at least `threshold`; lengths that differ too much settle it first."""
+    bound = f"((201 - 2 * {threshold}) * (length({a}) + length({b}))) // 200"
+    return f"CASE WHEN abs(length({a}) - length({b})) > {bound} THEN false ELSE levenshtein({a}, {b}) <= {bound} END"
 
 
 def by_lang(en: str, fr: str, de: str, es: str) -> str:
@@ -132,7 +133,7 @@ def _list_union(field: str) -> str:
 
 # Name -> (recursive?, SQL). A query lists what it needs by using the names.
 NAMED: dict[str, str] = {
-    "docs": """SELECT doc_id, text, lang, source, n_chars, substr(split_part(text, chr(10), 1), 1, 60) AS title,
+    "docs": """SELECT doc_id, text, lang, source, n_chars, split_part(text, chr(10), 1) AS title,
         (1970 + doc_id % 50)::INT AS y, (1 + doc_id % 12)::INT AS m, (1 + doc_id % 28)::INT AS d,
         substr(source, 4)::INT AS n FROM documents""",
     "api_raw": f"""SELECT doc_id AS id, '<i>' || title || '</i> ' AS title, 'original: ' || title AS original_title,

@@ -3,9 +3,11 @@
 import random
 
 import pytest
-from helpers import clusters, partial, partials_df, ratio
+from helpers import clusters, lcs, partial, partials_df, ratio
 from pyspark.sql import functions as F
 
+from onefold.functions.similarity import lcs_length
+from onefold.operators import fuzzy
 from onefold.operators.fuzzy import candidate_counts, similar_titles
 from onefold.operators.links import connected_components, link_groups, with_link_keys
 from onefold.operators.survive import cluster_records, reconcile, representatives
@@ -68,12 +70,13 @@ def test_long_titles_and_other_parameters(spark):
     assert found_clusters(spark, rows, **options) == clusters(rows, **options)[1]
 
 
-@pytest.mark.parametrize("threshold", [60, 85, 97])
-def test_similar_titles_loses_no_pair(spark, threshold):
+@pytest.mark.parametrize(("threshold", "longest"), [(40, 30), (60, 30), (85, 30), (97, 30), (40, 300), (75, 300), (90, 300), (97, 300)])
+def test_similar_titles_loses_no_pair(spark, threshold, longest):
     rng = random.Random(threshold)
-    base = ["".join(rng.choice("abcdefgh") for _ in range(rng.randint(1, 30))) for _ in range(10)]
-    left = sorted({noisy(rng, rng.choice(base), rng.randint(0, 5)) for _ in range(60)} - {""})
-    right = sorted({noisy(rng, rng.choice(base), rng.randint(0, 5)) for _ in range(60)} - {""})
+    base = ["".join(rng.choice("abcdefgh") for _ in range(rng.randint(1, longest))) for _ in range(10)]
+    size, edits = (60, 5) if longest == 30 else (18, 60)
+    left = sorted({noisy(rng, rng.choice(base), rng.randint(0, edits)) for _ in range(size)} - {""})
+    right = sorted({noisy(rng, rng.choice(base), rng.randint(0, edits)) for _ in range(size)} - {""})
     floating = spark.createDataFrame([(t, 2000) for t in left], "norm string, year bigint")
     anchored = spark.createDataFrame([(t, 2001, t) for t in right], "anchor_norm string, anchor_year bigint, anchor string")
     got = {(r.norm, r.anchor_norm, r.ratio) for r in similar_titles(floating, anchored, threshold).collect()}
@@ -81,6 +84,29 @@ def test_similar_titles_loses_no_pair(spark, threshold):
     assert got == expected
 
 
+def test_probes_and_keys_grow_with_the_length_of_titles(spark):
+    """Rows per character stay the same, from 30 characters to 3,000."""
+    rng = random.Random(4)
+    for threshold in (60, 90, 97):
+        for size in (30, 300, 3000):
+            text = "".join(rng.choice("abcdefghijklmnop") for _ in range(size))
+            floating = spark.createDataFrame([(text, 2000)], "norm string, year bigint")
+            anchored = spark.createDataFrame([(text, 2000, "x")], "anchor_norm string, anchor_year bigint, anchor string")
+            assert fuzzy._probes(floating, threshold).count() <= 5 * size
+            assert fuzzy._index(anchored, floating, threshold, 1).count() <= 3 * size
+
+
+def test_lcs_equals_the_plain_model(spark):
+    rng = random.Random(9)
+    rows = []
+    for n, m in [(0, 5), (1, 1), (40, 62), (62, 62), (63, 63), (61, 300), (124, 125), (187, 400), (400, 2000)]:
+        a, b = ("".join(rng.choice("abcdé 😀\n") for _ in range(size)) for size in (n, m))
+        rows += [(a, b, lcs(a, b)), (b, a, lcs(a, b)), (a, a, n), (a, noisy(rng, a, 9), None)]
+    rows = [(a, b, lcs(a, b) if n is None else n) for a, b, n in rows]
+    got = spark.createDataFrame(rows, "a string, b string, n int").repartition(8)
+    assert got.filter(F.col("n") != lcs_length(F.col("a"), F.col("b"))).count() == 0
+
+
 def test_components_of_chain_star_and_cycle(spark):
     edges = [(f"c{i:03}", f"c{i + 1:03}") for i in range(40)]
     edges += [("hub", f"leaf{i}") for i in range(200)] + [("x", "y"), ("y", "z"), ("z", "x"), ("self", "self")]
