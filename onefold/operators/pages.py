@@ -5,6 +5,9 @@ The embedded JSON-LD record is the first choice, the page's markup slots are the
 
 from __future__ import annotations
 
+import json
+from html.entities import html5
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,30 +23,61 @@ CONSENSUS_LABEL = r"(?s)^.*?Critics Consensus\s*"
 RECORD = (
     "struct<name: string, dateCreated: string, datePublished: string, genre: string, aggregateRating: string>"
 )
-# The character references of HTML that appear in plain text; the ampersand comes last.
-REFERENCES = [
-    ("&nbsp;", " "),
-    ("&lt;", "<"),
-    ("&gt;", ">"),
-    ("&quot;", '"'),
-    ("&#39;", "'"),
-    ("&#x27;", "'"),
-    ("&apos;", "'"),
-    ("&copy;", "©"),
-    ("&middot;", "·"),
-    ("&amp;", "&"),
-]
+# A character reference: decimal, hexadecimal, or a name; a name may lack the semicolon.
+REFERENCE = r"&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[A-Za-z][A-Za-z0-9]*;?)"
+# The named references of HTML 5, as the standard library lists them, and those that need no semicolon.
+NAMED = {f"&{name}": text for name, text in html5.items()}
+LEGACY = sorted((n for n in NAMED if not n.endswith(";")), key=lambda n: (-len(n), n))
+REPLACEMENT = "\ufffd"
+
+
+def _windows_characters() -> dict[int, str]:
+    """What the numbers 128 to 159 stand for in pages: the characters of code page 1252, where it has one."""
+    return {n: bytes([n]).decode("cp1252", "ignore") or chr(n) for n in range(128, 160)}
+
+
+def _as_map(entries: dict) -> Column:
+    """A map literal from text to text."""
+    return F.from_json(F.lit(json.dumps(entries)), "map<string,string>")
+
+
+def _numeric(reference: Column) -> Column:
+    """The character of `&#123;` or `&#x7b;`: none for control codes and non-characters."""
+    hexed = F.regexp_extract(reference, "(?i)^&#x0*([0-9a-f]*)", 1)
+    digits = F.regexp_extract(reference, "^&#0*([0-9]*)", 1)
+    is_hex = reference.rlike("(?i)^&#x")
+    far = F.when(is_hex, F.length(hexed) > 6).otherwise(F.length(digits) > 7)
+    code = F.when(far, F.lit(str(1 << 30))).when(is_hex, F.conv(hexed, 16, 10)).otherwise(digits).try_cast("int")
+    code = F.coalesce(code, F.lit(0))
+    char = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+    odd = code.between(1, 8) | code.between(14, 31) | (code == 11) | code.between(127, 159) | code.between(0xFDD0, 0xFDEF)
+    return (
+        F.when(code.isin(list(_windows_characters())), F.try_element_at(_as_map(_windows_characters()), code.cast("string")))
+        .when((code == 0) | code.between(0xD800, 0xDFFF) | (code > 0x10FFFF), F.lit(REPLACEMENT))
+        .when(odd | (F.pmod(code, F.lit(0x10000)) >= 0xFFFE), F.lit(""))
+        .otherwise(char)
+    )
+
+
+def _named(reference: Column) -> Column:
+    """The text of a name; of an unknown one the longest beginning that needs no semicolon, or nothing, is resolved."""
+    names = _as_map(NAMED)
+    short = F.regexp_extract(reference, "^(?:" + "|".join(LEGACY) + ")", 0)
+    begun = F.concat(F.try_element_at(names, short), F.substr(reference, F.length(short) + 1))
+    return F.coalesce(F.try_element_at(names, reference), begun, reference)
 
 
 def unescape(text: Column) -> Column:
-    for name, char in REFERENCES:
-        text = F.replace(text, F.lit(name), F.lit(char))
-    return text
+    """The text with every character reference resolved once: `&amp;lt;` is `&lt;`."""
+    hits = F.regexp_extract_all(text, F.lit(REFERENCE), F.lit(0))
+    found = F.transform(hits, lambda h: F.when(h.startswith("&#"), _numeric(h)).otherwise(_named(h)))
+    pieces = F.zip_with(F.split(text, REFERENCE, -1), found, lambda piece, char: F.concat(piece, F.coalesce(char, F.lit(""))))
+    return F.when(text.contains("&"), F.array_join(pieces, "")).otherwise(text)
 
 
 def inner_text(markup: Column, glue: str = "") -> Column:
     """The text pieces between tags, each trimmed, empty ones dropped, joined by `glue`."""
-    pieces = F.transform(F.split(markup, TAG), lambda p: F.trim(F.regexp_replace(unescape(p), r"^\s+|\s+$", "")))
+    pieces = F.transform(F.split(markup, TAG), lambda p: F.regexp_replace(unescape(p), r"(?U)^\s+|\s+$", ""))
     return F.array_join(F.filter(pieces, lambda p: p != ""), glue)
 
 

@@ -31,15 +31,19 @@ CLEAN_SCHEMAS = {
 
 
 def ingest(jobs: dict[str, Callable[[], DataFrame]], clean_root: str, sources: list[str] | None = None) -> dict[str, bool]:
-    """Run the cleaning job of each source and write its clean table. A source that fails is reported
-    as False and does not stop the others."""
+    """Run the cleaning job of each source and write its clean table. A source that fails, or that is wanted by
+    name and has no job, is reported as False and does not stop the others."""
     wanted = list(INGEST_ORDER) if sources is None else sources
     unknown = [s for s in wanted if s not in INGEST_ORDER]
     if unknown:
         raise ValueError(f"unknown source: {', '.join(unknown)}")
     done = {}
     for name in INGEST_ORDER:
-        if name not in wanted or name not in jobs:
+        if name not in wanted or (sources is None and name not in jobs):
+            continue
+        if name not in jobs:
+            log.error("source %s is wanted and has no job", name)
+            done[name] = False
             continue
         try:
             write_parquet(jobs[name](), f"{clean_root}/{name}")

@@ -6,28 +6,59 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
+
+from onefold.session import cut_lineage
 
 MAX_AGE_DAYS = 7
+SPREAD_BYTES = 32 << 20  # files that one task reads are worth a shuffle from this size on
 
 
 def read_json(spark: SparkSession, path: str, schema: StructType, one_array: bool = False) -> DataFrame:
     """JSON records. `one_array` reads files that each hold one JSON list; it must be a list.
 
-    Prefer line-delimited files where there is a choice: only those can be split between tasks.
+    Prefer line-delimited files where there is a choice: only those can be split between tasks. A list is read
+    record by record, never as one value, and records of large files are spread over the cluster right after the scan.
     """
     reader = spark.read.schema(schema).option("mode", "FAILFAST")
     if not one_array:
         return reader.json(path)
-    texts = spark.read.text(path, wholetext=True)
-    checked = texts.withColumn(
-        "value",
-        F.when(F.col("value").rlike(r"^\s*\["), F.col("value")).otherwise(
-            F.raise_error(F.lit("a JSON source must be a list of records"))
-        ),
+    if not_lists := _files_without_list(spark, path):
+        raise ValueError(f"a JSON source must be a list of records: {', '.join(not_lists)}")
+    return _spread(spark, path, reader.option("multiLine", True).json(path))
+
+
+def _spread(spark: SparkSession, path: str, rows: DataFrame) -> DataFrame:
+    """Rows of files that cannot be split, spread over the cluster; small ones stay in their order."""
+    size = spark.read.format("binaryFile").load(path).agg(F.max("length")).first()[0]
+    return rows.hint("rebalance") if size and size >= SPREAD_BYTES else rows
+
+
+def _files_without_list(spark: SparkSession, path: str, shown: int = 10) -> list[str]:
+    """Files below `path` whose text does not begin with a bracket. Texts are cut at commas, so no value is long."""
+    parts = spark.read.option("lineSep", ",").text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), "value"
     )
-    records = F.from_json("value", "array<" + schema.simpleString() + ">", {"mode": "FAILFAST"})
-    return checked.select(F.explode(records).alias("r")).select("r.*")
+    first = parts.filter("block = 0").withColumn("at", F.monotonically_increasing_id()).groupBy("file")
+    first = first.agg(F.min(F.struct("at", F.substring("value", 1, 64).alias("head"))).alias("x"))
+    wrong = first.filter(~F.col("x.head").rlike(r"^[\s\x{feff}]*\[")).select("file").orderBy("file").limit(shown)
+    return [r["file"] for r in wrong.collect()]
+
+
+def read_isolated(spark: SparkSession, path: str, schema: StructType, fmt: str = "json", **options) -> tuple[DataFrame, DataFrame]:
+    """The rows that fit the schema, and the rejected ones as `file, raw`: broken lines, malformed values.
+
+    For line-delimited JSON and CSV. The scan is written once, so both results come from one reading.
+    """
+    corrupt = "_corrupt"
+    while corrupt in schema.fieldNames():
+        corrupt = "_" + corrupt
+    wide = StructType([*schema.fields, StructField(corrupt, StringType())])
+    reader = spark.read.schema(wide).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", corrupt)
+    rows = reader.options(**options).format(fmt).load(path)
+    rows = cut_lineage(rows.withColumn("_file", F.col("_metadata.file_path")))
+    good = rows.filter(F.col(corrupt).isNull()).drop(corrupt, "_file")
+    return good, rows.filter(F.col(corrupt).isNotNull()).select(F.col("_file").alias("file"), F.col(corrupt).alias("raw"))
 
 
 def read_dump(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
@@ -48,8 +79,12 @@ def read_dump(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """CSV with header, quoted text that may run over several lines, and doubled quotes. Takes globs."""
-    return spark.read.schema(schema).csv(path, header=True, multiLine=True, escape='"', mode="FAILFAST")
+    """CSV with header, quoted text that may run over several lines, and doubled quotes. Takes globs.
+
+    Such a file is read by one task, so rows of large files are spread over the cluster right after the scan.
+    """
+    rows = spark.read.schema(schema).csv(path, header=True, multiLine=True, escape='"', mode="FAILFAST")
+    return _spread(spark, path, rows)
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from onefold.operators.ids import dense_ids
@@ -70,24 +70,84 @@ def append_log(df: DataFrame, path: str) -> None:
     df.withColumn("ingested_at", F.current_timestamp()).write.mode("append").parquet(path)
 
 
+def write_json_lists(df: DataFrame, path: str, key: str, rows_per_file: int = 20_000) -> None:
+    """JSON files that each hold one list of records, of about `rows_per_file`, in the order of `key` within a file."""
+    files = 1 + df.count() // rows_per_file
+    rows = df.select(
+        F.pmod(F.xxhash64(key), F.lit(files)).cast("int").alias("part"),
+        F.lit(1).alias("kind"),
+        F.col(key).alias("place"),
+        F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}).alias("value"),
+    )
+    first = F.row_number().over(Window.partitionBy("part").orderBy("place")) == 1
+    rows = rows.withColumn("value", F.when(first, F.col("value")).otherwise(F.concat(F.lit(","), "value")))
+    none = F.lit(None).cast(df.schema[key].dataType)
+    for kind, mark in ((0, "["), (2, "]")):
+        ends = df.sparkSession.range(files).select(F.col("id").cast("int").alias("part"), F.lit(kind).alias("kind"), none.alias("place"), F.lit(mark).alias("value"))
+        rows = rows.unionByName(ends)
+    rows = rows.repartition("part").sortWithinPartitions("part", "kind", "place")
+    rows.select("part", "value").write.mode("overwrite").partitionBy("part").text(path)
+
+
 def publish(spark: SparkSession, tables: dict[str, DataFrame], root: str) -> str:
     """Write all tables into a new snapshot below `root`, parents first, then switch readers to it.
 
-    The switch is one appended row in the commit log, written only after every table is complete. A
-    rebuild that fails leaves the previous snapshot in place; one that is repeated replaces everything.
+    The switch is a commit with the next version number, made only after every table is complete. A number is
+    created exclusively: of two writers one gets it, the other takes the next. No clock decides. A rebuild that
+    fails leaves the previous snapshot in place; one that is repeated replaces everything.
     """
     snapshot = uuid.uuid4().hex
     for name, df in tables.items():
         write_parquet(df, f"{root}/snapshots/{snapshot}/{name}")
-    commit = spark.range(1).select(F.lit(snapshot).alias("snapshot"), F.current_timestamp().alias("committed_at"))
-    commit.write.mode("append").parquet(f"{root}/commits")
+    version = max(committed(spark, root), default=0) + 1
+    while not commit(spark, root, version, snapshot):
+        version += 1
     return snapshot
 
 
+def _files(spark: SparkSession, path: str):
+    """The file system of a path, and the path as it knows it."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
+
+
+def commit(spark: SparkSession, root: str, version: int, snapshot: str) -> bool:
+    """Claims a version number for a snapshot; False where another writer has it.
+
+    The entry is written aside and moved into a folder of its own, which only one writer can make.
+    """
+    system, entry = _files(spark, f"{root}/commits/{version:020d}")
+    system.mkdirs(entry.getParent())
+    _, aside = _files(spark, f"{root}/claims/{version:020d}-{snapshot}")
+    system.mkdirs(aside)
+    system.create(_files(spark, f"{aside}/{snapshot}")[1], False).close()
+    if system.exists(entry):
+        return False
+    try:
+        # A folder that exists takes the moved one inside, or the move fails; the entry then names another snapshot.
+        system.rename(aside, entry)
+    except Exception as e:
+        if "exist" not in str(e).lower():
+            raise
+    return snapshot in _names(system, entry)
+
+
+def _names(system, folder) -> list[str]:
+    return [f.getPath().getName() for f in system.listStatus(folder) if f.isFile()] if system.exists(folder) else []
+
+
+def committed(spark: SparkSession, root: str) -> dict[int, str]:
+    """Version -> snapshot of all commits below `root`."""
+    system, folder = _files(spark, f"{root}/commits")
+    entries = system.listStatus(folder) if system.exists(folder) else []
+    found = {int(e.getPath().getName()): _names(system, e.getPath()) for e in entries}
+    return {version: names[0] for version, names in found.items() if len(names) == 1}
+
+
 def current_snapshot(spark: SparkSession, root: str) -> str:
-    """Folder of the snapshot that was committed last."""
-    log = spark.read.parquet(f"{root}/commits")
-    return f"{root}/snapshots/{log.orderBy(F.desc('committed_at')).first().snapshot}"
+    """Folder of the snapshot with the largest version number."""
+    versions = committed(spark, root)
+    return f"{root}/snapshots/{versions[max(versions)]}"
 
 
 def write_jdbc(df: DataFrame, url: str, table: str, batch: int = 50_000, **options: str) -> None:

@@ -15,7 +15,7 @@ from onefold.plans import model
 from onefold.plans.run import run
 from onefold.schema import GOLD_SCHEMA, LIST_FIELDS
 from onefold.session import scratch_path
-from onefold.sources import writers
+from onefold.sources import readers, writers
 from onefold.workload import roles
 from onefold.workload.q_aggregates import REPORT
 from onefold.workload.q_sources import _COUNTS
@@ -86,6 +86,25 @@ def j2_plain(t):
     return roles.page_base(t).select("page_id", "lang", "title", tag_text(c("html"), "h1").alias("heading"))
 
 
+@query(
+    "j2_page_references",
+    with_named(
+        """SELECT page_id, chr((65 + page_id % 26)::INT) || chr((960 + page_id % 9)::INT) || ' é & &lt; €∉ ¬it; &nosuch; '
+            || lang || ' © <b> "' || chr((128512 + page_id % 40)::INT) || '"' AS title FROM page_base"""
+    ),
+)
+def j2_references(t):
+    """Numeric, hexadecimal, named, short, unknown and doubled references, each resolved once."""
+    number = lambda base, size: c("page_id") % size + base
+    parts = [
+        F.lit("<title>&#"), number(65, 26).cast("string"), F.lit(";&#x"), F.hex(number(960, 9)),
+        F.lit("; &eacute; &amp; &amp;lt; &#128;&notin; &notit; &nosuch; "), c("lang"),
+        F.lit(" &copy &lt;b&gt; &quot;&#X"), F.lower(F.hex(number(128512, 40))), F.lit(";&#34;</title>"),
+    ]
+    marked = roles.page_base(t).select("page_id", F.concat(*parts).alias("html"))
+    return marked.select("page_id", tag_text(c("html"), "title").alias("title"))
+
+
 @query(
     "j3_clean_scraped",
     with_named(
@@ -290,6 +309,34 @@ def j16(t):
     return load_counts(t.documents.join(t.labels, "doc_id", "left"), ["doc_id", "quality"])
 
 
+@query(
+    "j16_scan_rejects",
+    """SELECT unnest(['csv', 'json']) AS format, count(*) FILTER (doc_id % 7 <> 3) AS loaded,
+        sum(doc_id) FILTER (doc_id % 7 <> 3)::BIGINT AS ids, count(*) FILTER (doc_id % 7 = 3) AS rejected,
+        sum(length(source)) FILTER (doc_id % 7 = 3)::BIGINT AS raw_sources FROM documents""",
+)
+def j16_scan(t):
+    """Every seventh line is broken: JSON that breaks off, a number that is none. Good rows load, the rest is told."""
+    rows = t.documents.select("doc_id", "source", "n_chars", (c("doc_id") % 7 == 3).alias("broken"))
+    whole = F.to_json(F.struct("doc_id", "source", "n_chars"))
+    line = F.concat_ws(",", F.when(c("broken"), F.lit("x")).otherwise(c("doc_id").cast("string")), "source", "n_chars")
+    files = {
+        "json": F.when(c("broken"), F.concat(F.lit('{"source": "'), "source", F.lit('", "doc_id":'))).otherwise(whole),
+        "csv": line,
+    }
+    schema = rows.drop("broken").schema
+    counts = []
+    for fmt, text in files.items():
+        path = scratch_path(t.spark, f"broken-{fmt}")
+        rows.select(text.alias("value")).write.text(path)
+        good, rejects = readers.read_isolated(t.spark, path, schema, fmt)
+        loaded = good.agg(F.count(F.lit(1)).alias("loaded"), big(F.sum("doc_id")).alias("ids"))
+        source = F.regexp_extract("raw", r"src\d+", 0)
+        told = rejects.agg(F.count(F.lit(1)).alias("rejected"), big(F.sum(F.length(source))).alias("raw_sources"))
+        counts.append(loaded.crossJoin(told).select(F.lit(fmt).alias("format"), "*"))  # one row and one row
+    return counts[0].unionByName(counts[1])
+
+
 @query(
     "j17_constraint_checks",
     """SELECT 'lineitem key unique' AS rule, l_orderkey || '|' || l_linenumber AS value, count(*) AS rows FROM lineitem

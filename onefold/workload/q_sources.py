@@ -26,6 +26,20 @@ def a1(t):
     return df.select("doc_id", F.md5("text").alias("text_md5"), "lang", "source", "n_chars")
 
 
+@query("a1_json_lists", "SELECT doc_id, md5(text) AS text_md5, lang, source, n_chars FROM documents")
+def a1_lists(t):
+    """Files that each hold one list; a file that holds no list is refused."""
+    path, other = scratch_path(t.spark, "json-lists"), scratch_path(t.spark, "json-object")
+    writers.write_json_lists(t.documents, path, "doc_id")
+    writers.write_json(t.documents.limit(1), other)
+    try:
+        readers.read_json(t.spark, other, t.documents.schema, one_array=True)
+    except ValueError:
+        df = readers.read_json(t.spark, path, t.documents.schema, one_array=True)
+        return df.select("doc_id", F.md5("text").alias("text_md5"), "lang", "source", "n_chars")
+    raise AssertionError("a file without a list was read")
+
+
 @query("a2_json_sink", "SELECT count(*) AS lines, count(*) FILTER (WHERE text LIKE '%é%') AS with_accent FROM documents")
 def a2(t):
     path = scratch_path(t.spark, "json")

@@ -75,9 +75,13 @@ def ratio(a: str, b: str) -> str:
 
 
 def near(a: str, b: str, threshold: int = 90) -> str:
-    """Necessary condition for a ratio of at least `threshold`; lengths that differ too much settle it first."""
+    """Necessary condition for a ratio of at least `threshold`; lengths that differ too much settle it first.
+
+    DuckDB's levenshtein counts bytes. With one byte for every character, whatever it is, the distance can only shrink.
+    """
+    byte = lambda x: f"regexp_replace({x}, '[^\\x00-\\x7F]', '~', 'g')"
     bound = f"((201 - 2 * {threshold}) * (length({a}) + length({b}))) // 200"
-    return f"CASE WHEN abs(length({a}) - length({b})) > {bound} THEN false ELSE levenshtein({a}, {b}) <= {bound} END"
+    return f"CASE WHEN abs(length({a}) - length({b})) > {bound} THEN false ELSE levenshtein({byte(a)}, {byte(b)}) <= {bound} END"
 
 
 def by_lang(en: str, fr: str, de: str, es: str) -> str:

@@ -1,6 +1,11 @@
 """Page extraction on small hand-made pages."""
 
-from onefold.operators.pages import clean_scraped, page_records
+import html
+import random
+
+from pyspark.sql import functions as F
+
+from onefold.operators.pages import clean_scraped, page_records, unescape
 
 RECORD = """<script type="application/ld+json">{"name": "The Hollow (2011)", "dateCreated": "2011-10-07",
 "genre": ["Horror", "Drama"], "aggregateRating": {"name": "TOMATOmeter", "ratingValue": "81.0"}}</script>"""
@@ -43,3 +48,14 @@ def test_blank_consensus_and_untitled_rows(spark):
     df = spark.createDataFrame(rows, "page_id int, title string, genres array<string>, critics_consensus string")
     got = clean_scraped(df).collect()
     assert [(r.page_id, r.title, r.genres) for r in got] == [(2, "A b", [])]
+
+
+def test_references_equal_the_standard_library(spark):
+    rng = random.Random(3)
+    names = ["amp", "lt", "gt", "quot", "nbsp", "copy", "copyright", "notin", "notit", "not", "nosuch", "eacute", "Eacute", "hellip", "CounterClockwiseContourIntegral", "am", "a", "ampx"]
+    numbers = ["65", "0", "1", "11", "13", "31", "127", "128", "129", "150", "160", "8364", "55296", "64976", "65534", "128512", "1114111", "1114112", "99999999999999999999", "0000065"]
+    parts = [f"&{n}{e}" for n in names for e in (";", "", " ", ";;", "=")] + [f"&#{n}{e}" for n in numbers for e in (";", "", " x")]
+    parts += [f"&#{x}{int(n):x}{e}" for n in numbers for x in "xX" for e in (";", "", "g")] + ["&", "&&amp;", "&;", "&#;", "&#x;", "&#xg;", "plain", "é", "&amp;lt;", "&amp;amp;"]
+    rows = [(p,) for p in parts] + [("".join(rng.choice([*parts, "text ", "<"]) for _ in range(12)),) for _ in range(200)] + [("",), (None,)]
+    got = spark.createDataFrame(rows, "t string").select("t", unescape(F.col("t")).alias("u")).collect()
+    assert [(r.t, r.u) for r in got if r.u != (None if r.t is None else html.unescape(r.t))] == []

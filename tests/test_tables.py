@@ -197,3 +197,46 @@ def test_run_isolates_a_failure_and_merges_what_is_there(spark, tmp_path):
     assert summary["gold"]["total"] == 1 and summary["load"]["movies"] == 1
     again = run(spark, {}, str(tmp_path), skip_ingest=True, load=False)
     assert again["gold"] == summary["gold"] and again["load"] is None
+
+
+def test_json_lists_are_spread_and_anything_else_is_refused(spark, tmp_path):
+    schema = "id long, name string"
+    want = [(i, f"n,[{i}]") for i in range(500)]
+    df = spark.createDataFrame([*want, (500, None)], schema)
+    writers.write_json_lists(df, str(tmp_path / "lists"), "id", rows_per_file=100)
+    got = readers.read_json(spark, str(tmp_path / "lists"), df.schema, one_array=True).select("id", "name")
+    assert sorted(map(tuple, got.collect())) == sorted([*want, (500, None)])
+    (tmp_path / "pretty.json").write_text('\n  [\n {"id": 1,\n "name": "a"},\n {"id": 2}\n]\n')
+    assert readers.read_json(spark, str(tmp_path / "pretty.json"), df.schema, one_array=True).count() == 2
+    (tmp_path / "object.json").write_text('{"id": 1, "name": "[a]"}')
+    with pytest.raises(ValueError, match="object.json"):
+        readers.read_json(spark, str(tmp_path / "object.json"), df.schema, one_array=True)
+
+
+def test_broken_rows_are_told_and_the_rest_is_loaded(spark, tmp_path):
+    schema = spark.createDataFrame([], "id long, name string").schema
+    (tmp_path / "a.json").write_text('{"id": 1, "name": "x"}\n{"id": "z"}\n{"id": 2,\n{"id": 3}\n')
+    good, bad = readers.read_isolated(spark, str(tmp_path / "a.json"), schema)
+    assert sorted(r.id for r in good.collect()) == [1, 3]
+    assert sorted(r.raw for r in bad.collect()) == ['{"id": "z"}', '{"id": 2,'] and bad.first().file.endswith("a.json")
+    (tmp_path / "b.csv").write_text('id,name\n1,x\ntwo,y\n3,"a, b"\n4,p,q\n')
+    good, bad = readers.read_isolated(spark, str(tmp_path / "b.csv"), schema, "csv", header=True)
+    assert sorted(map(tuple, good.collect())) == [(1, "x"), (3, "a, b")] and sorted(r.raw for r in bad.collect()) == ["4,p,q", "two,y"]
+
+
+def test_versions_decide_and_not_clocks(spark, tmp_path):
+    root = str(tmp_path / "model")
+    tables = lambda n: {"t": spark.createDataFrame([(n,)], "n int")}
+    read = lambda: spark.read.parquet(f"{writers.current_snapshot(spark, root)}/t").first().n
+    first = writers.publish(spark, tables(1), root)
+    assert read() == 1
+    # A second writer saw no commit yet and claims the number that is taken: it must take the next one.
+    assert not writers.commit(spark, root, 1, "late")
+    second = writers.publish(spark, tables(2), root)
+    assert read() == 2 and writers.committed(spark, root) == {1: first, 2: second}
+    assert writers.commit(spark, root, 7, first) and not writers.commit(spark, root, 7, second)
+    assert read() == 1 and writers.publish(spark, tables(3), root) and read() == 3 and max(writers.committed(spark, root)) == 8
+
+
+def test_a_wanted_source_without_a_job_is_told(spark, tmp_path):
+    assert ingest({}, str(tmp_path), ["imdb"]) == {"imdb": False} and ingest({}, str(tmp_path)) == {}
