@@ -40,7 +40,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from onefold.llm.shared import ASCII_LOWER, fresh, from_planes, numbered, output_names, planes
+from onefold.llm.shared import ASCII_LOWER, fresh, from_planes, in_small_batches, numbered, output_names, planes
 from onefold.session import cut_lineage
 
 END = b""  # no word is empty
@@ -210,7 +210,7 @@ def coded_chunks(docs: DataFrame, teaches: Column, columns: list[str], text_colu
         if coder.flags:
             yield pa.RecordBatch.from_arrays(coder.row(), names=schema.names)
 
-    return numbered(picked.mapInArrow(run, schema))
+    return numbered(in_small_batches(picked).mapInArrow(run, schema))
 
 
 class Chunk:
@@ -259,7 +259,7 @@ def token_counts(chunks: DataFrame) -> DataFrame:
                 names = pa.array(tokens_in(words), pa.binary()).take(pa.array(at)).cast(pa.string())
                 yield pa.RecordBatch.from_arrays([names, pa.array(n[at])], names=["token", "n"])
 
-    counts = chunks.select("words", "seen").mapInArrow(run, "token string, n long")
+    counts = in_small_batches(chunks.select("words", "seen")).mapInArrow(run, "token string, n long")
     return cut_lineage(counts.groupBy("token").agg(F.sum("n").alias("n")))
 
 
@@ -288,7 +288,7 @@ def pair_counts(chunks: DataFrame, number: str, segments: int, hash_bits: int, a
                 yield pa.RecordBatch.from_arrays(arrays, names=["segment", "chunk", "pairs", "seen"])
 
     picked = chunks.select(number, "words", "codes", "docs")
-    return picked.mapInArrow(run, "segment int, chunk long, pairs binary, seen binary")
+    return in_small_batches(picked).mapInArrow(run, "segment int, chunk long, pairs binary, seen binary")
 
 
 def _segment(table: pa.Table, hash_bits: int) -> tuple[list[np.ndarray], bytes]:
@@ -383,7 +383,7 @@ def lm_scores(
                 tokens = pa.array([w for _, w in rare], pa.binary()).cast(pa.string())
                 yield pa.RecordBatch.from_arrays([owner, pa.array([i for i, _ in rare], pa.int32()), tokens], names=["chunk", "place", "token"])
 
-    asked = chunks.select(number, "words").mapInArrow(rare_tokens, "chunk long, place int, token string")
+    asked = in_small_batches(chunks.select(number, "words")).mapInArrow(rare_tokens, "chunk long, place int, token string")
     told = asked.join(counts.filter(F.col("n") < least), "token").groupBy("chunk")
     told = told.agg(F.collect_list(F.struct("place", "n")).alias("rare"))  # at most the dictionary of one chunk
     told = told.select("chunk", "rare", F.lit(None).cast("int").alias("segment"), F.lit(None).cast("binary").alias("levels"))

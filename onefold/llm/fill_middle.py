@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from onefold.llm.shared import fresh, output_names
+from onefold.llm.shared import fresh, in_small_batches, output_names
 
 # The sentinels of prefix, suffix and middle.
 SENTINELS = {"prefix": b"<P>", "suffix": b"<S>", "middle": b"<M>"}
@@ -176,7 +176,7 @@ def transformed(
             arrays += [pa.array(out[3], pa.int64()), pa.array(out[4], pa.binary()).cast(pa.string()), pa.array(out[5], pa.string())]
             yield pa.RecordBatch.from_arrays([*batch.columns[:width], *arrays], names=names)
 
-    return picked.mapInArrow(run, schema)
+    return in_small_batches(picked).mapInArrow(run, schema)
 
 
 def restored(outputs: DataFrame, columns: list[str], output_column: str = "output", form_column: str = "form") -> DataFrame:
@@ -201,4 +201,4 @@ def restored(outputs: DataFrame, columns: list[str], output_column: str = "outpu
             arrays = [pa.array(texts, pa.binary()).cast(pa.string()), pa.array(digests, pa.string())]
             yield pa.RecordBatch.from_arrays([*batch.columns[:width], *arrays], names=names)
 
-    return picked.mapInArrow(run, schema)
+    return in_small_batches(picked).mapInArrow(run, schema)

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from onefold.llm.shared import fresh, output_names, text_of
+from onefold.llm.shared import fresh, in_small_batches, output_names, text_of
 from onefold.session import cut_lineage
 
 SAMPLE_ROWS, MAX_LANGUAGES = 2_000, 1_000
@@ -234,4 +234,4 @@ def identify(docs: DataFrame, model: Model, columns: list[str], text_column: str
             arrays = [pa.array(langs, pa.string()), pa.array(scores, pa.float64())]
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(columns)], *arrays], names=schema.names)
 
-    return picked.mapInArrow(run, schema)
+    return in_small_batches(picked).mapInArrow(run, schema)

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from onefold.llm.shared import WORD, fresh, identified, running_start, text_of
+from onefold.llm.shared import WORD, fresh, identified, in_small_batches, running_start, text_of
 from onefold.session import cut_lineage
 
 WEIGHTS = (5, 2, 1)
@@ -283,4 +283,4 @@ def mixed_documents(
                 arrays[length_at] = pa.array([len(t) for t in texts]).cast(arrays[length_at].type)
             yield pa.RecordBatch.from_arrays(arrays, names=batch.schema.names[:-2])
 
-    return picked.mapInArrow(run, docs.schema)
+    return in_small_batches(picked).mapInArrow(run, docs.schema)

@@ -39,7 +39,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from onefold.llm.shared import from_planes, planes
+from onefold.llm.shared import from_planes, in_small_batches, planes
 from onefold.session import cut_lineage, scratch_path
 from onefold.skew import lookup_join
 
@@ -122,7 +122,7 @@ def coded_chunks(docs: DataFrame, lang_column: str, text_column: str, seed: int,
 
     texts = docs.select(F.coalesce(lang_column, F.lit("und")).alias("lang"), F.coalesce(text_column, F.lit("")).alias("text"))
     path = scratch_path(docs.sparkSession, "phrases")
-    texts.mapInArrow(run, CODED).write.option("compression", "zstd").parquet(path)
+    in_small_batches(texts).mapInArrow(run, CODED).write.option("compression", "zstd").parquet(path)
     return docs.sparkSession.read.schema(CODED).parquet(path)
 
 
@@ -231,7 +231,7 @@ def _count_grams(coded: DataFrame, find: Callable, length: int) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([own, *map(pa.array, part), pa.array(n[i : i + FLUSH_ROWS])], names=names)
 
     schema = "lang string, " + "".join(f"w{i + 1} long, " for i in range(length)) + "n long"
-    counted = coded.select("lang", "hashes", "codes").mapInArrow(run, schema)
+    counted = in_small_batches(coded.select("lang", "hashes", "codes")).mapInArrow(run, schema)
     return counted.groupBy(*names[:-1]).agg(F.sum("n").alias("n"))
 
 

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from onefold.llm.shared import fresh, with_field
+from onefold.llm.shared import fresh, in_small_batches, with_field
 
 # Fixed value: SentencePiece's mark for a space.
 MARK = "▁"
@@ -271,7 +271,7 @@ def encode(docs: DataFrame, pieces: Pieces, columns: list[str], text_column: str
                 yield pa.RecordBatch.from_arrays([*batch.columns[: len(columns)], ids], names=[*columns, name])
 
     picked = docs.select(*columns, F.col(text_column).alias(text))
-    return picked.mapInArrow(run, with_field(docs.select(*columns).schema, name, T.ArrayType(T.IntegerType())))
+    return in_small_batches(picked).mapInArrow(run, with_field(docs.select(*columns).schema, name, T.ArrayType(T.IntegerType())))
 
 
 def decode(encoded: DataFrame, pieces: Pieces, ids_column: str = "ids", name: str = "decoded") -> DataFrame:
@@ -287,4 +287,4 @@ def decode(encoded: DataFrame, pieces: Pieces, ids_column: str = "ids", name: st
                 texts = decode_lists(batch.column(at), strings)
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*columns, name])
 
-    return encoded.mapInArrow(run, with_field(encoded.schema, name, T.StringType()))
+    return in_small_batches(encoded).mapInArrow(run, with_field(encoded.schema, name, T.StringType()))

@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from onefold.llm.shared import fresh, hash_share, text_of, with_field
+from onefold.llm.shared import fresh, hash_share, in_small_batches, text_of, with_field
 from onefold.session import cut_lineage
 
 BUCKETS = 1 << 14
@@ -152,7 +152,7 @@ def _bucket_counts(texts: DataFrame) -> np.ndarray:
         at = np.nonzero(total)[0]
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["bucket", "n"])
 
-    counts = texts.mapInArrow(run, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
+    counts = in_small_batches(texts).mapInArrow(run, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
     out = np.zeros(2 * BUCKETS)
     for row in counts.collect():  # at most 2 * BUCKETS rows
         out[row["bucket"]] = row["n"]
@@ -252,7 +252,7 @@ def resample(
     schema = with_field(picked.schema, weight, T.DoubleType())
     if text not in columns:
         picked = docs.select(*columns, (-F.log(-F.log(uniform))).alias(noise), F.col(text_column).alias(text))
-    scored = picked.mapInArrow(run, schema)
+    scored = in_small_batches(picked).mapInArrow(run, schema)
     scored = cut_lineage(scored.withColumn(key, F.col(weight) + F.col(noise)))
     judged = scored.select(F.col(id_column).alias("id"), F.col(weight).alias("weight")).join(sample, F.col("id") == F.col(id_column))
     # One row for each labelled id, however many rows have it: the least weight.

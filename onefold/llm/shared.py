@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 from onefold.session import cut_lineage
 
 BROADCAST_ROWS = 500_000  # of row ids, some tens of bytes each
+BATCH_BYTES = 4 << 20
 
 # Fixed value: a word is a run of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -18,6 +19,15 @@ WORD = r"[^\x20\x09-\x0D]+"
 ASCII_LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 
+def in_small_batches(df: DataFrame) -> DataFrame:
+    """`df`, whose session from now on sends workers Arrow batches of about `BATCH_BYTES` at most.
+
+    Rows hold whole texts or whole chunks, and the thousands that a batch may have by count need not fit a worker.
+    """
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return df
+
+
 def text_of(column: str) -> Column:
     """A text column in which null counts as the empty text."""
     return F.coalesce(F.col(column), F.lit(""))

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from onefold.llm.components import connected_components
 from onefold.llm.golay import keys, near_keys
-from onefold.llm.shared import ASCII_LOWER, fresh, identified, without_rows
+from onefold.llm.shared import ASCII_LOWER, fresh, identified, in_small_batches, without_rows
 from onefold.session import cut_lineage
 from onefold.skew import lookup_join
 
@@ -80,7 +80,7 @@ def fingerprints(docs: DataFrame, columns: list[str], text_column: str) -> DataF
 
     picked = docs.select(*columns, F.col(text_column).alias(text))
     schema = picked.drop(text).schema.add("fp", "long")
-    return picked.mapInArrow(run, schema)
+    return in_small_batches(picked).mapInArrow(run, schema)
 
 
 def _segments(fps: np.ndarray) -> list[np.ndarray]:

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from onefold.llm.shared import fresh, hash_share, output_names, text_of
+from onefold.llm.shared import fresh, hash_share, in_small_batches, output_names, text_of
 from onefold.session import cut_lineage
 
 MAX_LABELS = 8_000
@@ -204,7 +204,7 @@ def train(
 
     def looked_over(rows: DataFrame) -> tuple[DataFrame, int, int]:
         """The rows as the fit sees them, their number, and how many are toxic."""
-        found = rows.mapInArrow(looked_at, "label int, items array<string>, hits array<boolean>")
+        found = in_small_batches(rows).mapInArrow(looked_at, "label int, items array<string>, hits array<boolean>")
         found = cut_lineage(found.withColumn("row", F.monotonically_increasing_id()))
         return found, *found.agg(F.count(F.lit(1)), F.count(F.when(F.col("label") == 1, 1))).first()
 
@@ -284,4 +284,4 @@ def toxicity(
     picked = docs.select(*columns, text_of(text_column).alias(text))
     schema, names = picked.drop(text).schema, output_names(("score", "predicted"), columns)
     schema = schema.add(names[0], "double").add(names[1], "integer")
-    return picked.mapInArrow(run, schema)
+    return in_small_batches(picked).mapInArrow(run, schema)
