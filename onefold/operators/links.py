@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from onefold.session import cut_lineage
@@ -36,17 +36,17 @@ def connected_components(edges: DataFrame) -> DataFrame:
 
     Alternating large-star and small-star rounds (Kiveris et al. 2014). Every round takes minima with
     map-side partial aggregation, and its edges are written to the checkpoint folder, so the plan stays
-    short. The driver only sees a count and a checksum per round.
+    short. The driver only sees a count and a checksum per round, taken while the edges are written; while they are
+    too few for any node to be hot, a round is that one job.
     """
-    edges = cut_lineage(
+    first = (
         edges.filter(F.col("a") != F.col("b"))
         .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         .distinct()
     )
-    before = _fingerprint(edges)
+    edges, before = _written(first)
     while True:
-        edges = cut_lineage(_small_star(_large_star(edges)))
-        after = _fingerprint(edges)
+        edges, after = _written(_small_star(_large_star(edges, 2 * before[0]), 2 * before[0]))
         if after == before:
             break
         before = after
@@ -57,25 +57,27 @@ def connected_components(edges: DataFrame) -> DataFrame:
     )
 
 
-def _fingerprint(edges: DataFrame) -> tuple:
-    row = edges.agg(
-        F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")
-    ).first()
-    return row.n, row.h
+def _written(edges: DataFrame) -> tuple[DataFrame, tuple]:
+    """The edges as a written table, and their number and checksum as the write itself saw them."""
+    seen = Observation()
+    watched = edges.observe(
+        seen, F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")
+    )
+    return cut_lineage(watched), (seen.get["n"], seen.get["h"])
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
-    """Every larger neighbour of a node is linked to the smallest node around it."""
+def _large_star(edges: DataFrame, ends: int) -> DataFrame:
+    """Every larger neighbour of a node is linked to the smallest node around it. No node has more than `ends` edges."""
     both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).union(edges.select("b", "a"))
     nearest = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
     larger = both.filter(F.col("v") > F.col("u"))
-    return lookup_join(larger, nearest, ["u"]).select(F.col("m").alias("a"), F.col("v").alias("b")).distinct()
+    return lookup_join(larger, nearest, ["u"], rows_per_key=ends).select(F.col("m").alias("a"), F.col("v").alias("b")).distinct()
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
-    """A node and its smaller neighbours are linked to the smallest of them."""
+def _small_star(edges: DataFrame, ends: int) -> DataFrame:
+    """A node and its smaller neighbours are linked to the smallest of them. No node has more than `ends` edges."""
     nearest = edges.groupBy("b").agg(F.min("a").alias("m"))
-    moved = lookup_join(edges, nearest, ["b"]).filter(F.col("a") != F.col("m")).select("m", "a")
+    moved = lookup_join(edges, nearest, ["b"], rows_per_key=ends).filter(F.col("a") != F.col("m")).select("m", "a")
     return moved.union(nearest.select("m", "b")).toDF("a", "b").distinct()
 
 

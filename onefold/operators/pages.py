@@ -6,7 +6,7 @@ The embedded JSON-LD record is the first choice, the page's markup slots are the
 from __future__ import annotations
 
 import json
-from html.entities import html5
+from html.entities import html5, name2codepoint
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,9 +25,12 @@ RECORD = (
 )
 # A character reference: decimal, hexadecimal, or a name; a name may lack the semicolon.
 REFERENCE = r"&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[A-Za-z][A-Za-z0-9]*;?)"
-# The named references of HTML 5, as the standard library lists them, and those that need no semicolon.
-NAMED = {f"&{name}": text for name, text in html5.items()}
-LEGACY = sorted((n for n in NAMED if not n.endswith(";")), key=lambda n: (-len(n), n))
+# Named references as the standard library lists them: all of HTML 5, those that need no semicolon, and, as the
+# default, those and the names of HTML 4. A map is part of every plan that holds it, so the default is the small one.
+ALL_NAMES = {f"&{name}": text for name, text in html5.items()}
+SHORT_NAMES = {n: text for n, text in ALL_NAMES.items() if not n.endswith(";")}
+NAMES = {**{f"&{name};": chr(code) for name, code in name2codepoint.items()}, **SHORT_NAMES}
+LEGACY = sorted(SHORT_NAMES, key=lambda n: (-len(n), n))
 REPLACEMENT = "\ufffd"
 
 
@@ -59,20 +62,24 @@ def _numeric(reference: Column) -> Column:
     )
 
 
-def _named(reference: Column) -> Column:
+def _named(reference: Column, names: Column) -> Column:
     """The text of a name; of an unknown one the longest beginning that needs no semicolon, or nothing, is resolved."""
-    names = _as_map(NAMED)
     short = F.regexp_extract(reference, "^(?:" + "|".join(LEGACY) + ")", 0)
     begun = F.concat(F.try_element_at(names, short), F.substr(reference, F.length(short) + 1))
     return F.coalesce(F.try_element_at(names, reference), begun, reference)
 
 
-def unescape(text: Column) -> Column:
-    """The text with every character reference resolved once: `&amp;lt;` is `&lt;`."""
+def unescape(text: Column, names: dict[str, str] = NAMES) -> Column:
+    """The text with every character reference resolved once: `&amp;lt;` is `&lt;`. Unknown names stay as they are."""
     hits = F.regexp_extract_all(text, F.lit(REFERENCE), F.lit(0))
-    found = F.transform(hits, lambda h: F.when(h.startswith("&#"), _numeric(h)).otherwise(_named(h)))
-    pieces = F.zip_with(F.split(text, REFERENCE, -1), found, lambda piece, char: F.concat(piece, F.coalesce(char, F.lit(""))))
-    return F.when(text.contains("&"), F.array_join(pieces, "")).otherwise(text)
+
+    def resolved(known: Column) -> Column:
+        found = F.transform(hits, lambda h: F.when(h.startswith("&#"), _numeric(h)).otherwise(_named(h, known)))
+        pieces = F.zip_with(F.split(text, REFERENCE, -1), found, lambda piece, char: F.concat(piece, F.coalesce(char, F.lit(""))))
+        return F.array_join(pieces, "")
+
+    once = F.element_at(F.transform(F.array(_as_map(names)), resolved), 1)
+    return F.when(text.contains("&"), once).otherwise(text)
 
 
 def inner_text(markup: Column, glue: str = "") -> Column:

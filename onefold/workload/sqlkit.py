@@ -88,10 +88,19 @@ def by_lang(en: str, fr: str, de: str, es: str) -> str:
     return f"CASE lang WHEN 'en' THEN {en} WHEN 'fr' THEN {fr} WHEN 'de' THEN {de} ELSE {es} END"
 
 
+# The character references that the given pages hold; each may lack its semicolon, where a title was cut off.
+REFERENCES = {"lt": "<", "gt": ">", "quot": '"', "copy": "©", "middot": "·", "amp": "&"}
+
+
 def unescaped(x: str) -> str:
-    for name, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&")):
-        x = f"replace({x}, '{name}', '{char}')"
-    return x
+    """Every reference resolved once, from left to right."""
+    rx = f"&(?:{'|'.join(REFERENCES)});?"
+    chars = "MAP {" + ", ".join(f"'&{name}': '{char}'" for name, char in REFERENCES.items()) + "}"
+    hits, pieces = f"regexp_extract_all({x}, '{rx}')", f"regexp_split_to_array({x}, '{rx}')"
+    return (
+        f"array_to_string(list_transform(list_zip({pieces}, {hits}), "
+        f"lambda p: p[1] || coalesce({chars}[rtrim(p[2], ';')], '')), '')"
+    )
 
 
 GENRES = "MAP {" + ", ".join(f"{k}: '{v}'" for k, v in GENRE_NAMES.items()) + "}"

@@ -5,7 +5,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from onefold.operators.pages import clean_scraped, page_records, unescape
+from onefold.operators.pages import ALL_NAMES, NAMES, clean_scraped, page_records, unescape
 
 RECORD = """<script type="application/ld+json">{"name": "The Hollow (2011)", "dateCreated": "2011-10-07",
 "genre": ["Horror", "Drama"], "aggregateRating": {"name": "TOMATOmeter", "ratingValue": "81.0"}}</script>"""
@@ -56,6 +56,8 @@ def test_references_equal_the_standard_library(spark):
     numbers = ["65", "0", "1", "11", "13", "31", "127", "128", "129", "150", "160", "8364", "55296", "64976", "65534", "128512", "1114111", "1114112", "99999999999999999999", "0000065"]
     parts = [f"&{n}{e}" for n in names for e in (";", "", " ", ";;", "=")] + [f"&#{n}{e}" for n in numbers for e in (";", "", " x")]
     parts += [f"&#{x}{int(n):x}{e}" for n in numbers for x in "xX" for e in (";", "", "g")] + ["&", "&&amp;", "&;", "&#;", "&#x;", "&#xg;", "plain", "é", "&amp;lt;", "&amp;amp;"]
-    rows = [(p,) for p in parts] + [("".join(rng.choice([*parts, "text ", "<"]) for _ in range(12)),) for _ in range(200)] + [("",), (None,)]
-    got = spark.createDataFrame(rows, "t string").select("t", unescape(F.col("t")).alias("u")).collect()
-    assert [(r.t, r.u) for r in got if r.u != (None if r.t is None else html.unescape(r.t))] == []
+    rows = [(p,) for p in parts] + [("".join(rng.choice([*parts, "text ", "<"]) for _ in range(12)),) for _ in range(200)] + [("",)]
+    texts = spark.createDataFrame(rows, "t string")
+    for names, known in ((ALL_NAMES, rows), (NAMES, [r for r in rows if "Integral" not in (r[0] or "")])):
+        got = texts.join(spark.createDataFrame(known, texts.schema).distinct(), "t", "left_semi").select("t", unescape(F.col("t"), names).alias("u"))
+        assert [(r.t, r.u) for r in got.collect() if r.u != html.unescape(r.t)] == []
