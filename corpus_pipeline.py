@@ -34,10 +34,14 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def pieces_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """`doc_id, source, ids, n_pieces, round_trip` of every passage; the last tells whether decoding gives it back."""
+    """`doc_id, source, ids, n_pieces, round_trip` of every passage; the last tells whether decoding gives it back.
+
+    The ids are written before they are decoded: a task that did both would hold two Python workers, and an executor
+    keeps as many workers through all stages as its tasks ever held at once.
+    """
     vocabulary = pieces.load_pieces()
     text = fresh("_whole", docs.columns)
-    encoded = pieces.encode(docs.withColumn(text, text_of("text")), vocabulary, ["doc_id", "source", text])
+    encoded = cut_lineage(pieces.encode(docs.withColumn(text, text_of("text")), vocabulary, ["doc_id", "source", text]))
     decoded = pieces.decode(encoded, vocabulary)
     same = F.col("decoded") == F.replace(F.col(text), F.lit(pieces.MARK), F.lit(" "))
     return decoded.select("doc_id", "source", "ids", F.size("ids").alias("n_pieces"), same.alias("round_trip"))

@@ -46,6 +46,11 @@ def test_last_stage_decodes_what_it_encodes(spark, monkeypatch):
     assert not any(r.round_trip for r in corpus_pipeline.pieces_stage(spark, docs, FOLDER).collect())
 
 
+def test_a_task_of_the_last_stage_holds_one_python_worker(spark):
+    plan = corpus_pipeline.pieces_stage(spark, documents(spark), FOLDER)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+
+
 @pytest.mark.parametrize("name", sorted(CHECKS))
 def test_queries_equal_their_sql(spark, name):
     assert compare(QUERIES[name](spark, FOLDER), duck(FOLDER), CHECKS[name]) is None
