@@ -240,3 +240,15 @@ def test_versions_decide_and_not_clocks(spark, tmp_path):
 
 def test_a_wanted_source_without_a_job_is_told(spark, tmp_path):
     assert ingest({}, str(tmp_path), ["imdb"]) == {"imdb": False} and ingest({}, str(tmp_path)) == {}
+
+
+def test_texts_that_only_the_key_needs_are_not_shuffled(spark):
+    from onefold.plans.adapters import to_partials
+
+    docs = spark.createDataFrame([(1, "a"), (None, "b"), (1, "c")], "id long, body string")
+    rows = to_partials(docs, "kaggle", F.col("id"), {"tmdb_id": F.col("id")})
+    assert rows.select("seq").distinct().count() == 3
+    plan = rows._jdf.queryExecution().optimizedPlan()
+    while plan.nodeName() != "Window":
+        plan = plan.children().head()
+    assert "body" not in plan.output().mkString(",")
