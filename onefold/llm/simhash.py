@@ -140,7 +140,8 @@ def links(classes: DataFrame, hot: int = HOT) -> DataFrame:
         kind = kind.when((errors[a] <= 1) & (errors[b] <= 1), F.lit(number))
     for whole in range(3):
         kind = kind.when(errors[whole] == 0, F.lit(len(PAIRS) + whole))
-    right = right.withColumnRenamed("key", "other_key")
+    # Spark would judge the keys by the fingerprints they come from and broadcast them; there are dozens for each.
+    right = right.withColumnRenamed("key", "other_key").hint("merge")
     found = left.join(
         right,
         (F.col("key") == F.col("other_key"))
@@ -160,7 +161,8 @@ def midpoint_links(members: DataFrame) -> DataFrame:
     around = F.array(*[F.lit(m - (1 << 64) if m >> 63 else m) for m in masks])
     points = members.select("fp", F.explode(F.transform(around, lambda m: F.col("fp").bitwiseXOR(m))).alias("point"))
     least = points.groupBy("point").agg(F.min("fp").alias("v"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    return points.join(least.drop("n"), "point").filter("fp > v").select(F.col("fp").alias("u"), "v").distinct()
+    least = least.drop("n").hint("merge")  # 2,081 points of a fingerprint count as one row when Spark sizes them
+    return points.join(least, "point").filter("fp > v").select(F.col("fp").alias("u"), "v").distinct()
 
 
 def components(prints: DataFrame, id_column: str, hot: int = HOT) -> DataFrame:
