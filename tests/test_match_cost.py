@@ -43,5 +43,6 @@ def test_a_pair_is_verified_once_behind_the_cheap_conditions(spark):
         spark.conf.unset("spark.sql.maxMetadataStringLength")
         spark.conf.unset("spark.sql.debug.maxToStringFields")
     joins = [x for x in plan.splitlines() if "SortMergeJoin" in x and "segment" in x]
+    assert "exists(" not in "".join(joins)  # lambdas keep Spark from generating code for a join
     assert joins and all(x.count("levenshtein(") == 1 and "regexp_extract_all" not in x for x in joins)
-    assert all(x.index("bit_count(") < x.index("exists(") < x.index("levenshtein(") for x in joins)
+    assert all(x.index("bit_count(") < x.index("last_found") < x.index("levenshtein(") for x in joins)
